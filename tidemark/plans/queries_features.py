@@ -1 +1,329 @@
-"""Registered queries."""
+"""Registered queries: feature tables, preparation, encoding and splits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators import features, split
+from tidemark.operators.metrics import class_weights
+from tidemark.operators.quantiles import column_quantiles
+from tidemark.plans.registered import query, scratch_database
+from tidemark.plans.retrain import draw_holdout, training_rows
+from tidemark.plans.subjects import (
+    CUSTOMERS,
+    DOCUMENTS,
+    EARLIER_CUTOFF,
+    EVENT_LOG_SQL,
+    customers,
+    customers_sql,
+    event_log,
+    table,
+)
+from tidemark.sources import feature_table, scored_log
+
+_C = f"WITH c AS ({customers_sql()})"
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+_REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    return customers(spark, sf).where(F.col("lapsed").isNotNull())
+
+
+_L = f"WITH c AS (SELECT * FROM ({customers_sql()}) WHERE lapsed IS NOT NULL)"
+
+_LINE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate"
+
+
+@query(
+    "q_feature_project_dedupe",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice,
+        strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM (
+      SELECT {_LINE_COLUMNS}, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate DESC, l_partkey, l_extendedprice, l_quantity) AS n FROM lineitem) WHERE n = 1""",
+)
+def project_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select(*_LINE_COLUMNS.split(", "))
+    newest = [F.desc("l_shipdate"), F.asc("l_partkey"), F.asc("l_extendedprice"), F.asc("l_quantity")]
+    unique = features.dedupe(lines, ["l_orderkey", "l_linenumber"], newest)
+    return unique.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_quantity",
+        "l_extendedprice",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"),
+    )
+
+
+@query("q_dedupe_keys", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+def dedupe_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Any row per key survives, so only the key can be compared."""
+    return features.dedupe(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber"
+    )
+
+
+@query(
+    "q_key_problems",
+    """SELECT CAST(sum(n) AS BIGINT) AS n_rows, 0 AS null_keys, count(*) FILTER (WHERE n > 1) AS repeated_keys
+    FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)""",
+)
+def key_problems(spark: SparkSession, sf: str) -> DataFrame:
+    return feature_table.key_problems(table(spark, sf, "lineitem"), "l_orderkey")
+
+
+@query("q_label_project", f"{_C} SELECT c_custkey, lapsed FROM c")
+def label_project(spark: SparkSession, sf: str) -> DataFrame:
+    return features.project_labels(customers(spark, sf), CUSTOMERS)
+
+
+_UPSERT_COLUMNS = ("c_custkey", "segment", "n_orders", "days_since")
+_UPSERT = f"""
+    WITH o AS ({customers_sql(EARLIER_CUTOFF)}), n AS (
+      SELECT * FROM ({customers_sql()}) WHERE days_since < 366)
+    SELECT {", ".join(_UPSERT_COLUMNS)} FROM n
+    UNION ALL SELECT {", ".join(_UPSERT_COLUMNS)} FROM o WHERE c_custkey NOT IN (SELECT c_custkey FROM n)"""
+
+
+def _old_and_new(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Customer features at the earlier cutoff, and those of customers that ordered since."""
+    old = customers(spark, sf, EARLIER_CUTOFF).select(*_UPSERT_COLUMNS)
+    new = customers(spark, sf).where("days_since < 366").select(*_UPSERT_COLUMNS)
+    return old, new
+
+
+@query("q_feature_upsert", _UPSERT)
+def feature_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    return feature_table.upsert_rows(*_old_and_new(spark, sf), "c_custkey")
+
+
+@query("q_feature_store", _UPSERT)
+def feature_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through a stored, bucketed feature table: created, then merged into, then read."""
+    old, new = _old_and_new(spark, sf)
+    name = f"{scratch_database(spark)}.customer_features"
+    feature_table.create(old, name, "c_custkey", buckets=8)
+    feature_table.merge(new, name, "c_custkey", buckets=8)
+    return spark.table(name)
+
+
+@query(
+    "q_feature_lookup",
+    """SELECT doc_id, quality, lang, source, n_chars FROM labels LEFT JOIN documents USING (doc_id)""",
+)
+def feature_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    labels = features.project_labels(table(spark, sf, "labels"), DOCUMENTS)
+    docs = features.project_features(table(spark, sf, "documents"), DOCUMENTS)
+    return feature_table.lookup(labels, docs, "doc_id")
+
+
+@query(
+    "q_feature_lookup_unmatched",
+    """SELECT quality, lang, n_chars FROM labels l
+       LEFT JOIN (SELECT * FROM documents WHERE lang <> 'fr') d ON l.doc_id = d.doc_id""",
+)
+def feature_lookup_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels whose key has no features keep their row; the key is left out afterwards."""
+    docs = table(spark, sf, "documents").where("lang <> 'fr'").select("doc_id", "lang", "n_chars")
+    labels = features.project_labels(table(spark, sf, "labels"), DOCUMENTS)
+    return feature_table.lookup(labels, docs, "doc_id", exclude=("doc_id",))
+
+
+@query(
+    "q_combine_training",
+    f"""{_C} SELECT lapsed, NULL AS batch, count(*) AS n FROM c GROUP BY 1
+    UNION ALL SELECT lapsed, 'earlier', count(*) FROM ({customers_sql(EARLIER_CUTOFF)}) GROUP BY 1""",
+)
+def combine_training(spark: SparkSession, sf: str) -> DataFrame:
+    """New rows carry a column more; the base rows get nulls there."""
+    new = customers(spark, sf, EARLIER_CUTOFF).withColumn("batch", F.lit("earlier"))
+    both = features.combine(customers(spark, sf), new)
+    return both.groupBy("lapsed", "batch").agg(F.count("*").alias("n"))
+
+
+_PREPARED = """segment, region, nation, CAST(debtor AS VARCHAR) AS debtor, n_orders,
+    round(spend, 2) AS spend, acctbal, days_since"""
+
+
+@query(
+    "q_prepare_labelled",
+    f"{_C} SELECT {_PREPARED}, CASE WHEN lapsed = 'Yes' THEN 1 ELSE 0 END AS label FROM c",
+)
+def prepare_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    return features.prepare(customers(spark, sf), CUSTOMERS).withColumn("spend", F.round("spend", 2))
+
+
+@query("q_prepare_unlabelled", f"{_C} SELECT {_PREPARED} FROM c")
+def prepare_unlabelled(spark: SparkSession, sf: str) -> DataFrame:
+    rows = customers(spark, sf).drop("lapsed")
+    return features.prepare(rows, CUSTOMERS).withColumn("spend", F.round("spend", 2))
+
+
+def _medians(cols: tuple[str, ...]) -> str:
+    return ", ".join(f"quantile_cont({c}, 5e-1) AS m_{c}" for c in cols)
+
+
+_NUM = ("n_orders", "spend", "acctbal", "days_since")
+_FILLED = ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in _NUM)
+_SCALED = ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 "
+    f"ELSE stddev_pop({c}) OVER () END), 6) AS {c}"
+    for c in _NUM
+)
+
+
+@query(
+    "q_impute_scale",
+    f"""{_C}, m AS (SELECT {_medians(_NUM)} FROM c), f AS (SELECT c_custkey, {_FILLED} FROM c, m)
+    SELECT c_custkey, {_SCALED} FROM f""",
+)
+def impute_scale(spark: SparkSession, sf: str) -> DataFrame:
+    """The number part of the encoder, fitted on the whole table."""
+    config = CUSTOMERS.with_(categorical=())
+    rows = features.prepare(customers(spark, sf), config, keep_key=True)
+    encoder = features.TableEncoder(config).fit(rows)
+    wide = features.encoded_columns(rows, encoder, config, "c_custkey")
+    # adding zero turns a negative zero into zero
+    return wide.select("c_custkey", *[(F.round(c, 6) + 0.0).alias(c) for c in _NUM])
+
+
+_ONE_HOT = ", ".join(
+    [
+        f"CASE WHEN segment = '{s}' THEN 1e0 ELSE 0e0 END AS \"segment={s}\""
+        for s in _SEGMENTS
+        if s != "MACHINERY"
+    ]
+    + ["CASE WHEN segment = 'MACHINERY' THEN 1e0 ELSE 0e0 END AS \"segment=Unknown\""]
+    + [f"CASE WHEN region = '{r}' THEN 1e0 ELSE 0e0 END AS \"region={r}\"" for r in _REGIONS if r != "ASIA"]
+)
+
+
+@query("q_one_hot", f"{_C} SELECT c_custkey, {_ONE_HOT} FROM c")
+def one_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """A missing segment counts as `Unknown`; a region that was not there at the fit gives zeros."""
+    config = CUSTOMERS.with_(numeric=(), categorical=("segment", "region"), as_string=())
+    rows = customers(spark, sf).select(
+        "c_custkey", F.when(F.col("segment") != "MACHINERY", F.col("segment")).alias("segment"), "region"
+    )
+    encoder = features.TableEncoder(config).fit(rows.where("region <> 'ASIA'"))
+    return features.encoded_columns(rows, encoder, config, "c_custkey")
+
+
+_DUMMY = ", ".join(
+    [f"CASE WHEN segment = '{s}' THEN 1 ELSE 0 END AS \"segment_{s}\"" for s in _SEGMENTS[1:]]
+    + [f"CASE WHEN region = '{r}' THEN 1 ELSE 0 END AS \"region_{r}\"" for r in _REGIONS[1:]]
+)
+
+
+@query("q_dummy_drop_first", f"{_C} SELECT c_custkey, {_DUMMY} FROM c")
+def dummy_drop_first(spark: SparkSession, sf: str) -> DataFrame:
+    rows = customers(spark, sf).select("c_custkey", "segment", "region")
+    return features.dummy_columns(rows, ["segment", "region"])
+
+
+_PROBS = (0.1, 0.5, 0.9)
+
+
+@query(
+    "q_quantiles",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", round(quantile_cont({c}, 1e-1), 4) AS p10,
+        round(quantile_cont({c}, 5e-1), 4) AS p50, round(quantile_cont({c}, 9e-1), 4) AS p90 FROM lineitem"""
+        for c in ("l_extendedprice", "l_quantity", "l_tax")
+    ),
+)
+def quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact quantiles by narrowing, as it is done for groups too large for one task."""
+    columns = ["l_extendedprice", "l_quantity", "l_tax"]
+    found = column_quantiles(table(spark, sf, "lineitem"), columns, _PROBS, small_group=2_000)
+    rows = [(c, *[round(v, 4) for v in found[c]]) for c in columns]
+    return spark.createDataFrame(rows, "column string, p10 double, p50 double, p90 double")
+
+
+@query(
+    "q_class_weights",
+    f"""{_L} SELECT CASE WHEN lapsed = 'Yes' THEN 1 ELSE 0 END AS label, count(*) AS n,
+      round((SELECT count(*) FROM c) / (2e0 * count(*)), 6) AS weight FROM c GROUP BY 1""",
+)
+def weights(spark: SparkSession, sf: str) -> DataFrame:
+    rows = features.prepare(_labelled(spark, sf), CUSTOMERS)
+    return class_weights(rows).withColumn("weight", F.round("weight", 6))
+
+
+def split_sql(source: str, share: str, seed: str, key: str, stratum: str) -> str:
+    """Exact shares per class by largest remainder, ranks by the hash of key and seed."""
+    return f"""
+      SELECT *, rank <= quota AS drawn FROM (
+        SELECT b.*, row_number() OVER (PARTITION BY s ORDER BY md5(CAST({key} AS VARCHAR) || '{seed}'), {key}) AS rank
+        FROM (SELECT *, {stratum} AS s FROM {source}) b)
+      JOIN (
+        SELECT s, whole + CASE WHEN row_number() OVER (ORDER BY exact - whole DESC, s)
+                 <= ceil({share} * sum(n) OVER ()) - sum(whole) OVER () THEN 1 ELSE 0 END AS quota
+        FROM (SELECT s, n, {share} * n AS exact, floor({share} * n) AS whole
+              FROM (SELECT {stratum} AS s, count(*) AS n FROM {source} GROUP BY 1))) USING (s)"""
+
+
+_LABEL_SQL = "CASE WHEN lapsed = 'Yes' THEN 1 ELSE 0 END"
+
+
+@query(
+    "q_stratified_split",
+    f"{_L} SELECT c_custkey, s AS label, drawn AS is_test FROM ({split_sql('c', '2e-1', '42', 'c_custkey', _LABEL_SQL)})",
+)
+def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
+    rows = features.prepare(_labelled(spark, sf), CUSTOMERS, keep_key=True).select("c_custkey", "label")
+    return split.mark_share(rows, "c_custkey", 0.2, 42, F.col("label"))
+
+
+@query(
+    "q_random_split",
+    f"SELECT o_orderkey, drawn AS is_test FROM ({split_sql('orders', '2e-1', '42', 'o_orderkey', '0')})",
+)
+def random_split(spark: SparkSession, sf: str) -> DataFrame:
+    return split.mark_share(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0.2, 42)
+
+
+_HELD = split_sql("c", "15e-2", "holdout42", "c_custkey", _LABEL_SQL)
+
+
+@query("q_holdout", f"{_L} SELECT c_custkey, lapsed FROM ({_HELD}) WHERE drawn")
+def holdout(spark: SparkSession, sf: str) -> DataFrame:
+    return draw_holdout(_labelled(spark, sf).select("c_custkey", "lapsed"), CUSTOMERS)
+
+
+@query(
+    "q_exclude_holdout",
+    f"{_L} SELECT c_custkey, lapsed, segment, n_orders FROM ({_HELD}) WHERE NOT drawn",
+)
+def exclude_holdout(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _labelled(spark, sf)
+    held = draw_holdout(rows.select("c_custkey", "lapsed"), CUSTOMERS)
+    return training_rows(
+        features.project_labels(rows, CUSTOMERS), rows.select("c_custkey", "segment", "n_orders"), CUSTOMERS, held
+    )
+
+
+@query(
+    "q_append_log",
+    f"""SELECT strftime(inference_ts, '%Y-%m-%d') AS inference_date, count(*) AS n_rows, count(note) AS n_notes,
+        round(sum(amount), 2) AS amount
+      FROM (SELECT *, CASE WHEN inference_ts >= TIMESTAMP '2024-01-16' THEN event_type END AS note
+            FROM ({EVENT_LOG_SQL})) GROUP BY 1""",
+)
+def append_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches appended to a log; the second has a column more."""
+    log = event_log(spark, sf)
+    first = log.where(F.col("inference_ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    second = log.where(F.col("inference_ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
+    name = f"{scratch_database(spark)}.inference_log"
+    scored_log.append(first, name)
+    scored_log.append(second.withColumn("note", F.col("event_type")), name)
+    return (
+        spark.table(name)
+        .groupBy(F.date_format("inference_date", "yyyy-MM-dd").alias("inference_date"))
+        .agg(
+            F.count("*").alias("n_rows"), F.count("note").alias("n_notes"), F.round(F.sum("amount"), 2).alias("amount")
+        )
+    )
