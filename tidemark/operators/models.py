@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -21,6 +22,7 @@ from tidemark.operators.split import fold_column, mark_share
 from tidemark.sources import registry, run_log
 
 MODEL_TYPES = ("logistic_regression", "random_forest", "gradient_boosted_trees")
+ROWS_PER_TASK = 10_000
 MAX_TREE_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
 _WEIGHT = "_weight"
 
@@ -93,12 +95,13 @@ class TableClassifier(Estimator):
         return self.hyper.get("class_weight", "balanced") == "balanced"
 
     def _fit(self, dataset: DataFrame) -> Model:
-        weights = quality.class_weights(dataset, LABEL).collect()  # two rows
-        estimator = self.inner(sum(w.n for w in weights))
+        counts = {r[LABEL]: r.n for r in dataset.groupBy(LABEL).agg(F.count("*").alias("n")).collect()}
+        n_rows = sum(counts.values())
+        estimator = self.inner(n_rows)
         if self._balanced():
             weight = F.lit(1.0)
-            for w in weights:
-                weight = F.when(F.col(LABEL) == w[LABEL], F.lit(w.weight)).otherwise(weight)
+            for label, n in counts.items():
+                weight = F.when(F.col(LABEL) == label, F.lit(n_rows / (len(counts) * n))).otherwise(weight)
             dataset = dataset.withColumn(_WEIGHT, weight)
             estimator = estimator.setWeightCol(_WEIGHT)
         return estimator.fit(dataset)
@@ -123,19 +126,33 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _without_tiny_tasks(df: DataFrame) -> DataFrame:
+    """Fewer partitions where they hold few rows: an iterative fit pays for every task in every pass."""
+    wanted = max(1, math.ceil(df.count() / ROWS_PER_TASK))
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+
+
+def _training_columns(df: DataFrame, config: Config) -> DataFrame:
+    """Key, features and label; the fit passes over them several times, so they are kept."""
+    prepared = prepare(df, config, keep_key=True)
+    if LABEL not in prepared.columns:
+        raise ValueError(f"The training data has no target column {config.target}")
+    return _keep(prepared.select(config.key, *config.features, LABEL))
+
+
 class TrainingSet:
     """Split, encoded and cached once, and then used by every classifier."""
 
-    def __init__(self, data: DataFrame, config: Config, key: str | None = None):
+    def __init__(self, data: DataFrame, config: Config):
         self.config = config
-        prepared = prepare(data, config, keep_key=True)
-        if LABEL not in prepared.columns:
-            raise ValueError(f"The training data has no target column {config.target}")
-        marked = mark_share(prepared, key or config.key, config.test_size, config.seed, F.col(LABEL))
-        used = marked.select(*config.features, LABEL, "is_test")
-        self.encoder = TableEncoder(config).fit(used.where(~F.col("is_test")))
-        self.encoded = _keep(self.encoder.transform(used).select(FEATURES, LABEL, "is_test"))
-        self.train = self.encoded.where(~F.col("is_test"))
+        rows = _training_columns(data, config)
+        try:
+            marked = mark_share(rows, config.key, config.test_size, config.seed, F.col(LABEL))
+            self.encoder = TableEncoder(config).fit(marked.where(~F.col("is_test")))
+            self.encoded = _keep(self.encoder.transform(marked).select(FEATURES, LABEL, "is_test"))
+            self.train = _without_tiny_tasks(self.encoded.where(~F.col("is_test")))
+        finally:
+            rows.unpersist()
 
     def fit(self, model_type: str, hyper: dict[str, object] | None = None) -> Model:
         return make_classifier(model_type, self.config, hyper).fit(self.train)
@@ -231,23 +248,23 @@ def grid_search(df: DataFrame, config: Config, model_type: str) -> DataFrame:
     The encoder is fitted once per fold, on that fold's training rows only, and serves all grid points.
     """
     spark = df.sparkSession
-    prepared = prepare(df, config, keep_key=True).withColumn(
-        "fold", fold_column(config.key, config.seed, config.cv_folds)
-    )
     points = grid_points(config.models[model_type])
-    rows: list[tuple[int, int, float | None]] = []
+    rows = _training_columns(df, config)
+    folded = rows.withColumn("fold", fold_column(config.key, config.seed, config.cv_folds))
+    found: list[tuple[int, int, float | None]] = []
     for fold in range(config.cv_folds):
         held: Column = F.col("fold") == fold
-        used = prepared.select(*config.features, LABEL, "fold")
-        encoder = TableEncoder(config).fit(used.where(~held))
-        encoded = _keep(encoder.transform(used).select(FEATURES, LABEL, "fold"))
+        encoder = TableEncoder(config).fit(folded.where(~held))
+        encoded = _keep(encoder.transform(folded).select(FEATURES, LABEL, "fold"))
         try:
+            train = _without_tiny_tasks(encoded.where(~held))
             for i, point in enumerate(points):
-                fitted = make_classifier(model_type, config, point).fit(encoded.where(~held))
-                rows.append((i, fold, _fold_metric(score(encoded.where(held), fitted), config.primary_metric)))
+                fitted = make_classifier(model_type, config, point).fit(train)
+                found.append((i, fold, _fold_metric(score(encoded.where(held), fitted), config.primary_metric)))
         finally:
             encoded.unpersist()
-    measured = spark.createDataFrame(rows, "point int, fold int, value double")
+    rows.unpersist()
+    measured = spark.createDataFrame(found, "point int, fold int, value double")
     described = spark.createDataFrame(
         [(i, ", ".join(f"{k}={v}" for k, v in p.items())) for i, p in enumerate(points)], "point int, settings string"
     )
