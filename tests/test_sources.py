@@ -89,9 +89,14 @@ def test_bucketed_features_are_not_shuffled(spark, database):
     try:
         looked_up = plan_of(feature_table.lookup(labels, spark.table(name), "customerID"))
         upserted = plan_of(feature_table.upsert_rows(spark.table(name), labels.withColumn("tenure", F.lit(1)), "customerID"))
+        more = labels.withColumn("tenure", F.lit(1)).drop("Churn")
+        feature_table.merge(more, name, "customerID", buckets=4)
         checked = plan_of(feature_table.key_problems(spark.table(name), "customerID"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    files = {r.f for r in spark.table(f"{name}__v2").select(F.input_file_name().alias("f")).collect()}
+    assert len(files) == 4  # one per bucket, although the stored rows were not shuffled
+    assert spark.table(name).where("tenure = 1").count() == 50
     assert looked_up.count("Exchange hashpartitioning") == 1
     assert upserted.count("Exchange hashpartitioning") == 1
     assert "Exchange hashpartitioning" not in checked
@@ -177,3 +182,28 @@ def test_broadcast_only_after_a_count(spark):
 
 def test_schema_of_samples(spark):
     assert customers(spark, 1).schema.simpleString() == T.StructType.fromDDL(SCHEMA).simpleString()
+
+
+def test_a_hot_key_is_split_in_a_lookup(spark):
+    """Half of the label rows have one key; adaptive execution cuts that partition up."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        number = F.col("id")
+        labels = spark.range(0, 200_000, 1, 8).select(
+            F.when(number % 2 == 0, 7).otherwise(number).alias("k"), F.sha1(number.cast("string")).alias("label")
+        )
+        features = spark.range(0, 200_000, 3).select(F.col("id").alias("k"), F.col("id").alias("f"))
+        found = feature_table.lookup(labels, features, "k")
+        assert len(found.collect()) == 200_000
+        assert "skew=true" in plan_of(found)
+    finally:
+        for name in small:
+            spark.conf.unset(name)

@@ -74,16 +74,18 @@ def _inside(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
 def _narrow(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
     grid = F.array(*[F.lit(i / _STEPS) for i in range(_STEPS + 1)])
     ids = [*by, "p"]
+    # ranks with the same bracket, as all of a group's at first, share one summary
+    bracket = [*by, "lo", "hi"]
     edges = (
-        _inside(rows, targets, by)
+        _inside(rows, targets.select(*bracket).distinct(), by)
         .where("v >= lo")
-        .groupBy(*ids)
+        .groupBy(*bracket)
         .agg(F.percentile_approx("v", grid, 20 * _STEPS).alias("edges"))
     )
     first = F.floor((F.col("rank_lo") - F.col("below")) / F.col("inside") * _STEPS) - 1
     last = F.ceil((F.col("rank_hi") - F.col("below") + 1) / F.col("inside") * _STEPS) + 1
     proposal = cut_lineage(
-        targets.join(edges, ids)
+        targets.join(edges, bracket)
         .withColumn("new_lo", F.when(first > 0, F.element_at("edges", (first + 1).cast("int"))).otherwise(F.col("lo")))
         .withColumn("new_hi", F.when(last < _STEPS, F.element_at("edges", (last + 1).cast("int"))).otherwise(F.col("hi")))
         .drop("edges")

@@ -67,7 +67,7 @@ def dedupe_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "q_key_problems",
-    """SELECT CAST(sum(n) AS BIGINT) AS n_rows, 0 AS null_keys, count(*) FILTER (WHERE n > 1) AS repeated_keys
+    """SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS null_keys, count(*) FILTER (WHERE n > 1) AS repeated_keys
     FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)""",
 )
 def key_problems(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,7 +237,7 @@ _PROBS = (0.1, 0.5, 0.9)
 def quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """Exact quantiles by narrowing, as it is done for groups too large for one task."""
     columns = ["l_extendedprice", "l_quantity", "l_tax"]
-    found = column_quantiles(table(spark, sf, "lineitem"), columns, _PROBS, small_group=2_000)
+    found = column_quantiles(table(spark, sf, "lineitem"), columns, _PROBS, small_group=10_000)
     rows = [(c, *[round(v, 4) for v in found[c]]) for c in columns]
     return spark.createDataFrame(rows, "column string, p10 double, p50 double, p90 double")
 
@@ -318,8 +318,8 @@ def append_log(spark: SparkSession, sf: str) -> DataFrame:
     first = log.where(F.col("inference_ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
     second = log.where(F.col("inference_ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
     name = f"{scratch_database(spark)}.inference_log"
-    scored_log.append(first, name)
-    scored_log.append(second.withColumn("note", F.col("event_type")), name)
+    scored_log.append(first, name, many_days=True)
+    scored_log.append(second.withColumn("note", F.col("event_type")), name, many_days=True)
     return (
         spark.table(name)
         .groupBy(F.date_format("inference_date", "yyyy-MM-dd").alias("inference_date"))

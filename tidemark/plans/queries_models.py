@@ -164,11 +164,11 @@ def best_run(spark: SparkSession, sf: str) -> DataFrame:
     "q_best_run_of_batch",
     f"""SELECT run_id, model_type, test_recall AS metric_value
     FROM ({RUNS_SQL}) JOIN ({RUN_METRICS_SQL}) USING (run_id)
-    WHERE status = 'FINISHED' AND batch_id = '7' ORDER BY test_recall DESC NULLS LAST, run_id LIMIT 1""",
+    WHERE status = 'FINISHED' AND batch_id = '1998' ORDER BY test_recall DESC NULLS LAST, run_id LIMIT 1""",
 )
 def best_run_of_batch(spark: SparkSession, sf: str) -> DataFrame:
     run_rows, measured = runs(spark, sf)
-    best = run_log.best_run(run_rows, measured, "test_recall", batch_id="7")
+    best = run_log.best_run(run_rows, measured, "test_recall", batch_id="1998")
     return best.select("run_id", "model_type", "metric_value")
 
 
@@ -319,7 +319,7 @@ def what_if(spark: SparkSession, sf: str) -> DataFrame:
         _pipeline(spark, sf),
         CUSTOMERS,
         F.col("segment") == "BUILDING",
-        {"days_since": F.greatest(F.lit(0), F.col("days_since") - 180)},
+        {"days_since": F.when(F.col("days_since").isNotNull(), F.greatest(F.lit(0), F.col("days_since") - 180))},
         "segment",
     )
 

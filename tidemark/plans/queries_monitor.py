@@ -213,16 +213,33 @@ def quality_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return _days(monitor.quality_alerts(by_window, base_f1, "actual"), "value")
 
 
-@query("q_monitor_refresh", "SELECT 1 AS n_ok, 2 AS n_tables")
+@query(
+    "q_monitor_refresh",
+    f"""{_E}, b AS (SELECT f1 AS base FROM ({confusion_sql(f"({_JUDGED} base)", "prob")})),
+     q AS (SELECT day, f1 FROM ({confusion_sql(f"({_JUDGED} cur)", "prob", "day")}))
+    SELECT window_start, "column", metric, round(value, 6) AS value, threshold,
+      CAST(1 AS BIGINT) AS n_ok, CAST(2 AS BIGINT) AS n_tables
+    FROM (
+      SELECT window_start, "column", metric, value, 2e-1 AS threshold
+      FROM ({_PSI_TEXT} UNION ALL {_PSI_NUMBER}) WHERE value > 2e-1
+      UNION ALL SELECT day, 'actual', 'f1_relative_drop', (base - f1) / base, 5e-2
+      FROM q, b WHERE base > 0 AND (base - f1) / base > 5e-2)""",
+)
 def monitor_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """Monitors of every log of one name: one log is whole, the other has no time column and fails."""
+    """Monitors of every log of one name: one log is whole, the other has no time column and fails.
+
+    Gives the alerts stored for the whole log, beside how many logs were found and refreshed.
+    """
     baseline, current = baseline_and_current(event_log(spark, sf))
     good, bad = scratch_database(spark), scratch_database(spark)
     log_name = f"log_{good}"
-    scored_log.append(current, f"{good}.{log_name}")
+    scored_log.append(current, f"{good}.{log_name}", many_days=True)
     current.drop("inference_ts").write.format("parquet").saveAsTable(f"{bad}.{log_name}")
 
     def refresh(name: str) -> None:
         write_monitors(monitor_log(spark.table(name), baseline, EVENTS), name, EVENTS.target)
 
-    return refresh_summary(refresh_all(spark, log_name, refresh))
+    results = refresh_summary(refresh_all(spark, log_name, refresh)).first()
+    return _days(spark.table(f"{good}.{log_name}_alerts"), "value").withColumns(
+        {c: F.lit(results[c]).cast("bigint") for c in ("n_ok", "n_tables")}
+    )

@@ -120,7 +120,10 @@ def scored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             "c_custkey",
             "segment",
             (F.col("lapsed") == "Yes").cast("int").alias("label"),
-            F.coalesce(F.least(F.lit(1.0), F.col("days_since") / 365.0), F.lit(0.5)).alias("prob_champion"),
+            # `least` skips nulls, so the missing case comes first
+            F.when(F.col("days_since").isNull(), 0.5)
+            .otherwise(F.least(F.lit(1.0), F.col("days_since") / 365.0))
+            .alias("prob_champion"),
             F.coalesce(1.0 / (1.0 + F.col("n_orders") / 8.0), F.lit(0.5)).alias("prob_challenger"),
         )
     )
@@ -173,7 +176,7 @@ def runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A run log of one run per order, with metrics from its line items."""
     run_rows = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("run_id"),
-        F.col("o_custkey").cast("string").alias("batch_id"),
+        F.date_format("o_orderdate", "yyyy").alias("batch_id"),
         F.col("o_orderpriority").alias("model_type"),
         F.when(F.col("o_orderstatus") == "F", "FINISHED").otherwise("RUNNING").alias("status"),
         F.col("o_orderdate").alias("started_at"),
@@ -193,7 +196,7 @@ def runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 RUNS_SQL = """
-      SELECT CAST(o_orderkey AS VARCHAR) AS run_id, CAST(o_custkey AS VARCHAR) AS batch_id,
+      SELECT CAST(o_orderkey AS VARCHAR) AS run_id, strftime(o_orderdate, '%Y') AS batch_id,
              o_orderpriority AS model_type,
              CASE WHEN o_orderstatus = 'F' THEN 'FINISHED' ELSE 'RUNNING' END AS status,
              o_orderdate AS started_at

@@ -51,17 +51,29 @@ def exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def _publish(df: DataFrame, name: str, key: str, buckets: int | None) -> int:
-    """Write a version, check its key where it lies, then move the pointer. Returns the row count."""
+def _bucket_count(spark: SparkSession, name: str) -> int | None:
+    """Buckets of the newest version, None if it has none."""
+    database, table = _split_name(spark, name)
+    newest = f"`{database}`.`{table}__v{_versions(spark, name)[-1]}`"
+    described = spark.sql(f"DESCRIBE EXTENDED {newest}").where("col_name = 'Num Buckets'").first()
+    return int(described.data_type) if described else None
+
+
+def _publish(df: DataFrame, name: str, key: str, buckets: int | None, in_buckets: bool = False) -> int:
+    """Write a version, check its key where it lies, then move the pointer. Returns the row count.
+
+    `in_buckets` says that the tasks of `df` hold one bucket each already.
+    """
     spark = df.sparkSession
     database, table = _split_name(spark, name)
     version = max(_versions(spark, name), default=0) + 1
     target = f"`{database}`.`{table}__v{version}`"
-    writer = df.write.format("parquet")
     if buckets:
         # hash partitioning and bucketing agree, so each task writes one bucket file
-        writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
-    writer.saveAsTable(target)
+        rows = df if in_buckets else df.repartition(buckets, key)
+        rows.write.format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(target)
+    else:
+        df.write.format("parquet").saveAsTable(target)
     try:
         rows = require_unique_key(spark.table(target), key)
     except KeyViolation:
@@ -79,16 +91,29 @@ def create(df: DataFrame, name: str, key: str, buckets: int | None = None) -> in
 
 
 def upsert_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Rows of `new` in place of rows with the same key, the other rows of `old` kept."""
-    kept = old.join(new.select(key), key, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True).select(
-        *old.columns, *[c for c in new.columns if c not in old.columns]
+    """Rows of `new` in place of rows with the same key, the other rows of `old` kept.
+
+    One full outer join: where `old` is bucketed by the key its rows stay where they are, and every task
+    goes on holding one bucket.
+    """
+    incoming = new.select(
+        F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in new.columns], F.lit(True).alias("_hit")
     )
+    joined = old.join(incoming, F.col(key) == F.col("_key"), "full_outer")
+
+    def pick(c: str):
+        value = F.col(f"_new_{c}") if c in new.columns else F.lit(None)
+        kept = F.col(c) if c in old.columns else F.lit(None)
+        return F.when(F.col("_hit"), value).otherwise(kept).alias(c)
+
+    return joined.select(*[pick(c) for c in [*old.columns, *[c for c in new.columns if c not in old.columns]]])
 
 
 def merge(df: DataFrame, name: str, key: str, buckets: int | None = None) -> int:
     """Upsert into an existing feature table."""
-    return _publish(upsert_rows(df.sparkSession.table(name), df, key), name, key, buckets)
+    spark = df.sparkSession
+    in_buckets = buckets is not None and _bucket_count(spark, name) == buckets
+    return _publish(upsert_rows(spark.table(name), df, key), name, key, buckets, in_buckets)
 
 
 def write(df: DataFrame, name: str, key: str, buckets: int | None = None) -> int:

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 DATE_COLUMN = "inference_date"
 
 
-def append(scored: DataFrame, name: str, ts: str = "inference_ts") -> None:
+def append(scored: DataFrame, name: str, ts: str = "inference_ts", many_days: bool = False) -> None:
     """Append to the log; columns the log lacks are added to it, columns the batch lacks are null.
 
-    The schema grows in the catalog, so readers need no footer merge over all files.
+    The schema grows in the catalog, so readers need no footer merge over all files. `many_days` is for
+    batches that span days: rows are gathered by day first, so that not every task writes a file for every
+    day, and a day with very many rows is still spread over several tasks.
     """
     spark = scored.sparkSession
     rows = scored.withColumn(DATE_COLUMN, F.to_date(ts))
+    if many_days:
+        rows = rows.hint("rebalance", DATE_COLUMN)
     if not spark.catalog.tableExists(name):
         rows.write.format("parquet").partitionBy(DATE_COLUMN).saveAsTable(name)
         return
