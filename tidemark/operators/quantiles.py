@@ -50,28 +50,27 @@ def _narrowed(rows: DataFrame, sizes: DataFrame, by: list[str], probs: Sequence[
         .withColumn("below", F.lit(0).cast("bigint"))
         .withColumnRenamed("n", "inside")
     )
+    targets = targets.withColumn("open", _still_open(small))
     for _ in range(_MAX_ROUNDS):
-        state = targets.agg(
-            F.max(F.when(F.col("lo") < F.col("hi"), F.col("inside"))).alias("widest"),
-            F.sum("inside").alias("total"),
-        ).first()
-        if state.widest is None or state.widest <= small:
-            break
-        narrower = cut_lineage(_narrow(rows, targets, by))
-        shrunk = narrower.agg(F.sum("inside")).first()[0] < state.total
-        targets = narrower
-        if not shrunk:
+        if targets.where("open").isEmpty():
             break
+        narrower = _narrow(rows, targets.where("open"), by, small)
+        targets = cut_lineage(targets.where("not open").unionByName(narrower))
     return _pick(rows, targets, by, probs)
 
 
+def _still_open(small: int):
+    """A bracket that is narrow enough, or holds one value only, needs no more narrowing."""
+    return (F.col("inside") > small) & (F.col("lo") < F.col("hi"))
+
+
 def _inside(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
     """Rows up to the upper end of every bracket of their group."""
     side = broadcast_if_small(targets)
     return rows.join(side, by).where("v <= hi")
 
 
-def _narrow(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
+def _narrow(rows: DataFrame, targets: DataFrame, by: list[str], small: int) -> DataFrame:
     grid = F.array(*[F.lit(i / _STEPS) for i in range(_STEPS + 1)])
     ids = [*by, "p"]
     # ranks with the same bracket, as all of a group's at first, share one summary
@@ -103,15 +102,23 @@ def _narrow(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
         F.col("new_below") + F.col("new_inside") > F.col("rank_hi")
     )
     pick = lambda new, old: F.when(holds, F.col(new)).otherwise(F.col(old)).alias(old)
-    return proposal.join(counted, ids).select(
-        *ids,
-        "rank_lo",
-        "rank_hi",
-        "fraction",
-        pick("new_lo", "lo"),
-        pick("new_hi", "hi"),
-        pick("new_below", "below"),
-        pick("new_inside", "inside"),
+    # a bracket that hardly shrinks is full of copies of a value; a hundredth of it at most is anything else
+    clumped = holds & (F.col("new_inside") * 2 > F.col("inside")) & (F.col("inside") < 100 * small)
+    return (
+        proposal.join(counted, ids)
+        .select(
+            *ids,
+            "rank_lo",
+            "rank_hi",
+            "fraction",
+            pick("new_lo", "lo"),
+            pick("new_hi", "hi"),
+            pick("new_below", "below"),
+            pick("new_inside", "inside"),
+            clumped.alias("clumped"),
+        )
+        .withColumn("open", _still_open(small) & ~F.col("clumped"))
+        .drop("clumped")
     )
 
 
