@@ -80,7 +80,11 @@ def require_best_run(
 
 def compare_models(runs: DataFrame, metrics: DataFrame, names: list[str]) -> DataFrame:
     """One row per run in training order, one column per metric."""
-    wide = metrics.where(F.col("name").isin(names)).groupBy("run_id").pivot("name", names).agg(F.max("value"))
+    wide = (
+        metrics.where(F.col("name").isin(names))
+        .groupBy("run_id")
+        .agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])
+    )
     return (
         runs.select("run_id", "model_type", "started_at")
         .join(wide, "run_id", "left")
