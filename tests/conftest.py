@@ -15,7 +15,7 @@ TABLES = (
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cpus=8, shuffle_partitions=8, name="tests")
+    session = local_session(cpus=8, shuffle_partitions=4, name="tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
