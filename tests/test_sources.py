@@ -192,7 +192,9 @@ def test_a_hot_key_is_split_in_a_lookup(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
     }
+    before = {name: spark.conf.get(name, None) for name in small}
     for name, value in small.items():
         spark.conf.set(name, value)
     try:
@@ -205,5 +207,5 @@ def test_a_hot_key_is_split_in_a_lookup(spark):
         assert len(found.collect()) == 200_000
         assert "skew=true" in plan_of(found)
     finally:
-        for name in small:
-            spark.conf.unset(name)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -32,6 +32,7 @@ def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
     return [c for c in required if c not in present]
 
 
+# Check names and the wording of their details are fixed values: other tools read the report.
 def check_input(df: DataFrame, config: Config) -> DataFrame:
     """Quality report of a raw table: check_name, passed, actual_value, details.
 
