@@ -344,10 +344,13 @@ def holdout_gate(spark: SparkSession, sf: str) -> DataFrame:
 @query("q_retrain")
 def retrain_customers(spark: SparkSession, sf: str) -> DataFrame:
     """The whole path on stored tables: checks, feature table, three models, gate, promotion."""
-    rows = _labelled(spark, sf)
     config = CUSTOMERS.with_(ranges={**CUSTOMERS.ranges, "acctbal": (0.0, 10_000.0)}, null_rate_columns=("n_orders",))
-    held = draw_holdout(rows, config)
     prefix = f"{scratch_database(spark)}.lapse"
+    # source and holdout are stored tables, as they are in practice: every step reads them again
+    _labelled(spark, sf).write.format("parquet").saveAsTable(f"{prefix}_source")
+    rows = spark.table(f"{prefix}_source")
+    draw_holdout(rows, config).write.format("parquet").saveAsTable(f"{prefix}_holdout")
+    held = spark.table(f"{prefix}_holdout")
     result = retrain(spark, rows, config, prefix, scratch_path(spark, "models"), held)
     out = [
         (
