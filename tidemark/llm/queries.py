@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe_codec import encode_documents
 from tidemark.llm.common import table
+from tidemark.llm.sharding import shard_rows
 from tidemark.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=1024)
 
 
+@query("op6_feistel_shards")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"), 24)
+
+
 @query("op7_bpe_codec")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
