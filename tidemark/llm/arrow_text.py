@@ -140,3 +140,13 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     marks = np.zeros(len(counts) + 1, dtype=np.int32)
     np.cumsum(counts, out=marks[1:])
     return pa.ListArray.from_arrays(pa.array(marks, pa.int32()), pa.array(values, kind))
+
+
+def short_batches(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts have at most `limit` bytes together, or are one longer text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        marks = np.zeros(len(sizes) + 1, dtype=np.int64)
+        np.cumsum(sizes, out=marks[1:])
+        for first, last in slices(marks, limit):
+            yield batch.slice(first, last - first)

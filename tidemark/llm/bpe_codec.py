@@ -23,9 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.arrow_text import short_batches
 from tidemark.llm.token_counts import load_tokenizer
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 CACHED_CHARS = 48
 
 #: White space as the tokenizer's pattern engine has it.
@@ -286,7 +287,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(path)
         cache = _caches.setdefault(path, {})
-        for batch in batches:
+        for batch in short_batches(batches, 1):
             if len(cache) > CACHE_ENTRIES:
                 cache.clear()
             values = [v or "" for v in batch.column(1).to_pylist()]

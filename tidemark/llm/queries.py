@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe_codec import encode_documents
 from tidemark.llm.common import table
+from tidemark.llm.quality_gam import score_quality
 from tidemark.llm.sharding import shard_rows
 from tidemark.llm.token_counts import count_tokens
 
@@ -28,6 +29,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+@query("op2_quality_gam")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), 0.7)
+
+
 @query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=1024)

@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.arrow_text import short_batches
+
 TABLE_SIZE = 65_536
 #: Pieces that a task's summary holds; below half as many go on to be merged.
-TASK_SUMMARY = 120_000
+TASK_SUMMARY = 80_000
 PIECE_CHARS = 48
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 
 _SPLIT = re.compile(r"(?= \S)")
 #: Characters on which Python and the tokenizer disagree about white space.
@@ -72,7 +74,7 @@ def frequent_pieces(docs: DataFrame, text: str, size: int = TABLE_SIZE) -> list[
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in short_batches(batches, 0):
             for value in batch.column(0).to_pylist():
                 if value:
                     seen.update(value.split(" "))
@@ -112,7 +114,7 @@ def count_tokens(
         tokenizer, added = load_tokenizer(path)
         known = shared.value.get
         cache = _caches.setdefault(path, {})
-        for batch in batches:
+        for batch in short_batches(batches, 1):
             if len(cache) > CACHE_ENTRIES:
                 cache.clear()
             totals, sizes, open_pieces = [], [], []
