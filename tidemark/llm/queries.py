@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe_codec import encode_documents
 from tidemark.llm.common import table
+from tidemark.llm.parity_join import jaccard_components
 from tidemark.llm.quality_gam import score_quality
 from tidemark.llm.sharding import shard_rows
 from tidemark.llm.token_counts import count_tokens
@@ -47,3 +48,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe_codec")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op10_parity_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
