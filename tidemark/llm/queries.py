@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe_codec import encode_documents
 from tidemark.llm.common import table
+from tidemark.llm.decontaminate import contaminated_pairs
 from tidemark.llm.parity_join import jaccard_components
 from tidemark.llm.quality_gam import score_quality
 from tidemark.llm.sharding import shard_rows
@@ -30,6 +31,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+@query("op1_decontaminate")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_quality_gam")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), 0.7)
