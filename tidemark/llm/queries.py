@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.bpe_codec import encode_documents
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contaminated_pairs
+from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.parity_join import jaccard_components
 from tidemark.llm.quality_gam import score_quality
 from tidemark.llm.sharding import shard_rows
@@ -46,6 +47,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=1024)
 
 
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op6_feistel_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), 24)
