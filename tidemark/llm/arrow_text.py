@@ -16,8 +16,7 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _STEP = 0xD6E8FEB86659FD93
 
 
@@ -83,18 +82,18 @@ def word_spans(data: np.ndarray, marks: np.ndarray, inside: np.ndarray) -> tuple
     return starts, ends, np.searchsorted(starts, marks)
 
 
-_powers: dict[str, np.ndarray] = {}
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power_table(base: int, n: int, name: str) -> np.ndarray:
-    held = _powers.get(name)
+def _power_table(base: int, n: int) -> np.ndarray:
+    held = _powers.get(base)
     if held is None or len(held) < n:
         size = max(n, SLICE_BYTES + 1)
         steps = np.full(size, base, dtype=np.uint64)
         steps[0] = 1
         held = np.multiply.accumulate(steps)
         if size <= 2 * SLICE_BYTES:
-            _powers[name] = held
+            _powers[base] = held
     return held[:n]
 
 
@@ -109,13 +108,16 @@ def mix(values: np.ndarray) -> np.ndarray:
     return z
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span: a polynomial in an odd base, so a difference of two prefix sums."""
-    n = len(data)
-    terms = (data.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, n, "up")
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, variant: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes of each span: a polynomial in an odd base, so a difference of two prefix sums.
+
+    The two variants have different bases; together they give 128 bits.
+    """
+    n, base = len(data), _BASES[variant]
+    terms = (data.astype(np.uint64) + np.uint64(1)) * _power_table(base, n)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(terms, out=sums[1:])
-    down = _power_table(_BASE_INVERSE, n + 1, "down")
+    down = _power_table(pow(base, -1, 1 << 64), n + 1)
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 

@@ -11,6 +11,7 @@ from tidemark.llm.bpe_codec import encode_documents
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contaminated_pairs
 from tidemark.llm.license_scan import scan_licenses
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.parity_join import jaccard_components
 from tidemark.llm.quality_gam import score_quality
 from tidemark.llm.sharding import shard_rows
@@ -62,6 +63,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query("op8_line_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op10_parity_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
