@@ -26,8 +26,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.arrow_text import short_batches
 from tidemark.llm.token_counts import load_tokenizer
 
-CACHE_ENTRIES = 200_000
+#: Entries of a generation of the worker's caches, of chunks and of words; two generations are held.
+CHUNK_ENTRIES = 200_000
+WORD_ENTRIES = 250_000
 CACHED_CHARS = 48
+#: Symbols of a word up to which looking at all pairs is the quicker way.
+SHORT = 40
 
 #: White space as the tokenizer's pattern engine has it.
 _SPACE = regex.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
@@ -72,6 +76,24 @@ class Borders:
         return result
 
 
+class Memo:
+    """A bounded cache of two generations: what is used again moves to the young one, the old one is dropped."""
+
+    def __init__(self, entries: int):
+        self.entries, self.young, self.old = entries, {}, {}
+
+    def age(self) -> None:
+        if len(self.young) >= self.entries:
+            self.young, self.old = {}, self.young
+
+    def recall(self, key: str):
+        """An entry of the old generation, if any, moved to the young one."""
+        found = self.old.get(key)
+        if found is not None:
+            self.young[key] = found
+        return found
+
+
 @dataclass
 class Vocabulary:
     """What encoding needs from a tokenizer file."""
@@ -83,14 +105,14 @@ class Vocabulary:
     suffix: str
     ids: dict[str, int]
     names: list[str]
-    longest: int
+    longest: dict[str, int]
     ranks: dict[tuple[str, str], int]
     sound: np.ndarray
     borders: Borders
 
 
 _loaded: dict[str, Vocabulary] = {}
-_caches: dict[str, dict[str, tuple[str, int, str]]] = {}
+_caches: dict[str, tuple[Memo, Memo]] = {}
 
 
 def byte_symbols() -> list[str]:
@@ -133,6 +155,11 @@ def load_vocabulary(path: str) -> Vocabulary:
         if rank[made] >= 0:
             made_twice.append(made)
         rank[made], left[made], right[made] = n, ids[a], ids[b]
+    # the length of the longest token that begins with two given symbols
+    longest: dict[str, int] = {}
+    for name in ids:
+        if len(name) > longest.get(name[:2], 0):
+            longest[name[:2]] = len(name)
     borders = Borders(rank, left, right, pairs, np.arange(len(pairs)))
     sound = np.ones(size, dtype=bool)
     merged = np.flatnonzero(rank >= 0)
@@ -151,7 +178,7 @@ def load_vocabulary(path: str) -> Vocabulary:
         suffix,
         ids,
         names,
-        max(map(len, ids)),
+        longest,
         ranks,
         sound,
         borders,
@@ -161,29 +188,51 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 def greedy(word: str, vocabulary: Vocabulary) -> list[int]:
     """Longest tokens from the left; `word` is in byte symbols with the suffix, which stays whole."""
-    ids, out, at = vocabulary.ids, [], 0
-    n, stop = len(word), len(word) - len(vocabulary.suffix)
+    ids, longest, out, at = vocabulary.ids, vocabulary.longest, [], 0
+    n = len(word)
+    stop = n - len(vocabulary.suffix)
     while at < n:
-        end = min(n, at + vocabulary.longest)
-        while True:
-            found = ids.get(word[at:end])
-            if found is not None and (end == n or end < stop):
-                break
-            end = stop - 1 if stop <= end - 1 < n else end - 1
+        end = at + longest.get(word[at : at + 2], 1)
+        if end >= n:
+            end = n
+        elif end >= stop:
+            end = stop - 1
+        found = ids.get(word[at:end])
+        while found is None:
+            end = stop - 1 if end == n else end - 1
             if end <= at:
                 raise ValueError(f"No token for {word[at]!r}")
+            found = ids.get(word[at:end])
         out.append(found)
         at = end
     return out
 
 
 def merge_exactly(word: str, vocabulary: Vocabulary) -> list[int]:
-    """Apply the merge of lowest rank, leftmost first, until none applies.
-
-    Candidates wait in a heap and neighbours are linked, so that a word of n symbols takes n log n steps.
-    """
+    """Apply the merge of lowest rank, leftmost first, until none applies."""
     stop = len(word) - len(vocabulary.suffix)
-    parts: list[str | None] = [*word[: stop - 1], word[stop - 1 :]]
+    parts = [*word[: stop - 1], word[stop - 1 :]]
+    if len(parts) > SHORT:
+        return _merge_long(parts, vocabulary)
+    ranks = vocabulary.ranks
+    never = len(ranks)
+    waiting = [ranks.get(pair, never) for pair in zip(parts, parts[1:])]
+    while waiting:
+        least = min(waiting)
+        if least == never:
+            break
+        i = waiting.index(least)
+        parts[i] += parts.pop(i + 1)
+        del waiting[i]
+        if i:
+            waiting[i - 1] = ranks.get((parts[i - 1], parts[i]), never)
+        if i < len(waiting):
+            waiting[i] = ranks.get((parts[i], parts[i + 1]), never)
+    return [vocabulary.ids[p] for p in parts]
+
+
+def _merge_long(parts: list[str | None], vocabulary: Vocabulary) -> list[int]:
+    """The same with a heap of candidates and linked neighbours, so that n symbols take n log n steps."""
     after = [*range(1, len(parts)), -1]
     before = [-1, *range(len(parts) - 1)]
     ranks = vocabulary.ranks
@@ -230,35 +279,41 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> tuple[list[list[in
     return proposed, len(failing)
 
 
-def encode_chunks(chunks: list[str], vocabulary: Vocabulary) -> list[tuple[str, int, str]]:
-    """For texts without white space: decimal ids, how many, and the token names, both joined by one space."""
-    normal = [vocabulary.tokenizer.normalizer.normalize_str(c) for c in chunks]
-    cut = [vocabulary.words.findall(c) for c in normal]
-    distinct = list(dict.fromkeys(w for c in cut for w in c))
+def encode_chunks(chunks: list[str], vocabulary: Vocabulary, memo: Memo | None = None) -> list[tuple[str, str]]:
+    """For texts without white space: decimal ids, and the token names, both joined by one space."""
+    memo = memo or Memo(WORD_ENTRIES)
+    normalise, find = vocabulary.tokenizer.normalizer.normalize_str, vocabulary.words.findall
+    cut = []
+    for c in chunks:
+        # in ASCII, normalising is lower case, and letters alone are one word
+        c = c.lower() if c.isascii() else normalise(c)
+        cut.append([c] if c.isascii() and c.isalpha() else find(c))
+    held = memo.young
+    missing = {w for words in cut for w in words if w not in held and memo.recall(w) is None}
+    distinct = list(missing)
     encoded, _ = encode_words(distinct, vocabulary)
-    of = dict(zip(distinct, encoded, strict=True))
     names = vocabulary.names
+    own = {w: (" ".join(map(str, ids)), " ".join([names[i] for i in ids])) for w, ids in zip(distinct, encoded, strict=True)}
     out = []
     for words in cut:
-        ids = [i for w in words for i in of[w]]
-        out.append((" ".join(map(str, ids)), len(ids), " ".join([names[i] for i in ids])))
+        found = [own[w] if w in own else held[w] for w in words]
+        out.append(found[0] if len(found) == 1 else (" ".join([f[0] for f in found]), " ".join([f[1] for f in found])))
+    held.update((w, e) for w, e in own.items() if len(w) <= CACHED_CHARS)
+    memo.age()
     return out
 
 
-def encode_text(text: str, vocabulary: Vocabulary, entry) -> tuple[list[str], int, list[str]]:
-    """Ids, count and names of a text, with `entry` giving those of a chunk; added tokens stand for themselves."""
+def encode_text(text: str, vocabulary: Vocabulary, entry) -> list[tuple[str, str]]:
+    """Ids and names of the chunks of a text as `entry` gives them; added tokens stand for themselves."""
     marked = [a for a in vocabulary.added if a in text]
     parts = regex.split("(" + "|".join(map(regex.escape, sorted(marked, key=len, reverse=True))) + ")", text) if marked else [text]
-    ids, n, names = [], 0, []
+    found = []
     for part in parts:
         if part in marked:
-            found = [(str(vocabulary.tokenizer.token_to_id(part)), 1, part)]
+            found.append((str(vocabulary.tokenizer.token_to_id(part)), part))
         else:
-            found = [entry(c) for c in _SPACE.split(part) if c]
-        ids += [f[0] for f in found if f[1]]
-        names += [f[2] for f in found if f[1]]
-        n += sum(f[1] for f in found)
-    return ids, n, names
+            found += [entry(c) for c in _SPACE.split(part) if c]
+    return found
 
 
 def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
@@ -270,8 +325,8 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
 
 def encode_ids(text: str, vocabulary: Vocabulary) -> list[int]:
     """All token ids of one text."""
-    ids, _, _ = encode_text(text, vocabulary, lambda c: encode_chunks([c], vocabulary)[0])
-    return [int(i) for part in ids for i in part.split(" ")]
+    found = encode_text(text, vocabulary, lambda c: encode_chunks([c], vocabulary)[0])
+    return [int(i) for ids, _ in found for i in ids.split()]
 
 
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", digests: bool = True) -> DataFrame:
@@ -286,10 +341,10 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load_vocabulary(path)
-        cache = _caches.setdefault(path, {})
+        memo, words = _caches.setdefault(path, (Memo(CHUNK_ENTRIES), Memo(WORD_ENTRIES)))
         for batch in short_batches(batches, 1):
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
+            memo.age()
+            held = memo.young
             values = [v or "" for v in batch.column(1).to_pylist()]
             chunks: list[list[str] | None] = []
             missing: set[str] = set()
@@ -297,29 +352,28 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
                 if any(a in value for a in vocabulary.added):
                     chunks.append(None)
                     for part in regex.split("|".join(map(regex.escape, vocabulary.added)), value):
-                        missing.update(c for c in _SPACE.split(part) if c and c not in cache)
+                        missing.update(c for c in _SPACE.split(part) if c and c not in held)
                     continue
                 odd = "\x1c" in value or "\x1d" in value or "\x1e" in value or "\x1f" in value
                 cut = [c for c in _SPACE.split(value) if c] if odd else value.split()
                 chunks.append(cut)
-                missing.update(c for c in cut if c not in cache)
-            wanted = list(missing)
-            own = dict(zip(wanted, encode_chunks(wanted, vocabulary), strict=True))
-            cache.update((c, e) for c, e in own.items() if len(c) <= CACHED_CHARS)
+                missing.update([c for c in cut if c not in held])
+            wanted = [c for c in missing if memo.recall(c) is None]
+            own = dict(zip(wanted, encode_chunks(wanted, vocabulary, words), strict=True))
+            held.update((c, e) for c, e in own.items() if len(c) <= CACHED_CHARS)
             # what is too long for the cache is looked up in `own`
-            entry = lambda c: own[c] if c in own else cache[c]
+            entry = lambda c: held[c] if c in held else own[c]
             sizes, first, second = [], [], []
             for value, cut in zip(values, chunks, strict=True):
                 if cut is None:
-                    ids, n, names = encode_text(value, vocabulary, entry)
+                    found = encode_text(value, vocabulary, entry)
                 else:
-                    found = list(map(cache.get, cut))
+                    found = list(map(held.get, cut))
                     if None in found:
                         found = [own[c] if f is None else f for c, f in zip(cut, found, strict=True)]
-                    found = [f for f in found if f[1]]
-                    ids, n, names = [f[0] for f in found], sum([f[1] for f in found]), [f[2] for f in found]
-                sizes.append(n)
-                joined, decoded = " ".join(ids), " ".join(names)
+                found = [f for f in found if f[0]] if ("", "") in found else found
+                joined, decoded = " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
+                sizes.append(joined.count(" ") + 1 if joined else 0)
                 if digests:
                     first.append(hashlib.sha256(joined.encode("ascii")).hexdigest())
                     second.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())

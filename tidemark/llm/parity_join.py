@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import NOT_SPACE, flat_texts, list_array, lower_ascii, mix, run_hashes, short_batches, slices, span_hashes, word_spans
+from tidemark.llm.bitmaps import bitmap_of, hits
 from tidemark.llm.common import stored, with_row_key
 from tidemark.llm.components import components
 
@@ -39,8 +40,8 @@ PER_CENT = 80
 #: Blocks of a band for each word that its largest sets sign with.
 SPARE = 1.5
 LEAST_BLOCKS = 8
-#: Prime below 2^26: size of the bitmap that spares texts which no signature concerns. Hits are checked by a join.
-BITMAP = 67_108_859
+#: Longs of the one-bit parity sketch that pairs of a bucket are held against.
+SKETCH = 16
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -122,6 +123,13 @@ def signatures(owner: np.ndarray, value: np.ndarray, n: int, per_cent: int = PER
     return np.concatenate(owners), np.concatenate(signs)
 
 
+def bit_sketches(owner: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """Parity sketches of `n` sets: each element flips one bit, so no more bits differ than elements do."""
+    bit = (value >> np.uint64(3)) % np.uint64(64 * SKETCH)
+    flips = np.bincount(owner * (64 * SKETCH) + bit.astype(np.int64), minlength=n * 64 * SKETCH)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(n, -1), axis=1, bitorder="little").view(np.int64)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
@@ -198,37 +206,23 @@ def shared_buckets(signs: DataFrame) -> DataFrame:
     return signs.repartition("sign").sortWithinPartitions("sign", "c").mapInArrow(work, "sign long, c long, first long")
 
 
-def bitmap_of(keys: DataFrame, name: str) -> np.ndarray:
-    """Bits of the keys modulo `BITMAP`, 8 MB however many keys there are."""
-    bit = F.pmod(F.col(name), F.lit(BITMAP))
-    words = (
-        keys.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod({name}, {BITMAP}) % 64 as int))").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    out = np.zeros(BITMAP // 64 + 1, dtype=np.int64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return out.view(np.uint64)
-
-
 def sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """`rid` and `shingles` of the rows of `rid`, `text` whose `rid` is in `wanted`."""
+    """`rid`, `shingles` and `sketch` of the rows of `rid`, `text` whose `rid` is in `wanted`."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap_of(wanted, "rid"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            place = batch.column(0).to_numpy() % BITMAP
-            hit = (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-            for part in short_batches([batch.filter(pa.array(hit))], 1):
+            for part in short_batches([batch.filter(pa.array(hits(bits, batch.column(0).to_numpy())))], 1):
                 data, marks = flat_texts(part.column(1))
                 for first, last in slices(marks):
                     owner, value = shingle_sets(data[marks[first] : marks[last]], marks[first : last + 1] - marks[first], words)
-                    lists = list_array(_signed(value), np.bincount(owner, minlength=last - first), pa.int64())
-                    yield pa.RecordBatch.from_arrays([part.column(0).slice(first, last - first), lists], names=["rid", "shingles"])
+                    n = last - first
+                    lists = list_array(_signed(value), np.bincount(owner, minlength=n), pa.int64())
+                    sketches = list_array(bit_sketches(owner, value, n).ravel(), np.full(n, SKETCH), pa.int64())
+                    yield pa.RecordBatch.from_arrays([part.column(0).slice(first, n), lists, sketches], names=["rid", "shingles", "sketch"])
 
-    return rows.mapInArrow(work, "rid long, shingles array<long>").join(wanted.select("rid"), "rid", "left_semi")
+    return rows.mapInArrow(work, "rid long, shingles array<long>, sketch array<long>").join(wanted.select("rid"), "rid", "left_semi")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
@@ -287,7 +281,8 @@ def open_pairs(buckets: DataFrame, wanted: DataFrame, sets: DataFrame, parts: Da
 
     A linked pair shares at least a share of q = per_cent / (100 + per_cent) of its sizes together. `alone` counts the
     shingles of a class that no other component has, as far as two classes at most have them; they are in no shared
-    part. So the smaller of a pair keeps 2 q of its size after taking them off, and the larger `per_cent` %.
+    part. So the smaller of a pair keeps 2 q of its size after taking them off, and the larger `per_cent` %. The bits in
+    which the sketches of a pair differ are no more than the symmetric difference may be.
     """
     known = wanted.join(parts, wanted["rid"] == parts["node"], "left").select("c", "rid", "n", F.coalesce("component", "rid").alias("part"))
     placed = buckets.select("sign", "c").join(known, "c").select("sign", "rid", "n", "part")
@@ -302,19 +297,27 @@ def open_pairs(buckets: DataFrame, wanted: DataFrame, sets: DataFrame, parts: Da
         .filter("k <= 2 and low = high")
     )
     alone = holders.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("rid")).groupBy("rid").agg(F.count(F.lit(1)).alias("alone"))
-    rows = mixed_rows.join(alone, "rid", "left").select("sign", "rid", "n", "part", F.coalesce("alone", F.lit(0)).alias("alone"))
+    viable = (
+        members.join(alone, "rid", "left")
+        .join(sets.select("rid", "sketch", F.size("shingles").alias("size")), "rid")
+        .select("rid", F.coalesce("alone", F.lit(0)).alias("alone"), "sketch", "size")
+        .filter((F.col("size") - F.col("alone")) * 100 >= per_cent * F.col("size"))
+    )
+    rows = mixed_rows.join(viable, "rid").select("sign", "rid", "n", "part", "alone", "sketch")
     total = 100 + per_cent
     small = rows.filter((F.col("n") - F.col("alone")) * total >= 2 * per_cent * F.col("n")).select(
-        "sign", F.col("rid").alias("u"), F.col("n").alias("nu"), F.col("part").alias("pu"), F.col("alone").alias("au")
+        "sign", F.col("rid").alias("u"), F.col("n").alias("nu"), F.col("part").alias("pu"), F.col("alone").alias("au"), F.col("sketch").alias("ku")
     )
-    large = rows.filter((F.col("n") - F.col("alone")) * 100 >= per_cent * F.col("n")).select(
-        "sign", F.col("rid").alias("v"), F.col("n").alias("nv"), F.col("part").alias("pv"), F.col("alone").alias("av")
+    large = rows.select(
+        "sign", F.col("rid").alias("v"), F.col("n").alias("nv"), F.col("part").alias("pv"), F.col("alone").alias("av"), F.col("sketch").alias("kv")
     )
+    bits = sum((F.bit_count(F.col("ku")[i].bitwiseXOR(F.col("kv")[i])) for i in range(SKETCH)), F.lit(0))
     needed = per_cent * (F.col("nu") + F.col("nv"))
     return (
         small.join(large, "sign")
         .filter((F.col("pu") != F.col("pv")) & (F.struct("nu", "u") < F.struct("nv", "v")) & sizes_fit("nu", "nv", per_cent))
         .filter(((F.col("nu") - F.col("au")) * total >= needed) & ((F.col("nv") - F.col("av")) * total >= needed))
+        .filter(bits * total <= (100 - per_cent) * (F.col("nu") + F.col("nv")))
         .select("u", "v")
         .distinct()
     )

@@ -14,6 +14,7 @@ from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.parity_join import jaccard_components
 from tidemark.llm.quality_gam import score_quality
+from tidemark.llm.sentence_dedup import dedup_sentences
 from tidemark.llm.sharding import shard_rows
 from tidemark.llm.token_counts import count_tokens
 
@@ -53,6 +54,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query("op5_sentence_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_sentences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op6_feistel_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"), 24)
