@@ -17,6 +17,7 @@ from tidemark.llm.quality_gam import score_quality
 from tidemark.llm.sentence_dedup import dedup_sentences
 from tidemark.llm.sharding import shard_rows
 from tidemark.llm.token_counts import count_tokens
+from tidemark.llm.vector_search import nearest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +75,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op9_vector_search")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 @query("op10_parity_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
