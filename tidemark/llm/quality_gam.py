@@ -281,6 +281,18 @@ def scored(docs: DataFrame, model: Gam, name: str) -> DataFrame:
     return docs.mapInArrow(work, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
+def without_rejected(docs: DataFrame, model: Gam, threshold: float) -> DataFrame:
+    """The rows of `docs`, whole and unchanged, that score at least `threshold`."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.score(text_features(batch.column(at))) >= threshold))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Per document: `doc_id`, `held_out`, `score` (0 to 1, higher: label 1 likelier) and `predicted`.
 
