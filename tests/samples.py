@@ -30,7 +30,7 @@ SETTINGS = {
     "positive_class": "Yes",
     "id_column": "customerID",
     "feature_columns": {"numeric": ["tenure", "MonthlyCharges", "TotalCharges"], "categorical": CATEGORICAL},
-    "training": {"test_size": 0.20, "random_state": 42, "cv_folds": 3, "primary_metric": "f1"},
+    "training": {"fit_partitions": 1, "test_size": 0.20, "random_state": 42, "cv_folds": 3, "primary_metric": "f1"},
     "monitoring": {"granularities": ["1 day"], "drift_thresholds": {"psi": 0.20}, "accuracy_degradation_threshold": 0.05},
     "data_quality": {
         "tenure": {"min": 0, "max": 100},

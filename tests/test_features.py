@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from samples import CATEGORICAL, CONFIG, customers, five
 from tidemark.functions import numeric
+from tidemark.functions.numeric import to_number
 from tidemark.operators import features
 
 
@@ -91,9 +92,31 @@ def test_saved_encoder_gives_the_same(prepared, encoder, tmp_path):
     assert vectors(again.transform(prepared)) == vectors(encoder.transform(prepared))
 
 
-def test_too_many_categories_is_an_error(prepared):
-    with pytest.raises(ValueError, match="Too many distinct values"):
-        features.TableEncoder(CONFIG.with_(max_categories=2)).fit(prepared)
+def test_a_dictionary_of_any_size_is_a_table(spark):
+    rows = spark.range(12_000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("c"), F.col("id"))).alias("c"))
+    wanted = sorted({r.c if r.c is not None else "Unknown" for r in rows.collect()})
+    positions = features.category_positions(rows, "c")
+    assert [r.category for r in positions.orderBy("position").collect()] == wanted
+    assert sorted(r.position for r in positions.collect()) == list(range(len(wanted)))
+    unseen = features.positions_of(spark.createDataFrame([("nowhere",), (None,)], "c string"), "c", positions)
+    assert {r.c: r.position for r in unseen.collect()} == {"nowhere": None, None: wanted.index("Unknown")}
+
+
+def test_fit_and_apply_read_numbers_alike(spark):
+    texts = ["12", " 3.5 ", "12d", "3F", "", "x", None, "NaN", "1e3", "-7"]
+    df = spark.createDataFrame([(t,) for t in texts], "n string")
+    read = [r[0] for r in df.select(to_number(df, "n")).collect()]
+    used = [r[0] for r in df.selectExpr(features.number_expression("n", 1000000.0, 0.0, 1.0)).collect()]
+    assert used == [1000000.0 if v is None else v for v in read] and read.count(None) == 6
+
+
+def test_new_rows_win_as_a_whole(spark):
+    base = spark.createDataFrame([(k, k, "old") for k in range(100)] + [(5, 1, "old"), (None, 0, "old")], "k int, x int, y string")
+    new = spark.createDataFrame([(k, -k, "new") for k in range(50, 150)] + [(50, 7, "new")], "k int, x int, y string")
+    found = [features.combine_newest(b, n, "k").orderBy("k").collect() for b, n in ((base, new), (base.repartition(7), new.repartition(3)))]
+    assert found[0] == found[1] and len(found[0]) == 151
+    assert all((r.y == "new") == (r.k is not None and r.k >= 50) for r in found[0])
+    assert all(r.x in (-r.k, 7) for r in found[0] if r.y == "new")
 
 
 def test_columns_not_configured_are_ignored(prepared, encoder):

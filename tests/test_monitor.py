@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from samples import CONFIG, customers
 from tidemark.operators import monitor
-from tidemark.plans.monitors import monitor_log, refresh_all, refresh_summary, write_monitors
+from tidemark.plans.monitors import monitor_log, refresh_all, refresh_configured, refresh_summary, write_monitors
 from tidemark.sources import scored_log
 
 START = datetime(2026, 5, 1)
@@ -127,3 +127,36 @@ def test_refresh_of_all_logs_goes_on_after_a_failure(spark, database):
     assert drifted.count() == 4 * (3 + 16)
     assert spark.table(f"{database}.{name}_quality_metrics").count() == 16
     spark.sql(f"DROP DATABASE {other} CASCADE")
+
+
+def test_rows_without_a_time_are_counted(spark):
+    log = spark.range(100).select(
+        F.when(F.col("id") % 2 == 0, F.lit("2026-01-01 10:00:00").cast("timestamp")).alias("inference_ts"),
+        F.col("id").cast("double").alias("x"),
+        F.lit("a").alias("c"),
+    )
+    found = monitor.profile(log, "inference_ts", ["x"], ["c"]).where("metric in ('count', 'p50')").collect()
+    by = {(r.window_start, r["column"], r.metric): r.value for r in found}
+    assert len(by) == 6 and sum(v for (_, c, m), v in by.items() if c == "x" and m == "count") == 100
+    assert by[None, "x", "count"] == 50 and by[None, "x", "p50"] == 50.0
+    assert {r.window_start is None for r in monitor.drift(log, log, "inference_ts", ["x"], ["c"]).collect()} == {True, False}
+
+
+def test_alerts_do_not_read_the_log_again(spark, database):
+    log = customers(spark, 120).withColumns({"inference_ts": F.lit("2026-01-01").cast("timestamp"), "prediction": F.col("Churn")})
+    log.write.saveAsTable(f"{database}.log")
+    tables = monitor_log(spark.table(f"{database}.log"), customers(spark, 120, seed=3).withColumn("prediction", F.col("Churn")), CONFIG)
+    assert "FileScan" not in tables.alerts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_refresh_with_the_baseline_of_the_settings(spark, database):
+    rows = customers(spark, 120).withColumn("prediction", F.col("Churn"))
+    rows.write.saveAsTable(f"{database}.base")
+    name = f"refreshed_{database}"
+    rows.withColumn("inference_ts", F.lit("2026-01-01").cast("timestamp")).write.saveAsTable(f"{database}.{name}")
+    settings = CONFIG.with_(baseline_table=f"{database}.base")
+    for _ in range(2):
+        assert [r.status for r in refresh_configured(spark, settings, name).collect()] == ["ok"]
+    assert spark.table(f"{database}.{name}_profile_metrics").count() > 0
+    with pytest.raises(ValueError):
+        refresh_configured(spark, CONFIG.with_(baseline_table=None), name)

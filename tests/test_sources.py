@@ -9,7 +9,7 @@ from tidemark import session
 from tidemark.config import load
 from tidemark.sources import feature_table, registry, run_log, scored_log
 from tidemark.sources.registry import AliasNotFound, Registry
-from tidemark.sources.tables import find_tables, load_csv, read_table, use_database, user_database
+from tidemark.sources.tables import find_tables, load_csv, load_csv_table, read_table, use_database, user_database
 
 
 def plan_of(df):
@@ -126,7 +126,7 @@ def test_best_run(spark, database):
     with pytest.raises(ValueError, match="Run log not found"):
         run_log.require_best_run(spark, prefix)
     log(spark, prefix, "failed", 0.99, status="FAILED")
-    with pytest.raises(ValueError, match="No finished runs"):
+    with pytest.raises(ValueError, match="no run that ended well"):
         run_log.require_best_run(spark, prefix)
     log(spark, prefix, "b", 0.7, batch="b2", day=2)
     log(spark, prefix, "a", 0.7, day=3)
@@ -174,12 +174,6 @@ def test_latest_alias_is_limited_before_the_shuffle(spark):
     assert registry.latest_aliases(df).count() == 0
 
 
-def test_broadcast_only_after_a_count(spark):
-    assert "ResolvedHint" in session.broadcast_if_small(spark.range(10))._jdf.queryExecution().analyzed().toString()
-    plan = session.broadcast_if_small(spark.range(10), limit=5)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in plan
-
-
 def test_schema_of_samples(spark):
     assert customers(spark, 1).schema.simpleString() == T.StructType.fromDDL(SCHEMA).simpleString()
 
@@ -209,3 +203,45 @@ def test_a_hot_key_is_split_in_a_lookup(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_log_refuses_what_its_type_cannot_hold(spark, database):
+    name = f"{database}.typed_log"
+    row = lambda v, kind: spark.sql(f"SELECT CAST({v} AS {kind}) AS V, TIMESTAMP'2026-01-01' AS inference_ts")
+    scored_log.append(row(1, "int"), name)
+    scored_log.append(row(2, "bigint").withColumnRenamed("V", "v"), name)
+    scored_log.append(row(3.0, "double"), name)
+    with pytest.raises(Exception, match="cannot hold"):
+        scored_log.append(row(3.9, "double"), name)
+    with pytest.raises(Exception, match="cannot hold"):
+        scored_log.append(row(5_000_000_000, "bigint"), name)
+    assert sorted(r[0] for r in spark.table(name).select("V").collect()) == [1, 2, 3]
+
+
+def test_merge_of_some_columns_keeps_the_others(spark, database):
+    name = f"spark_catalog.{database}.partly"
+    feature_table.write(spark.createDataFrame([(1, 10, "a"), (2, 20, "b")], "k int, x int, y string"), name, "k")
+    feature_table.write(spark.createDataFrame([(1, 11), (3, 31)], "k int, x int"), name, "k")
+    assert sorted(map(tuple, spark.table(name).collect())) == [(1, 11, "a"), (2, 20, "b"), (3, 31, None)]
+    assert feature_table.retire(spark, name) == [1]
+    assert spark.table(name).count() == 3
+
+
+def test_csv_names_and_long_numbers(spark, database, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n9007199254740993, 7\n3.7,\n,x\n")
+    schema = T.StructType.fromDDL("a long, b double")
+    found = load_csv_table(spark, str(tmp_path / "t.csv"), schema, f"{database}.loaded", ["a", "b"])
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([(9007199254740993, 7.0), (None, None), (None, None)], key=str)
+    with pytest.raises(Exception):
+        load_csv(spark, str(tmp_path / "t.csv"), T.StructType.fromDDL("b long, a double"), ["a", "b"]).collect()
+
+
+def test_rolling_back_never_comes_back(spark, database):
+    models = registry.Registry(spark, f"{database}.m")
+    for version in (1, 2, 3):
+        models.set_alias("m", registry.CHAMPION, version)
+    assert [models.roll_back("m") for _ in range(2)] == [2, 1]
+    with pytest.raises(LookupError):
+        models.roll_back("m")
+    models.set_alias("m", registry.CHAMPION, 4)
+    assert models.roll_back("m") == 3

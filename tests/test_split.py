@@ -64,23 +64,35 @@ def test_folds_are_fixed_and_cover_all(spark):
     assert df.exceptAll(again).count() == 0
 
 
-def test_narrowed_quantiles_equal_direct_ones(spark):
+def test_quantiles_equal_the_built_in_ones(spark):
     skewed = (
         spark.range(4000)
         .select(
-            F.when(F.col("id") < 2500, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 3)).alias("g"),
+            F.when(F.col("id") < 2500, "hot").when(F.col("id") % 4 > 0, F.concat(F.lit("g"), F.col("id") % 3)).alias("g"),
             F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pow(F.rand(1) * 10, 5)).alias("v"),
         )
         .withColumn("v", F.when(F.col("v") < 9e4, F.col("v")))
     ).cache()
     probs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
-    direct = {r.g: r.quantiles for r in exact_quantiles(skewed, ["g"], "v", probs).collect()}
-    narrowed = {r.g: r.quantiles for r in exact_quantiles(skewed, ["g"], "v", probs, small_group=20).collect()}
-    assert set(direct) == set(narrowed) == {"hot", "g0", "g1", "g2"}
-    for g in direct:
-        assert all(abs(a - b) <= 1e-9 * max(1, abs(a)) for a, b in zip(direct[g], narrowed[g])), g
+    direct = {r.g: r.q for r in skewed.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probs))).alias("q")).collect()}
+    for parts in (2, 40):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found = {r.g: r.quantiles for r in exact_quantiles(skewed, ["g"], "v", probs).collect()}
+        assert set(direct) == set(found) == {"hot", "g0", "g1", "g2", None}
+        for g in direct:
+            assert all(abs(a - b) <= 1e-9 * max(1, abs(a)) for a, b in zip(direct[g], found[g])), g
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
-def test_quantiles_of_one_repeated_value(spark):
+def test_quantiles_of_one_repeated_value_and_of_none(spark):
     df = spark.range(500).select(F.lit("a").alias("g"), F.lit(3.5).alias("v"))
-    assert exact_quantiles(df, ["g"], "v", [0.1, 0.5], small_group=10).first().quantiles == [3.5, 3.5]
+    assert exact_quantiles(df, ["g"], "v", [0.1, 0.5]).first().quantiles == [3.5, 3.5]
+    assert exact_quantiles(df.withColumn("v", F.lit(None)), ["g"], "v", [0.5]).collect() == []
+
+
+def test_a_large_cut_prefix_is_narrowed_down(spark, monkeypatch):
+    rows = spark.range(3000).select("id", (F.col("id") % 3).alias("s"))
+    direct = split.mark_share(rows, "id", 0.3, 1, F.col("s")).collect()
+    monkeypatch.setattr(split, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(split, "ONE_TASK", 2)
+    assert sorted(split.mark_share(rows, "id", 0.3, 1, F.col("s")).collect()) == sorted(direct)

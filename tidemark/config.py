@@ -58,7 +58,7 @@ class Config:
     model_name: str = "classifier"
     log_suffix: str = "inference_log"
     baseline_table: str | None = None
-    max_categories: int = 10_000
+    fit_partitions: int | None = None
 
     @property
     def features(self) -> list[str]:
@@ -98,6 +98,7 @@ def from_mapping(raw: dict[str, Any], **overrides: Any) -> Config:
         "model_name": raw.get("model_name", "classifier"),
         "log_suffix": monitoring.get("inference_table_suffix", "inference_log"),
         "baseline_table": monitoring.get("baseline_table"),
+        "fit_partitions": training.get("fit_partitions"),
     }
     return Config(**{**settings, **overrides})
 

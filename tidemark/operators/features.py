@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Config
 from tidemark.functions.numeric import is_positive, number_literal, to_number
-from tidemark.operators.quantiles import SMALL_GROUP, column_medians
+from tidemark.operators.quantiles import column_medians
+from tidemark.session import cut_lineage
 
 LABEL, FEATURES = "label", "features"
 
@@ -43,6 +44,17 @@ def combine(base: DataFrame, new: DataFrame) -> DataFrame:
     return base.unionByName(new, allowMissingColumns=True)
 
 
+def combine_newest(base: DataFrame, new: DataFrame, key: str, newest_first: list[Column] | None = None) -> DataFrame:
+    """One whole row per key of base and new rows: new ones win, then the given order, then a hash of the row.
+
+    Features and labels that are projected from the result come from the same row, and from the same one each time.
+    """
+    tagged = combine(base.withColumn("_batch", F.lit(0)), new.withColumn("_batch", F.lit(1)))
+    columns = [c for c in tagged.columns if c != "_batch"]
+    order = [F.desc("_batch"), *(newest_first or []), F.xxhash64(*columns), *[F.col(c) for c in columns]]
+    return dedupe(tagged, [key], order).drop("_batch")
+
+
 def exclude_keys(df: DataFrame, held_out: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not held out."""
     return df.join(held_out.select(key), key, "left_anti")
@@ -67,14 +79,13 @@ class TableEncoder(Estimator):
     and scores any table alike. Medians are exact and the deviation is that of the population.
     """
 
-    def __init__(self, config: Config, small_group: int = SMALL_GROUP):
+    def __init__(self, config: Config):
         super().__init__()
-        self.config, self.small_group = config, small_group
+        self.config = config
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         numeric, categorical = list(self.config.numeric), list(self.config.categorical)
-        constants = fit_numbers(dataset, numeric, self.small_group)
-        self._require_bounded(dataset, categorical)
+        constants = fit_numbers(dataset, numeric)
 
         parts = [number_expression(c, *constants[c]) + f" AS `{c}__num`" for c in numeric]
         parts += [f"coalesce(CAST(`{c}` AS STRING), '{UNKNOWN}') AS `{c}__cat`" for c in categorical]
@@ -102,19 +113,8 @@ class TableEncoder(Estimator):
         stages.append(SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(scratch)}) FROM __THIS__"))
         return PipelineModel(stages)
 
-    def _require_bounded(self, dataset: DataFrame, categorical: list[str]) -> None:
-        """The dictionaries live on the driver: refuse a column that is no category at all."""
-        if not categorical:
-            return
-        sizes = dataset.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first().asDict()
-        wide = {c: n for c, n in sizes.items() if n > self.config.max_categories}
-        if wide:
-            raise ValueError(f"Too many distinct values for one-hot encoding: {wide}")
-
 
-def fit_numbers(
-    df: DataFrame, columns: list[str], small_group: int = SMALL_GROUP
-) -> dict[str, tuple[float, float, float]]:
+def fit_numbers(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, float]]:
     """Median, and mean and population deviation after imputing it, for every column.
 
     A column without any value is imputed with zero; a deviation of zero is replaced by one.
@@ -122,7 +122,7 @@ def fit_numbers(
     if not columns:
         return {}
     numbers = df.select(*[to_number(df, c).alias(c) for c in columns])
-    medians = {c: 0.0 if m is None else m for c, m in column_medians(numbers, columns, small_group).items()}
+    medians = {c: 0.0 if m is None else m for c, m in column_medians(numbers, columns).items()}
     filled = {c: F.coalesce(F.col(c), F.lit(medians[c])) for c in columns}
     row = numbers.agg(
         *[F.avg(filled[c]).alias(f"mean_{c}") for c in columns],
@@ -132,7 +132,9 @@ def fit_numbers(
 
 
 def number_expression(column: str, median: float, mean: float, std: float) -> str:
-    value = f"try_cast(`{column}` AS DOUBLE)"
+    # the same rule as `to_number`: blanks are trimmed, and the suffixes d and f are no part of a number
+    text = f"trim(CAST(`{column}` AS STRING))"
+    value = f"CASE WHEN NOT {text} RLIKE '(?i)[0-9.][df]$' THEN try_cast({text} AS DOUBLE) END"
     filled = f"CASE WHEN {value} IS NULL OR isnan({value}) THEN {number_literal(median)} ELSE {value} END"
     return f"({filled} - {number_literal(mean)}) / {number_literal(std)}"
 
@@ -155,13 +157,36 @@ def encoded_columns(df: DataFrame, encoder: PipelineModel, config: Config, *keep
     return rows.select(*keep, *[F.col("_v")[i].alias(n) for i, n in enumerate(names)])
 
 
-def dummy_columns(df: DataFrame, columns: list[str], max_categories: int = 10_000) -> DataFrame:
-    """0/1 columns `column_value` in place of each column, the first value left out; null gives zeros."""
+def dummy_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """0/1 columns `column_value` in place of each column, the first value left out; null gives zeros.
+
+    The result has a column per value, so the values are brought to the driver; `category_positions` numbers the values
+    of a column that has too many for that.
+    """
     out = [F.col(c) for c in df.columns if c not in columns]
     for c in columns:
-        found = df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_categories + 1).collect()
-        if len(found) > max_categories:
-            raise ValueError(f"{c} has more than {max_categories} distinct values")
+        found = df.select(c).where(F.col(c).isNotNull()).distinct().collect()
         for value in sorted(row[0] for row in found)[1:]:
             out.append(F.col(c).eqNullSafe(F.lit(value)).cast("int").alias(f"{c}_{value}"))
     return df.select(*out)
+
+
+def category_positions(df: DataFrame, column: str) -> DataFrame:
+    """Dictionary of a column as a table: each value, as text with null as `UNKNOWN`, and its position from 0 in order.
+
+    Values are dealt to sorted ranges and numbered within each, so a dictionary of any size is spread over the tasks.
+    """
+    values = df.select(F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN)).alias("category")).distinct()
+    placed = cut_lineage(values.repartitionByRange("category").withColumn("_range", F.spark_partition_id()))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range
+    sums = placed.groupBy("_range").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy("category")) - 1
+    return placed.withColumn("_place", within).join(sums, "_range").select("category", (F.col("before") + F.col("_place")).alias("position"))
+
+
+def positions_of(df: DataFrame, column: str, positions: DataFrame, name: str = "position") -> DataFrame:
+    """`df` with the position of each row's value; null for a value that the dictionary lacks."""
+    known = positions.select(F.col("category").alias("_category"), F.col("position").alias(name))
+    value = F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
+    return df.join(known, value == F.col("_category"), "left").drop("_category")

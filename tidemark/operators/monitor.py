@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import nan_to_null
 from tidemark.operators.metrics import METRICS, confusion_metrics
-from tidemark.operators.quantiles import SMALL_GROUP, column_quantiles, exact_quantiles
+from tidemark.operators.quantiles import column_quantiles, exact_quantiles
 
 WINDOW = "window_start"
 SHARE_FLOOR = 1e-4
@@ -22,7 +22,16 @@ _ID = [WINDOW, "column"]
 
 
 def with_window(df: DataFrame, ts: str, granularity: str = "1 day") -> DataFrame:
-    return df.withColumn(WINDOW, F.window(ts, granularity)["start"])
+    """Start of the window of each row; rows without a time have a null window of their own."""
+    some_time = F.coalesce(F.col(ts).cast("timestamp"), F.lit("1970-01-01").cast("timestamp"))
+    started = df.withColumn(WINDOW, F.window(some_time, granularity)["start"])
+    return started.withColumn(WINDOW, F.when(F.col(ts).isNotNull(), F.col(WINDOW)))
+
+
+def _join_windows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join on window and column; a null window meets the null window."""
+    other = right.withColumnsRenamed({c: f"_{c}" for c in _ID})
+    return left.join(other, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _ID], "left").drop(*[f"_{c}" for c in _ID])
 
 
 def _tall(df: DataFrame, values: dict[str, Column], keep: Sequence[str], name: str = "value") -> DataFrame:
@@ -42,7 +51,6 @@ def profile(
     numeric: Sequence[str],
     categorical: Sequence[str],
     granularity: str = "1 day",
-    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """Counts, nulls, distinct values and, for numbers, moments, extremes and quartiles per window and column."""
     windowed = with_window(df, ts, granularity)
@@ -56,8 +64,8 @@ def profile(
             F.min("value").alias("min"),
             F.max("value").alias("max"),
         )
-        quartiles = exact_quantiles(tall, _ID, "value", _QUARTILES, small_group)
-        joined = base.join(quartiles, _ID, "left").withColumns(
+        quartiles = exact_quantiles(tall, _ID, "value", _QUARTILES)
+        joined = _join_windows(base, quartiles).withColumns(
             {f"p{int(p * 100)}": F.col("quantiles")[i] for i, p in enumerate(_QUARTILES)}
         )
         names = ("count", "nulls", "null_rate", "distinct", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -79,10 +87,10 @@ def _counts() -> list[Column]:
     ]
 
 
-def fit_bins(baseline: DataFrame, numeric: Sequence[str], small_group: int = SMALL_GROUP) -> dict[str, list[float]]:
+def fit_bins(baseline: DataFrame, numeric: Sequence[str]) -> dict[str, list[float]]:
     """Inner decile edges of each number column; equal edges are merged. At most nine numbers per column."""
     values = baseline.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in numeric])
-    found = column_quantiles(values, numeric, DECILES, small_group)
+    found = column_quantiles(values, numeric, DECILES)
     return {c: sorted(set(found.get(c, []))) for c in numeric}
 
 
@@ -108,8 +116,9 @@ def bin_shares(tall: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Share of every bin within its column (and window)."""
     ids = [*by, "column"]
     counts = tall.groupBy(*ids, "bin").agg(F.count("*").alias("n"))
-    totals = counts.groupBy(*ids).agg(F.sum("n").alias("total"))
-    return counts.join(totals, ids).select(*ids, "bin", (F.col("n") / F.col("total")).alias("share"))
+    totals = counts.groupBy(*ids).agg(F.sum("n").alias("total")).withColumnsRenamed({c: f"_{c}" for c in ids})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ids]
+    return counts.join(totals, same).select(*ids, "bin", (F.col("n") / F.col("total")).alias("share"))
 
 
 def compare_shares(baseline: DataFrame, current: DataFrame) -> DataFrame:
@@ -144,10 +153,9 @@ def drift(
     numeric: Sequence[str],
     categorical: Sequence[str],
     granularity: str = "1 day",
-    small_group: int = SMALL_GROUP,
 ) -> DataFrame:
     """Population stability index of every column in every window of `current` against `baseline`."""
-    edges = fit_bins(baseline, numeric, small_group)
+    edges = fit_bins(baseline, numeric)
     base = bin_shares(binned(baseline, edges, categorical))
     cur = bin_shares(binned(with_window(current, ts, granularity), edges, categorical, [WINDOW]), [WINDOW])
 

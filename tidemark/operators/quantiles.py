@@ -1,8 +1,8 @@
-"""Exact quantiles of groups of any size.
+"""Exact quantiles of groups of any size, by one path.
 
-The built-in exact `percentile` keeps all distinct values of a group in one task. It is used only where a
-count shows that every group is small. Larger groups are narrowed first: a mergeable summary of bounded
-size brackets each wanted rank, the rows below the bracket are counted, and only rows inside it go on.
+Copies of a value are merged first. The distinct values are then dealt to ranges in order of group and value, each range
+is summed up per group, and the sums before a range place its values among all of the group's. So no task holds more
+than a range, whatever the size of a group, and nothing is estimated.
 """
 
 from __future__ import annotations
@@ -12,153 +12,66 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import broadcast_if_small, cut_lineage
+from tidemark.session import cut_lineage
 
-SMALL_GROUP = 1_000_000
-_STEPS = 500
-_MAX_ROUNDS = 12
 
-
-def exact_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: Sequence[float],
-    small_group: int = SMALL_GROUP,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles of the non-null values per group, as array `quantiles`.
 
-    `by` names at least one group column.
+    `by` names at least one group column; a null key is a group like others. A group without values has no row.
     """
     by = list(by)
-    rows = df.select(*by, F.col(value).cast("double").alias("v")).where("v is not null")
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= small_group:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return rows.groupBy(*by).agg(F.percentile("v", wanted).alias("quantiles"))
-    return _narrowed(rows, sizes, by, probs, small_group)
-
-
-def _narrowed(rows: DataFrame, sizes: DataFrame, by: list[str], probs: Sequence[float], small: int) -> DataFrame:
-    position = (F.col("n") - 1) * F.col("p")
-    targets = cut_lineage(
-        sizes.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("rank_lo", F.floor(position))
-        .withColumn("rank_hi", F.ceil(position))
-        .withColumn("fraction", position - F.floor(position))
-        .withColumn("below", F.lit(0).cast("bigint"))
-        .withColumnRenamed("n", "inside")
-    )
-    targets = targets.withColumn("open", _still_open(small))
-    for _ in range(_MAX_ROUNDS):
-        if targets.where("open").isEmpty():
-            break
-        narrower = _narrow(rows, targets.where("open"), by, small)
-        targets = cut_lineage(targets.where("not open").unionByName(narrower))
-    return _pick(rows, targets, by, probs)
-
-
-def _still_open(small: int):
-    """A bracket that is narrow enough, or holds one value only, needs no more narrowing."""
-    return (F.col("inside") > small) & (F.col("lo") < F.col("hi"))
-
-
-def _inside(rows: DataFrame, targets: DataFrame, by: list[str]) -> DataFrame:
-    """Rows up to the upper end of every bracket of their group."""
-    side = broadcast_if_small(targets)
-    return rows.join(side, by).where("v <= hi")
-
-
-def _narrow(rows: DataFrame, targets: DataFrame, by: list[str], small: int) -> DataFrame:
-    grid = F.array(*[F.lit(i / _STEPS) for i in range(_STEPS + 1)])
-    ids = [*by, "p"]
-    # ranks with the same bracket, as all of a group's at first, share one summary
-    bracket = [*by, "lo", "hi"]
-    edges = (
-        _inside(rows, targets.select(*bracket).distinct(), by)
-        .where("v >= lo")
-        .groupBy(*bracket)
-        .agg(F.percentile_approx("v", grid, 20 * _STEPS).alias("edges"))
-    )
-    first = F.floor((F.col("rank_lo") - F.col("below")) / F.col("inside") * _STEPS) - 1
-    last = F.ceil((F.col("rank_hi") - F.col("below") + 1) / F.col("inside") * _STEPS) + 1
-    proposal = cut_lineage(
-        targets.join(edges, bracket)
-        .withColumn("new_lo", F.when(first > 0, F.element_at("edges", (first + 1).cast("int"))).otherwise(F.col("lo")))
-        .withColumn("new_hi", F.when(last < _STEPS, F.element_at("edges", (last + 1).cast("int"))).otherwise(F.col("hi")))
-        .drop("edges")
-    )
-    counted = (
-        _inside(rows, proposal, by)
-        .groupBy(*ids)
-        .agg(
-            F.count_if(F.col("v") < F.col("new_lo")).alias("new_below"),
-            F.count_if(F.col("v").between(F.col("new_lo"), F.col("new_hi"))).alias("new_inside"),
-        )
-    )
-    # the summary only proposes: a bracket is taken over when the counts prove that it holds both ranks
-    holds = (F.col("new_below") <= F.col("rank_lo")) & (
-        F.col("new_below") + F.col("new_inside") > F.col("rank_hi")
-    )
-    pick = lambda new, old: F.when(holds, F.col(new)).otherwise(F.col(old)).alias(old)
-    # a bracket that hardly shrinks is full of copies of a value; a hundredth of it at most is anything else
-    clumped = holds & (F.col("new_inside") * 2 > F.col("inside")) & (F.col("inside") < 100 * small)
-    return (
-        proposal.join(counted, ids)
-        .select(
-            *ids,
-            "rank_lo",
-            "rank_hi",
-            "fraction",
-            pick("new_lo", "lo"),
-            pick("new_hi", "hi"),
-            pick("new_below", "below"),
-            pick("new_inside", "inside"),
-            clumped.alias("clumped"),
-        )
-        .withColumn("open", _still_open(small) & ~F.col("clumped"))
-        .drop("clumped")
-    )
-
-
-def _pick(rows: DataFrame, targets: DataFrame, by: list[str], probs: Sequence[float]) -> DataFrame:
-    ids = [*by, "p"]
-    # copies of one value are merged before the ranks are summed up
     values = (
-        _inside(rows, targets, by)
-        .where("v >= lo")
-        .groupBy(*ids, "rank_lo", "rank_hi", "fraction", "below", "v")
+        df.select(*by, F.col(value).cast("double").alias("v"))
+        .where("v is not null")
+        .groupBy(*by, "v")
         .agg(F.count("*").alias("copies"))
     )
-    order = Window.partitionBy(*ids).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    reached = values.withColumn("reached", F.col("below") + F.sum("copies").over(order))
-    found = reached.groupBy(*ids, "fraction").agg(
-        F.min(F.when(F.col("reached") > F.col("rank_lo"), F.col("v"))).alias("v_lo"),
-        F.min(F.when(F.col("reached") > F.col("rank_hi"), F.col("v"))).alias("v_hi"),
+    # ranges are numbered as they lie, and stay so once they are stored
+    placed = cut_lineage(values.repartitionByRange(*by, "v").withColumn("_range", F.spark_partition_id()))
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # at most a row per group and range
+    sums = (
+        placed.groupBy(*by, "_range")
+        .agg(F.sum("copies").alias("in_range"))
+        .withColumn("before", F.coalesce(F.sum("in_range").over(earlier), F.lit(0)))
+        .withColumn("n", F.sum("in_range").over(Window.partitionBy(*by)))
+        .drop("in_range")
+        .withColumnsRenamed({c: f"_{c}" for c in [*by, "_range"]})
     )
-    quantile = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
-        (1 - F.col("fraction")) * F.col("v_lo") + F.col("fraction") * F.col("v_hi")
-    )
-    per_p = [F.max(F.when(F.col("p") == float(p), quantile)) for p in probs]
-    return found.groupBy(*by).agg(F.array(*per_p).alias("quantiles"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*by, "_range"]]
+    upto = Window.partitionBy(*by, "_range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    reached = placed.join(sums, same).withColumn("reached", F.col("before") + F.sum("copies").over(upto))
+
+    def ranked(i: int, edge: str) -> str:
+        return f"_{edge}{i}"
+
+    found = []
+    for i, p in enumerate(probs):
+        place = (F.col("n") - 1) * F.lit(float(p))
+        for edge, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            found.append(F.min(F.when(F.col("reached") > rank, F.col("v"))).alias(ranked(i, edge)))
+    edges = reached.groupBy(*by).agg(F.max("n").alias("_n"), *found)
+
+    def between(i: int, p: float):
+        low, high = F.col(ranked(i, "lo")), F.col(ranked(i, "hi"))
+        place = (F.col("_n") - 1) * F.lit(float(p))
+        share = place - F.floor(place)
+        return F.when(low == high, low).otherwise((1 - share) * low + share * high)
+
+    return edges.select(*by, F.array(*[between(i, p) for i, p in enumerate(probs)]).alias("quantiles"))
 
 
-def column_medians(df: DataFrame, columns: Sequence[str], small_group: int = SMALL_GROUP) -> dict[str, float | None]:
+def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact median of each column; None for a column without any value."""
-    found = column_quantiles(df, columns, [0.5], small_group)
+    found = column_quantiles(df, columns, [0.5])
     return {c: (found[c][0] if c in found else None) for c in columns}
 
 
-def column_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_group: int = SMALL_GROUP
-) -> dict[str, list[float]]:
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
     """Exact quantiles of each column, brought to the driver: one short row per column."""
     if not columns:
         return {}
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     tall = df.select(F.inline(F.array(*pairs)))
-    return {
-        row["column"]: list(row["quantiles"])
-        for row in exact_quantiles(tall, ["column"], "value", probs, small_group).collect()
-    }
+    return {row["column"]: list(row["quantiles"]) for row in exact_quantiles(tall, ["column"], "value", probs).collect()}

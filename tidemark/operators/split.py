@@ -1,8 +1,9 @@
 """Repeatable splits with exact sizes, without sorting or shuffling the rows.
 
 Each row has a fixed place in a random order, the hash of its key and the seed. A count per hash prefix
-finds the prefix in which the cut falls; the rows of that one prefix give the exact hash at the cut. After
-that the split is a comparison with a constant, so the rows themselves never move.
+finds the prefix in which the cut falls; longer prefixes narrow it down until few rows are left, and those
+give the exact hash at the cut. After that the split is a comparison with a constant, so the rows
+themselves never move.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import key_hash
 
-PREFIX_DIGITS = 4  # 65,536 prefixes per class
+PREFIX_DIGITS = 4  # 65,536 prefixes per class and step
+HASH_DIGITS = 32
+ONE_TASK = 100_000  # rows of a cut prefix that one task may rank; more are narrowed down first
 
 
 def quotas(counts: dict[object, int], share: float) -> dict[object, int]:
@@ -39,7 +42,8 @@ def mark_share(
 ) -> DataFrame:
     """`df` with a boolean `flag`, true for an exact share of the rows of every class.
 
-    `strata` is the class of a row and has few values. Rows with the same key fall on the same side.
+    `strata` is the class of a row and has few values. Rows with the same key fall on the same side, so where
+    keys repeat the share of rows can be exceeded by the copies of one key per class.
     """
     stratum = strata if strata is not None else F.lit(0)
     keyed = df.select(stratum.alias("s"), key_hash(F.col(key), seed).alias("h"))
@@ -52,41 +56,39 @@ def mark_share(
     return df.withColumn(flag, chosen)
 
 
+def _at_cut(keyed: DataFrame, digits: int, wanted: dict[object, int]) -> dict[object, tuple[str, int, int]]:
+    """Per class the prefix in which the rank `wanted` falls, with the rows up to its end and in it."""
+    per_prefix = keyed.withColumn("p", F.substring("h", 1, digits)).groupBy("s", "p").agg(F.count("*").alias("n"))
+    # at most 65,536 rows per class, as all but the last digits are fixed
+    order = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+    running = per_prefix.withColumn("upto", F.sum("n").over(order))
+    falls_here = F.lit(False)
+    for s, rank in wanted.items():
+        falls_here |= F.col("s").eqNullSafe(F.lit(s)) & (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
+    return {r.s: (r.p, r.upto, r.n) for r in running.where(falls_here).collect()}
+
+
 def _cuts(keyed: DataFrame, share: float) -> dict[object, str | None]:
     """For every class the largest hash that is drawn, None if none is."""
-    prefixed = keyed.withColumn("p", F.substring("h", 1, PREFIX_DIGITS))
-    per_prefix = prefixed.groupBy("s", "p").agg(F.count("*").alias("n"))
-    # at most 65,536 rows per class
-    order = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-    running = per_prefix.withColumn("upto", F.sum("n").over(order)).persist()
-    try:
-        counts = {r.s: r.n for r in running.groupBy("s").agg(F.sum("n").alias("n")).collect()}
-        drawn = quotas(counts, share)
-        cuts: dict[object, str | None] = {s: None for s in drawn}
-        wanted = [s for s in drawn if drawn[s] > 0]
-        if not wanted:
-            return cuts
-        falls_here = F.lit(False)
-        for s in wanted:
-            falls_here |= F.col("s").eqNullSafe(F.lit(s)) & (F.col("upto") >= drawn[s]) & (
-                F.col("upto") - F.col("n") < drawn[s]
-            )
-        places = running.where(falls_here).collect()
-    finally:
-        running.unpersist()
-
-    in_cut = F.lit(False)
-    for r in places:
-        in_cut |= F.col("s").eqNullSafe(F.lit(r.s)) & (F.col("p") == r.p)
-    rest = {r.s: drawn[r.s] - (r.upto - r.n) for r in places}
+    drawn = quotas({r.s: r["count"] for r in keyed.groupBy("s").count().collect()}, share)
+    cuts: dict[object, str | None] = {s: None for s in drawn}
+    rest = {s: n for s, n in drawn.items() if n > 0}
+    if not rest:
+        return cuts
+    digits, inside = PREFIX_DIGITS, keyed
+    while True:
+        places = _at_cut(inside, digits, rest)
+        rest = {s: rest[s] - (upto - n) for s, (_, upto, n) in places.items()}
+        in_cut = F.lit(False)
+        for s, (p, _, _) in places.items():
+            in_cut |= F.col("s").eqNullSafe(F.lit(s)) & F.col("h").startswith(p)
+        inside = keyed.where(in_cut)
+        if digits == HASH_DIGITS or max(n for _, _, n in places.values()) <= ONE_TASK:
+            break
+        digits += PREFIX_DIGITS
     # copies of a key are merged first, so a key with very many rows is one row here
-    order = Window.partitionBy("s", "p").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        prefixed.where(in_cut)
-        .groupBy("s", "p", "h")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("upto", F.sum("copies").over(order))
-    )
+    order = Window.partitionBy("s").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.groupBy("s", "h").agg(F.count("*").alias("copies")).withColumn("upto", F.sum("copies").over(order))
     at_cut = F.lit(False)
     for s, rank in rest.items():
         at_cut |= F.col("s").eqNullSafe(F.lit(s)) & (F.col("upto") >= rank) & (F.col("upto") - F.col("copies") < rank)

@@ -12,6 +12,8 @@ from tidemark.config import Config
 from tidemark.functions.numeric import is_positive
 from tidemark.operators import monitor
 from tidemark.operators.metrics import confusion_metrics
+from tidemark.session import cut_lineage
+from tidemark.sources.feature_table import replace_table, retire
 from tidemark.sources.tables import find_tables
 
 RESULT = "table string, status string, error string"
@@ -39,12 +41,13 @@ def monitor_log(log: DataFrame, baseline: DataFrame, config: Config, ts: str = "
     categorical = [c for c in config.categorical if c in log.columns]
     outputs = [c for c in ("prediction",) if c in log.columns]
     profiled = monitor.profile(log, ts, numeric, categorical + outputs, config.granularity)
-    drifted = monitor.drift(baseline, log, ts, numeric, categorical, config.granularity)
+    # a row per window and column, stored, so that alerts do not read the log again
+    drifted = cut_lineage(monitor.drift(baseline, log, ts, numeric, categorical, config.granularity))
     alerts = monitor.drift_alerts(drifted, config.psi_threshold)
     by_window = None
     if config.target in log.columns:
         predicted = is_positive(F.col("prediction"), config.positive).cast("int")
-        by_window = monitor.quality_by_window(log, ts, _label(config), predicted, config.granularity)
+        by_window = cut_lineage(monitor.quality_by_window(log, ts, _label(config), predicted, config.granularity))
         if {"prediction", config.target} <= set(baseline.columns):
             base_f1 = confusion_metrics(baseline, _label(config), predicted).select("f1").scalar()
             falls = monitor.quality_alerts(by_window, base_f1, config.target, config.f1_drop_threshold)
@@ -53,13 +56,15 @@ def monitor_log(log: DataFrame, baseline: DataFrame, config: Config, ts: str = "
 
 
 def write_monitors(tables: MonitorTables, log_name: str, target: str) -> None:
-    """Replace the metric tables that belong to a log."""
+    """Put new versions of the metric tables that belong to a log in place; readers see the former until one is whole."""
     base = log_name.replace("`", "")
     parts = {"profile_metrics": tables.profile, "drift_metrics": tables.drift, "alerts": tables.alerts}
     if tables.quality is not None:
         parts["quality_metrics"] = monitor.quality_metrics(tables.quality, target)
     for suffix, df in parts.items():
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{base}_{suffix}")
+        name = f"{base}_{suffix}"
+        replace_table(df, name)
+        retire(df.sparkSession, name)
 
 
 def refresh_all(spark: SparkSession, log_name: str, refresh: Callable[[str], None]) -> DataFrame:
@@ -75,5 +80,16 @@ def refresh_all(spark: SparkSession, log_name: str, refresh: Callable[[str], Non
     return spark.createDataFrame(rows, RESULT)
 
 
+def refresh_configured(spark: SparkSession, config: Config, log_name: str) -> DataFrame:
+    """Refresh every log of that name against the baseline table that the settings name."""
+    if not config.baseline_table:
+        raise ValueError("The settings name no baseline table")
+
+    def refresh(name: str) -> None:
+        write_monitors(monitor_log(spark.table(name), spark.table(config.baseline_table), config), name, config.target)
+
+    return refresh_all(spark, log_name, refresh)
+
+
 def refresh_summary(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if(F.col("status") == OK).alias("n_ok"), F.count("*").alias("n_tables"))

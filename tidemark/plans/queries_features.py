@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import features, split
 from tidemark.operators.metrics import class_weights
-from tidemark.operators.quantiles import column_quantiles
+from tidemark.operators.quantiles import column_quantiles, exact_quantiles
 from tidemark.plans.registered import query, scratch_database
 from tidemark.plans.retrain import draw_holdout, training_rows
 from tidemark.plans.subjects import (
@@ -20,7 +21,9 @@ from tidemark.plans.subjects import (
     event_log,
     table,
 )
+from tidemark.session import scratch_path
 from tidemark.sources import feature_table, scored_log
+from tidemark.sources.tables import load_csv_table
 
 _C = f"WITH c AS ({customers_sql()})"
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -235,9 +238,9 @@ _PROBS = (0.1, 0.5, 0.9)
     ),
 )
 def quantiles(spark: SparkSession, sf: str) -> DataFrame:
-    """Exact quantiles by narrowing, as it is done for groups too large for one task."""
+    """Exact quantiles of whole columns."""
     columns = ["l_extendedprice", "l_quantity", "l_tax"]
-    found = column_quantiles(table(spark, sf, "lineitem"), columns, _PROBS, small_group=10_000)
+    found = column_quantiles(table(spark, sf, "lineitem"), columns, _PROBS)
     rows = [(c, *[round(v, 4) for v in found[c]]) for c in columns]
     return spark.createDataFrame(rows, "column string, p10 double, p50 double, p90 double")
 
@@ -327,3 +330,85 @@ def append_log(spark: SparkSession, sf: str) -> DataFrame:
             F.count("*").alias("n_rows"), F.count("note").alias("n_notes"), F.round(F.sum("amount"), 2).alias("amount")
         )
     )
+
+
+@query(
+    "q_quantiles_grouped",
+    """SELECT nullif(l_returnflag, 'A') AS flag, round(quantile_cont(l_extendedprice, 1e-1), 4) AS p10,
+      round(quantile_cont(l_extendedprice, 5e-1), 4) AS p50, round(quantile_cont(l_extendedprice, 9e-1), 4) AS p90
+     FROM lineitem GROUP BY 1""",
+)
+def quantiles_grouped(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups with a null key among them."""
+    rows = table(spark, sf, "lineitem").select(F.nullif("l_returnflag", F.lit("A")).alias("flag"), "l_extendedprice")
+    found = exact_quantiles(rows, ["flag"], "l_extendedprice", _PROBS)
+    return found.select("flag", *[F.round(F.col("quantiles")[i], 4).alias(f"p{int(p * 100)}") for i, p in enumerate(_PROBS)])
+
+
+@query(
+    "q_one_hot_wide",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY CAST(o_orderkey AS VARCHAR)) - 1 AS position FROM orders""",
+)
+def one_hot_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Position of each value of a column with as many values as rows."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("word"))
+    return features.positions_of(orders, "word", features.category_positions(orders, "word")).select("o_orderkey", "position")
+
+
+_RETRAIN_COLUMNS = ("c_custkey", "segment", "n_orders", "days_since", "lapsed")
+
+
+@query(
+    "q_retrain_input",
+    f"""WITH o AS ({customers_sql(EARLIER_CUTOFF)}), n AS (SELECT * FROM ({customers_sql()}) WHERE days_since < 366)
+    SELECT {", ".join(_RETRAIN_COLUMNS)} FROM n
+    UNION ALL SELECT {", ".join(_RETRAIN_COLUMNS)} FROM o WHERE c_custkey NOT IN (SELECT c_custkey FROM n)""",
+)
+def retrain_input(spark: SparkSession, sf: str) -> DataFrame:
+    """Base and new rows of the same customers: feature and label of the new row survive."""
+    base = customers(spark, sf, EARLIER_CUTOFF).select(*_RETRAIN_COLUMNS)
+    new = customers(spark, sf).where("days_since < 366").select(*_RETRAIN_COLUMNS)
+    return features.combine_newest(base, new, "c_custkey")
+
+
+@query(
+    "q_feature_upsert_partial",
+    f"""WITH o AS ({customers_sql(EARLIER_CUTOFF)}), n AS (SELECT * FROM ({customers_sql()}) WHERE days_since < 366)
+    SELECT n.c_custkey, o.segment, n.n_orders, o.days_since FROM n LEFT JOIN o ON o.c_custkey = n.c_custkey
+    UNION ALL SELECT {", ".join(_UPSERT_COLUMNS)} FROM o WHERE c_custkey NOT IN (SELECT c_custkey FROM n)""",
+)
+def feature_upsert_partial(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that brings one of the features leaves the others as they are."""
+    old, new = _old_and_new(spark, sf)
+    return feature_table.upsert_rows(old, new.select("c_custkey", "n_orders"), "c_custkey")
+
+
+@query(
+    "q_append_log_widened",
+    f"""SELECT strftime(inference_ts, '%Y-%m-%d') AS inference_date, count(*) AS n_rows,
+        CAST(sum(CASE WHEN inference_ts >= TIMESTAMP '2024-01-16' THEN 3 ELSE 5000000000 END) AS BIGINT) AS weight
+      FROM ({EVENT_LOG_SQL}) GROUP BY 1""",
+)
+def append_log_widened(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch whose column has a narrower type and another case than the log's goes in without loss."""
+    log = event_log(spark, sf)
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    name = f"{scratch_database(spark)}.inference_log"
+    scored_log.append(log.where(F.col("inference_ts") < middle).withColumn("weight", F.lit(5_000_000_000)), name, many_days=True)
+    scored_log.append(log.where(F.col("inference_ts") >= middle).withColumn("Weight", F.lit(3)), name, many_days=True)
+    day = F.date_format("inference_date", "yyyy-MM-dd").alias("inference_date")
+    return spark.table(name).groupBy(day).agg(F.count("*").alias("n_rows"), F.sum("weight").alias("weight"))
+
+
+@query(
+    "q_csv_table",
+    """SELECT o_orderstatus, count(*) AS n_rows, max(o_orderkey + 9007199254740993) AS top FROM orders GROUP BY 1""",
+)
+def csv_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written as CSV and loaded into a catalog table; numbers beyond 2^53 keep every digit."""
+    path = scratch_path(spark, "orders-csv")
+    long_key = (F.col("o_orderkey") + F.lit(9007199254740993)).alias("long_key")
+    table(spark, sf, "orders").select(long_key, "o_orderstatus").write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("long_key", T.LongType()), T.StructField("o_orderstatus", T.StringType())])
+    loaded = load_csv_table(spark, path, schema, f"{scratch_database(spark)}.orders", ["long_key"])
+    return loaded.groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.max("long_key").alias("top"))

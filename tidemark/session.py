@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A table this small may be broadcast; the size is always counted first.
-BROADCAST_ROWS = 200_000
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, name: str = "tidemark") -> SparkSession:
@@ -40,7 +37,7 @@ def scratch_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _own_folders:
         _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
@@ -59,8 +56,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(scratch_root(spark))
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when a count shows at most `limit` rows; a plain join side otherwise."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

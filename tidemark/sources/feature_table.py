@@ -36,14 +36,19 @@ def require_unique_key(df: DataFrame, key: str) -> int:
 
 
 def _split_name(spark: SparkSession, name: str) -> tuple[str, str]:
+    """Quoted place of a table, catalog included where one is named, and its own name."""
     parts = name.replace("`", "").split(".")
-    return (parts[-2] if len(parts) > 1 else spark.catalog.currentDatabase()), parts[-1]
+    if len(parts) > 3:
+        raise ValueError(f"{name} has more than a catalog, a database and a table")
+    place = parts[:-1] or [spark.catalog.currentDatabase()]
+    return ".".join(f"`{p}`" for p in place), parts[-1]
 
 
 def _versions(spark: SparkSession, name: str) -> list[int]:
-    database, table = _split_name(spark, name)
+    place, table = _split_name(spark, name)
     pattern = re.compile(re.escape(table.lower()) + r"__v(\d+)$")
-    matches = (pattern.match(t.name.lower()) for t in spark.catalog.listTables(database, f"{table}__v*"))
+    listed = spark.sql(f"SHOW TABLES IN {place} LIKE '{table}__v*'").collect()
+    matches = (pattern.match(t.tableName.lower()) for t in listed)
     return sorted(int(m.group(1)) for m in matches if m)
 
 
@@ -53,8 +58,8 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 def _bucket_count(spark: SparkSession, name: str) -> int | None:
     """Buckets of the newest version, None if it has none."""
-    database, table = _split_name(spark, name)
-    newest = f"`{database}`.`{table}__v{_versions(spark, name)[-1]}`"
+    place, table = _split_name(spark, name)
+    newest = f"{place}.`{table}__v{_versions(spark, name)[-1]}`"
     described = spark.sql(f"DESCRIBE EXTENDED {newest}").where("col_name = 'Num Buckets'").first()
     return int(described.data_type) if described else None
 
@@ -65,9 +70,9 @@ def _publish(df: DataFrame, name: str, key: str, buckets: int | None, in_buckets
     `in_buckets` says that the tasks of `df` hold one bucket each already.
     """
     spark = df.sparkSession
-    database, table = _split_name(spark, name)
+    place, table = _split_name(spark, name)
     version = max(_versions(spark, name), default=0) + 1
-    target = f"`{database}`.`{table}__v{version}`"
+    target = f"{place}.`{table}__v{version}`"
     if buckets:
         # hash partitioning and bucketing agree, so each task writes one bucket file
         rows = df if in_buckets else df.repartition(buckets, key)
@@ -79,10 +84,19 @@ def _publish(df: DataFrame, name: str, key: str, buckets: int | None, in_buckets
     except KeyViolation:
         spark.sql(f"DROP TABLE {target}")
         raise
-    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{table}` AS SELECT * FROM {target}")
+    spark.sql(f"CREATE OR REPLACE VIEW {place}.`{table}` AS SELECT * FROM {target}")
     return rows
 
 
+def replace_table(df: DataFrame, name: str) -> None:
+    """Write a version of a table without key, then move the pointer to it."""
+    spark = df.sparkSession
+    place, table = _split_name(spark, name)
+    target = f"{place}.`{table}__v{max(_versions(spark, name), default=0) + 1}`"
+    df.write.format("parquet").saveAsTable(target)
+    spark.sql(f"CREATE OR REPLACE VIEW {place}.`{table}` AS SELECT * FROM {target}")
+
+
 def create(df: DataFrame, name: str, key: str, buckets: int | None = None) -> int:
     """First version of a feature table; an error if the table is there already."""
     if exists(df.sparkSession, name):
@@ -93,6 +107,8 @@ def create(df: DataFrame, name: str, key: str, buckets: int | None = None) -> in
 def upsert_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows of `new` in place of rows with the same key, the other rows of `old` kept.
 
+    Columns that `new` lacks keep their stored values; a key that is new has nulls there.
+
     One full outer join: where `old` is bucketed by the key its rows stay where they are, and every task
     goes on holding one bucket.
     """
@@ -102,8 +118,8 @@ def upsert_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     joined = old.join(incoming, F.col(key) == F.col("_key"), "full_outer")
 
     def pick(c: str):
-        value = F.col(f"_new_{c}") if c in new.columns else F.lit(None)
         kept = F.col(c) if c in old.columns else F.lit(None)
+        value = F.col(f"_new_{c}") if c in new.columns else kept
         return F.when(F.col("_hit"), value).otherwise(kept).alias(c)
 
     return joined.select(*[pick(c) for c in [*old.columns, *[c for c in new.columns if c not in old.columns]]])
@@ -121,6 +137,15 @@ def write(df: DataFrame, name: str, key: str, buckets: int | None = None) -> int
     return (merge if exists(df.sparkSession, name) else create)(df, name, key, buckets)
 
 
+def retire(spark: SparkSession, name: str, keep: int = 1) -> list[int]:
+    """Drop all but the newest `keep` versions; the newest is the one that readers see. Returns what was dropped."""
+    place, table = _split_name(spark, name)
+    old = _versions(spark, name)[: -max(1, keep)]
+    for version in old:
+        spark.sql(f"DROP TABLE {place}.`{table}__v{version}`")
+    return old
+
+
 def lookup(rows: DataFrame, features: DataFrame, key: str, exclude: tuple[str, ...] = ()) -> DataFrame:
     """Every row of `rows` with the features of its key; nulls where the key has none.
 

@@ -50,12 +50,17 @@ def resolve_aliases(aliases: DataFrame, versions: DataFrame, runs: DataFrame) ->
 
 
 def rollback_targets(aliases: DataFrame) -> DataFrame:
-    """For every alias the current version and the one set before it; null if there was no other."""
-    last_set = aliases.groupBy("name", "alias", "version").agg(F.max("set_at").alias("set_at"))
-    two = last_set.withColumn("_n", F.row_number().over(_newest_first(last_set))).where("_n <= 2")
-    return two.groupBy("name", "alias").agg(
-        F.max(F.when(F.col("_n") == 1, F.col("version"))).alias("current_version"),
-        F.max(F.when(F.col("_n") == 2, F.col("version"))).alias("previous_version"),
+    """For every alias the current version, and the last one that came into use before it first did; else null.
+
+    A version that was withdrawn came later than the one it was withdrawn for, so going back again passes it by.
+    """
+    times = aliases.groupBy("name", "alias", "version").agg(F.min("set_at").alias("begun"), F.max("set_at").alias("set_at"))
+    whole = Window.partitionBy("name", "alias")
+    current = F.max(F.struct("set_at", "version", "begun")).over(whole)
+    placed = times.withColumn("_current", current)
+    earlier = F.when(F.struct("begun", "version") < F.struct("_current.begun", "_current.version"), F.struct("begun", "version"))
+    return placed.groupBy("name", "alias").agg(
+        F.max("_current.version").alias("current_version"), F.max(earlier)["version"].alias("previous_version")
     )
 
 
@@ -121,7 +126,7 @@ class Registry:
         return champion, serving
 
     def roll_back(self, name: str, alias: str = CHAMPION) -> int:
-        """Point the alias at the version it had before; LookupError if there was none."""
+        """Point the alias at the version in use before the current one first was; LookupError if there was none."""
         rows = self._table("aliases").where((F.col("name") == name) & (F.col("alias") == alias))
         row = rollback_targets(rows).first()
         if row is None or row.previous_version is None:

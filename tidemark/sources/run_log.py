@@ -73,7 +73,7 @@ def require_best_run(
     metrics = spark.table(f"{prefix}_run_metrics")
     row = best_run(spark.table(f"{prefix}_runs"), metrics, metric, batch_id).first()
     if row is None:
-        raise ValueError(f"No finished runs found in {prefix}_runs")
+        raise ValueError(f"{prefix}_runs has no run that ended well")
     values = metrics.where(F.col("run_id") == row.run_id).select("name", "value").collect()
     return row.run_id, row.model_type, {v.name: v.value for v in values}
 

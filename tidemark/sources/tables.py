@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,13 +24,24 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType, blank_to_null
     raw = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in blank_to_null else f.dataType) for f in schema]
     )
-    df = spark.read.schema(raw).option("header", True).csv(path)
-    return df.select(
-        *[
-            (to_number(df, f.name).cast(f.dataType) if f.name in blank_to_null else F.col(f.name)).alias(f.name)
-            for f in schema
-        ]
-    )
+    # the header has to name the columns in this order; by position they could be swapped unseen
+    df = spark.read.schema(raw).option("header", True).option("enforceSchema", False).csv(path)
+    return df.select(*[(_coerced(df, f) if f.name in blank_to_null else F.col(f.name)).alias(f.name) for f in schema])
+
+
+def _coerced(df: DataFrame, field: T.StructField) -> Column:
+    """Text as the field's own type; blanks and what does not fit are null, so long whole numbers keep every digit."""
+    if isinstance(field.dataType, T.FractionalType) and not isinstance(field.dataType, T.DecimalType):
+        return to_number(df, field.name).cast(field.dataType)
+    return F.trim(field.name).try_cast(field.dataType)
+
+
+def load_csv_table(
+    spark: SparkSession, path: str, schema: T.StructType, name: str, blank_to_null: list[str] = (), mode: str = "overwrite"
+) -> DataFrame:
+    """Load a CSV with header into the catalog table `name` and return the table."""
+    load_csv(spark, path, schema, blank_to_null).write.mode(mode).format("parquet").saveAsTable(name)
+    return spark.table(name)
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
