@@ -27,7 +27,7 @@ def test_factory(spark):
     assert inner["gradient_boosted_trees"].getSubsamplingRate() == 0.8
     assert abs(inner["logistic_regression"].getRegParam() - 1.0) < 1e-12  # 1 / (0.01 * 100)
     assert make_classifier("random_forest", CONFIG, {"max_depth": None}).inner(1).getMaxDepth() == 30
-    with pytest.raises(ValueError, match="Unknown model_type"):
+    with pytest.raises(ValueError, match="No classifier is called"):
         make_classifier("xgboost", CONFIG)
 
 
@@ -126,10 +126,38 @@ def test_gate(spark):
     assert better.should_deploy and better.champion["f1"] == 0.5 and better.delta["f1"] == 0.5
     worse = gate.evaluate_gate(df, "label", "bad", "good")
     assert not worse.should_deploy and worse.reason.startswith("Gate FAILED. Challenger F1=0.5000 vs Champion F1=1.0000")
-    with pytest.raises(ValueError, match="Deployment gate failed"):
+    with pytest.raises(ValueError, match="not promoted"):
         gate.require_passed(worse)
     assert gate.evaluate_gate(df, "label", "bad", "good", threshold=0.5).should_deploy  # bound included
     first = gate.evaluate_gate(df, "label", "bad", None)
     assert first.should_deploy and set(first.champion.values()) == {0.0}
     one_class = gate.evaluate_gate(df.where("label = 1"), "label", "good", "bad")
     assert one_class.challenger["roc_auc"] is None and one_class.delta["roc_auc"] is None
+
+
+def test_search_feeds_training(spark):
+    config = CONFIG.with_(cv_folds=2, models={"logistic_regression": {"C": [0.0001, 10.0], "class_weight": ["balanced"]}})
+    rows = customers(spark, 200)
+    best = models.best_settings(rows, config, "logistic_regression")
+    (searched,) = models.train_all(rows, config, search=True)
+    (first,) = models.train_all(rows, config)
+    expected = 1 / (best["C"] * searched.metrics["n_train"])
+    assert abs(searched.model.stages[-1].getRegParam() - expected) < 1e-12
+    assert abs(first.model.stages[-1].getRegParam() - 1 / (0.0001 * first.metrics["n_train"])) < 1e-9
+    forest = CONFIG.with_(cv_folds=2, models={"random_forest": {"n_estimators": [2, 3], "max_depth": [2, None]}, "gradient_boosted_trees": {"n_estimators": [2], "max_depth": [1, 2]}})
+    assert [models.grid_search(rows, forest, m).count() for m in forest.models] == [4, 2]
+
+
+def test_gate_counts_both_sides_in_one_pass(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(p):
+        calls.add(1)
+        return p
+
+    scored = spark.range(400).select((F.col("id") % 2).cast("int").alias("label"), (F.col("id") / 400).alias("p")).withColumns(
+        {"a": counted.asNondeterministic()("p"), "b": F.lit(0.7)}
+    )
+    found = gate.evaluate_gate(scored, "label", "a", "b")
+    assert calls.value == 400 and set(found.challenger) == set(gate.GATE_METRICS)

@@ -42,10 +42,12 @@ def test_retrain_twice_then_score_and_roll_back(spark, database):
     assert spark.table(f"{prefix}_features").count() == 200
     assert all(r.metrics["n_train"] + r.metrics["n_test"] == 170 for r in first.runs)
 
-    new = customers(spark, 230, seed=5).where("customerID >= 'C0200'")
+    new = customers(spark, 230, seed=5).where("customerID >= 'C0150'")
     second = retrain(spark, rows, SMALL, prefix, models, held, new_rows=new, buckets=4)
     assert second.gate.champion["f1"] > 0.0 and second.champion_version == 3
     assert spark.table(f"{prefix}_features").count() == 230
+    kept = spark.table(f"{prefix}_features").join(new.select("customerID", F.col("MonthlyCharges").alias("fresh")), "customerID")
+    assert kept.count() == 80 and kept.where("MonthlyCharges != fresh").count() == 0
     assert spark.table(f"{prefix}_runs").count() == 6
     assert spark.table(f"{prefix}_run_params").where("name = 'clf_C'").count() == 2
     assert spark.table(f"{prefix}_run_reports").count() == 6 * 5

@@ -57,7 +57,7 @@ def profile_lines(df: DataFrame, key: str, columns: list[str] | None = None) ->
 def prompt_text(template: str, prediction: Column, lines: Column) -> Column:
     """Template with the prediction and the profile lines put in place of the two marks."""
     # the prediction goes in first, so that marks inside the profile stay as they are
-    filled = F.replace(F.lit(template), F.lit(PREDICTION_MARK), prediction.cast("string"))
+    filled = F.replace(F.lit(template), F.lit(PREDICTION_MARK), F.coalesce(prediction.cast("string"), F.lit("None")))
     return F.replace(filled, F.lit(PROFILE_MARK), lines)
 
 

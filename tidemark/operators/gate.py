@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +35,17 @@ def gate_sentence(challenger_f1: float, champion_f1: float, threshold: float) ->
     )
 
 
-def _side_metrics(scored: DataFrame, label: str, probability: str) -> dict[str, float | None]:
-    row = confusion_metrics(scored, F.col(label), (F.col(probability) > 0.5).cast("int")).first()
-    return {"f1": row.f1, "roc_auc": roc_auc(scored, label, probability), "recall": row.recall}
+def _side_metrics(scored: DataFrame, label: str, sides: dict[str, str]) -> dict[str, dict[str, float | None]]:
+    """Metrics of each side's probability column, counted for all sides in one pass."""
+    pairs = [F.struct(F.lit(side).alias("side"), F.col(p).alias("prob")) for side, p in sides.items()]
+    tall = scored.select(label, F.inline(F.array(*pairs)))
+    counted = confusion_metrics(tall, F.col(label), (F.col("prob") > 0.5).cast("int"), ("side",)).collect()
+    rows = {r.side: r for r in counted}
+    found = {}
+    for side, p in sides.items():
+        row = rows.get(side)
+        found[side] = {"f1": row.f1 if row else 0.0, "roc_auc": roc_auc(scored, label, p), "recall": row.recall if row else 0.0}
+    return found
 
 
 def evaluate_gate(
@@ -51,8 +60,14 @@ def evaluate_gate(
     Passes when the challenger's F1 is at most `threshold` below the champion's, bound included. Without
     a champion its metrics count as zero, so a first deployment passes.
     """
-    challenger = _side_metrics(scored, label, challenger_prob)
-    champion = _side_metrics(scored, label, champion_prob) if champion_prob else dict.fromkeys(GATE_METRICS, 0.0)
+    sides = {"challenger": challenger_prob} | ({"champion": champion_prob} if champion_prob else {})
+    # the models' work behind the probabilities is done once; a lost block is computed again
+    kept = scored.select(label, *sides.values()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = _side_metrics(kept, label, sides)
+    finally:
+        kept.unpersist()
+    challenger, champion = found["challenger"], found.get("champion", dict.fromkeys(GATE_METRICS, 0.0))
     delta = {
         m: None if challenger[m] is None or champion[m] is None else challenger[m] - champion[m]
         for m in GATE_METRICS
@@ -76,4 +91,4 @@ def gate_rows(result: GateResult, df: DataFrame) -> DataFrame:
 
 def require_passed(result: GateResult) -> None:
     if not result.should_deploy:
-        raise ValueError(f"Deployment gate failed: {result.reason}")
+        raise ValueError(f"The challenger is not promoted. {result.reason}")

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import itertools
-import math
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -22,7 +22,7 @@ from tidemark.operators.split import fold_column, mark_share
 from tidemark.sources import registry, run_log
 
 MODEL_TYPES = ("logistic_regression", "random_forest", "gradient_boosted_trees")
-ROWS_PER_TASK = 10_000
+SEARCH_THREADS = 4
 MAX_TREE_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
 _WEIGHT = "_weight"
 
@@ -54,7 +54,7 @@ class TableClassifier(Estimator):
     def __init__(self, model_type: str, hyper: dict[str, object] | None = None, seed: int = 42):
         super().__init__()
         if model_type not in MODEL_TYPES:
-            raise ValueError(f"Unknown model_type: '{model_type}'. Choose from: {', '.join(MODEL_TYPES)}")
+            raise ValueError(f"No classifier is called {model_type!r}; there are {', '.join(MODEL_TYPES)}")
         self.model_type, self.hyper, self.seed = model_type, dict(hyper or {}), seed
 
     def inner(self, n_rows: int) -> Estimator:
@@ -126,10 +126,12 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _without_tiny_tasks(df: DataFrame) -> DataFrame:
-    """Fewer partitions where they hold few rows: an iterative fit pays for every task in every pass."""
-    wanted = max(1, math.ceil(df.count() / ROWS_PER_TASK))
-    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+def _for_fitting(df: DataFrame, config: Config) -> DataFrame:
+    """The rows in the number of partitions that the settings name, as they are if they name none.
+
+    Forest and boosting draw their samples per partition, so the number belongs to the fit and is logged with it.
+    """
+    return df.coalesce(config.fit_partitions) if config.fit_partitions else df
 
 
 def _training_columns(df: DataFrame, config: Config) -> DataFrame:
@@ -150,7 +152,7 @@ class TrainingSet:
             marked = mark_share(rows, config.key, config.test_size, config.seed, F.col(LABEL))
             self.encoder = TableEncoder(config).fit(marked.where(~F.col("is_test")))
             self.encoded = _keep(self.encoder.transform(marked).select(FEATURES, LABEL, "is_test"))
-            self.train = _without_tiny_tasks(self.encoded.where(~F.col("is_test")))
+            self.train = _for_fitting(self.encoded.where(~F.col("is_test")), config)
         finally:
             rows.unpersist()
 
@@ -203,7 +205,9 @@ def train_model(
             "model_type": model_type,
             "test_size": data.config.test_size,
             "random_state": data.config.seed,
-            **{f"clf_{k}": v for k, v in classifier.hyper.items()},
+            "fit_partitions": data.config.fit_partitions,
+            # a depth without limit is fitted with the deepest there is
+            **{f"clf_{k}": MAX_TREE_DEPTH if k == "max_depth" and v is None else v for k, v in classifier.hyper.items()},
         }
         run_log.log_run(
             data.encoded.sparkSession,
@@ -226,12 +230,17 @@ def train_all(
     batch_id: str | None = None,
     prefix: str | None = None,
     model_root: str | None = None,
+    search: bool = False,
 ) -> list[TrainResult]:
-    """Every configured classifier, in the order of the settings, on one cached training set."""
+    """Every configured classifier, in the order of the settings, on one cached training set.
+
+    With `search`, each is fitted with the point of its grid that does best in cross-validation, else with the first.
+    """
+    chosen = {name: best_settings(df, config, name) if search else None for name in config.models}
     data = TrainingSet(df, config)
     batch = batch_id or uuid.uuid4().hex
     try:
-        return [train_model(data, name, batch, prefix, model_root) for name in config.models]
+        return [train_model(data, name, batch, prefix, model_root, chosen[name]) for name in config.models]
     finally:
         data.close()
 
@@ -250,20 +259,27 @@ def grid_search(df: DataFrame, config: Config, model_type: str) -> DataFrame:
     spark = df.sparkSession
     points = grid_points(config.models[model_type])
     rows = _training_columns(df, config)
-    folded = rows.withColumn("fold", fold_column(config.key, config.seed, config.cv_folds))
     found: list[tuple[int, int, float | None]] = []
-    for fold in range(config.cv_folds):
-        held: Column = F.col("fold") == fold
-        encoder = TableEncoder(config).fit(folded.where(~held))
-        encoded = _keep(encoder.transform(folded).select(FEATURES, LABEL, "fold"))
-        try:
-            train = _without_tiny_tasks(encoded.where(~held))
-            for i, point in enumerate(points):
-                fitted = make_classifier(model_type, config, point).fit(train)
-                found.append((i, fold, _fold_metric(score(encoded.where(held), fitted), config.primary_metric)))
-        finally:
-            encoded.unpersist()
-    rows.unpersist()
+    try:
+        folded = rows.withColumn("fold", fold_column(config.key, config.seed, config.cv_folds))
+        for fold in range(config.cv_folds):
+            held: Column = F.col("fold") == fold
+            encoder = TableEncoder(config).fit(folded.where(~held))
+            encoded = _keep(encoder.transform(folded).select(FEATURES, LABEL, "fold"))
+            try:
+                train = _for_fitting(encoded.where(~held), config)
+
+                def measure(i: int, train: DataFrame = train, encoded: DataFrame = encoded, held: Column = held) -> float | None:
+                    fitted = make_classifier(model_type, config, points[i]).fit(train)
+                    return _fold_metric(score(encoded.where(held), fitted), config.primary_metric)
+
+                # the jobs of the points of a fold interleave, so that small ones do not wait for each other
+                with ThreadPoolExecutor(max_workers=SEARCH_THREADS) as pool:
+                    found += [(i, fold, value) for i, value in enumerate(pool.map(measure, range(len(points))))]
+            finally:
+                encoded.unpersist()
+    finally:
+        rows.unpersist()
     measured = spark.createDataFrame(found, "point int, fold int, value double")
     described = spark.createDataFrame(
         [(i, ", ".join(f"{k}={v}" for k, v in p.items())) for i, p in enumerate(points)], "point int, settings string"

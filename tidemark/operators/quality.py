@@ -104,7 +104,7 @@ def require_passed(report: DataFrame) -> None:
     """ValueError that names the failed checks; the report has a row per check, never per record."""
     failed = [row.check_name for row in failed_checks(report).select("check_name").collect()]
     if failed:
-        raise ValueError(f"Data quality checks failed: {failed}")
+        raise ValueError(f"The table did not pass: {failed}")
 
 
 def check_scored(df: DataFrame, config: Config) -> DataFrame:

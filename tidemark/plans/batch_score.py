@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +25,9 @@ def run_batch_scoring(
 ) -> DataFrame:
     """Score the source table with the aliased model and append the rows to the log; returns the rows.
 
-    The returned frame is lazy: the log holds the same rows and is the cheaper one to read again.
+    The time of the batch is fixed once, so the returned frame, lazy as it is, has the rows that were logged.
     """
+    inference_ts = inference_ts or datetime.now(timezone.utc)
     rows = read_table(spark, default_source, source)
     model, version = Registry(spark, prefix).load(config.model_name, alias)
     scored = score_table(rows, model, config, f"{config.model_name}_v{version}", inference_ts)

@@ -19,6 +19,7 @@ from tidemark.plans.subjects import (
     RUNS_SQL,
     SCORED_CUSTOMERS_SQL,
     customers,
+    customers_sql,
     event_log,
     registry_rows,
     runs,
@@ -202,10 +203,12 @@ def alias_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "q_rollback",
-    f"""WITH d AS (SELECT name, alias, version, max(set_at) AS set_at FROM ({ALIASES_SQL}) GROUP BY 1, 2, 3),
-     n AS (SELECT *, row_number() OVER (PARTITION BY name, alias ORDER BY set_at DESC, version DESC) AS n FROM d)
-    SELECT name, alias, max(version) FILTER (WHERE n = 1) AS current_version,
-      max(version) FILTER (WHERE n = 2) AS previous_version FROM n GROUP BY 1, 2""",
+    f"""WITH d AS (SELECT name, alias, version, min(set_at) AS begun, max(set_at) AS set_at FROM ({ALIASES_SQL}) GROUP BY 1, 2, 3),
+     n AS (SELECT *, row_number() OVER (PARTITION BY name, alias ORDER BY set_at DESC, version DESC) AS n FROM d),
+     c AS (SELECT name, alias, version, begun FROM n WHERE n = 1)
+    SELECT c.name, c.alias, c.version AS current_version,
+      (SELECT d.version FROM d WHERE d.name = c.name AND d.alias = c.alias AND (d.begun, d.version) < (c.begun, c.version)
+       ORDER BY d.begun DESC, d.version DESC LIMIT 1) AS previous_version FROM c""",
 )
 def rollback(spark: SparkSession, sf: str) -> DataFrame:
     return registry.rollback_targets(registry_rows(spark, sf)[0])
@@ -370,3 +373,65 @@ def retrain_customers(spark: SparkSession, sf: str) -> DataFrame:
         "model_type string, test_f1 double, test_roc_auc double, test_recall double, test_precision double, "
         "train_f1 double, should_deploy boolean, champion_version int",
     )
+
+
+def _checked(scored: DataFrame) -> DataFrame:
+    """Counts that must hold of any scored table: rows, sum of an input, and rows that break a rule."""
+    prob, positive = F.col("prediction_prob"), F.col("prediction") == CUSTOMERS.positive
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        F.sum("n_orders").cast("bigint").alias("n_orders"),
+        F.count_if(prob.isNull() | (prob < 0) | (prob > 1)).alias("n_no_probability"),
+        F.count_if(positive != (prob > 0.5)).alias("n_other_class"),
+        F.count_if(F.col("model_id") != "lapse_classifier_v1").alias("n_other_model"),
+        F.count_if(F.col("inference_ts").isNull()).alias("n_no_time"),
+    )
+
+
+_NOTHING_BROKEN = "0::BIGINT AS n_no_probability, 0::BIGINT AS n_other_class, 0::BIGINT AS n_other_model, 0::BIGINT AS n_no_time"
+
+
+@query(
+    "q_batch_score_checks",
+    f"SELECT count(*) AS n_rows, CAST(sum(n_orders) AS BIGINT) AS n_orders, {_NOTHING_BROKEN} FROM ({customers_sql()})",
+)
+def batch_score_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return _checked(batch_score(spark, sf))
+
+
+@query(
+    "q_score_by_key_checks",
+    f"""SELECT count(*) AS n_rows, CAST(sum(n_orders) AS BIGINT) AS n_orders, {_NOTHING_BROKEN} FROM ({customers_sql()})
+     WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
+)
+def score_by_key_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return _checked(score_by_key(spark, sf))
+
+
+@query(
+    "q_train_counts",
+    f"""WITH c AS (SELECT count(*) AS n FROM ({customers_sql()}) WHERE lapsed IS NOT NULL)
+    SELECT name, value FROM (SELECT 'n_test' AS name, CAST(ceil(0.2e0 * n) AS DOUBLE) AS value FROM c
+      UNION ALL SELECT 'n_train', CAST(n - ceil(0.2e0 * n) AS DOUBLE) FROM c)""",
+)
+def train_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes that a logged training run has in its metrics, read back from the log."""
+    prefix = f"{scratch_database(spark)}.counted"
+    data = TrainingSet(_labelled(spark, sf), CUSTOMERS)
+    try:
+        train_model(data, "logistic_regression", "query", prefix, scratch_path(spark, "models"))
+    finally:
+        data.close()
+    return spark.table(f"{prefix}_run_metrics").where("name in ('n_train', 'n_test')").select("name", "value")
+
+
+@query("q_saved_model", "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM customer")
+def saved_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A saved and loaded pipeline scores every customer as the fitted one does."""
+    fitted = _pipeline(spark, sf)
+    loaded = registry.load_model(registry.save_model(fitted, scratch_path(spark, "models")))
+    rows = prepare(customers(spark, sf), CUSTOMERS, keep_key=True)
+    both = score(rows, fitted).select(CUSTOMERS.key, F.col("prob").alias("a")).join(
+        score(rows, loaded).select(CUSTOMERS.key, F.col("prob").alias("b")), CUSTOMERS.key
+    )
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))

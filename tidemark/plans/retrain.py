@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Config
 from tidemark.operators import quality
-from tidemark.operators.features import LABEL, combine, dedupe, exclude_keys, prepare, project_features, project_labels
+from tidemark.operators.features import LABEL, combine, combine_newest, exclude_keys, prepare, project_features, project_labels
 from tidemark.operators.gate import GateResult, evaluate_gate, require_passed
 from tidemark.operators.models import TrainResult, score, train_all
 from tidemark.operators.split import mark_share
@@ -78,22 +78,25 @@ def retrain(
     new_rows: DataFrame | None = None,
     exclude_holdout: bool = True,
     buckets: int | None = None,
+    search: bool = False,
 ) -> RetrainResult:
     """Run the whole path; a failed check or gate raises and nothing after it happens.
 
     Tables are named after `prefix`: `<prefix>_features` for features, `<prefix>_runs` and so on for the log,
-    `<prefix>_versions` and `<prefix>_aliases` for the registry.
+    `<prefix>_versions` and `<prefix>_aliases` for the registry. `search` has the grids searched before training.
     """
     data = combine(source, new_rows) if new_rows is not None else source
     quality.require_passed(quality.check_input(data, config))
+    # one row per key before both projections: a new row brings its features and its label
+    data = combine_newest(source, new_rows if new_rows is not None else source.limit(0), config.key)
 
     table = f"{prefix}_features"
-    feature_table.write(dedupe(project_features(data, config), [config.key]), table, config.key, buckets)
+    feature_table.write(project_features(data, config), table, config.key, buckets)
 
-    labels = dedupe(project_labels(data, config), [config.key])
+    labels = project_labels(data, config)
     rows = training_rows(labels, spark.table(table), config, holdout if exclude_holdout else None)
     batch = uuid.uuid4().hex
-    runs = train_all(rows, config, batch, prefix, model_root)
+    runs = train_all(rows, config, batch, prefix, model_root, search)
 
     run_id, _, _ = run_log.require_best_run(spark, prefix, f"test_{config.primary_metric}")
     best_path = spark.table(f"{prefix}_runs").where(F.col("run_id") == run_id).first().model_path

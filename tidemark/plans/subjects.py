@@ -25,6 +25,7 @@ CUSTOMERS = Config(
     rate_bounds=(0.10, 0.60),
     null_rate_columns=("n_orders", "acctbal"),
     model_name="lapse_classifier",
+    fit_partitions=2,
 )
 
 DOCUMENTS = Config(
@@ -35,6 +36,7 @@ DOCUMENTS = Config(
     numeric=("n_chars",),
     categorical=("lang", "source"),
     model_name="quality_classifier",
+    fit_partitions=2,
 )
 
 EVENTS = Config(
@@ -44,6 +46,7 @@ EVENTS = Config(
     numeric=("amount",),
     categorical=("event_type",),
     model_name="event_classifier",
+    fit_partitions=2,
 )
 
 
