@@ -29,5 +29,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def with_row_key(df: DataFrame, name: str) -> DataFrame:
-    """Number the rows of a stored table by file split and place, the same at every reading of the same files."""
+    """Number the rows of a stored table by file split and place, the same at every reading of the same files.
+
+    Small tables are split by the number of cores, which falls when an executor is lost; so that number is held fixed
+    for the session, unless the session has one.
+    """
+    conf, cores = df.sparkSession.conf, "spark.sql.files.minPartitionNum"
+    if conf.get(cores, None) is None:
+        conf.set(cores, str(df.sparkSession.sparkContext.defaultParallelism))
     return df.withColumn(name, F.monotonically_increasing_id())

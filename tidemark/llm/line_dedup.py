@@ -148,7 +148,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
     narrow = rows.select(F.col(rid).alias("rid"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     found = later_copies(stored(sequences(narrow, least_chars), "line-sequences"), least_chars)
     spans = stored(found.groupBy("rid").agg(F.collect_list(F.struct("start", "lines")).alias("spans")), "line-runs")
-    joined = rows.join(spans.select(F.col("rid").alias(rid), F.col("spans").alias(runs)), rid, "left").drop(rid)
+    # the spans grow with the texts, so the join is the same at every size
+    joined = rows.join(spans.select(F.col("rid").alias(rid), F.col("spans").alias(runs)).hint("merge"), rid, "left").drop(rid)
     at, last = docs.columns.index(text), len(docs.columns)
     removed, left = fresh_name(docs, "lines_removed"), fresh_name(docs, "lines_left")
 

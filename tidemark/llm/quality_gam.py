@@ -115,7 +115,7 @@ def _slice_features(data: np.ndarray, marks: np.ndarray) -> np.ndarray:
             capitals / letters,
             np.bincount(owner[same], minlength=n) / safe(words),
             _distinct(owner, hashes, n) / safe(words),
-            1 - line_kinds / safe(lines),
+            (lines - line_kinds) / safe(lines),
             np.log1p(words / safe(lines)),
             np.bincount(owner[begins], minlength=n) / safe(words),
         ]

@@ -133,7 +133,8 @@ def dedup_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     narrow = rows.select(F.col(rid).alias("rid"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     found = later_runs(narrow, least_words).groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     found = stored(found, "sentence-cuts")
-    joined = rows.join(found.select(F.col("rid").alias(rid), F.col("runs").alias(runs)), rid, "left").drop(rid)
+    # the cuts grow with the texts, so the join is the same at every size
+    joined = rows.join(found.select(F.col("rid").alias(rid), F.col("runs").alias(runs)).hint("merge"), rid, "left").drop(rid)
     at, end = docs.columns.index(text), len(docs.columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
