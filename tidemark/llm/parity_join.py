@@ -13,10 +13,10 @@ order (fullest block first, then by the word): of two partners, the one whose la
 that both sign with. A set with too few filled blocks signs with its empty ones as well, so nothing is lost.
 
 Equal sets are one class. Signatures are sorted by value, and each class is first held against the class that leads
-most of its buckets; exact links give components. What is left are pairs of different components in one bucket. A
-shingle that no other component has counts against a pair, so most of these pairs are ruled out by counts per class
-before they are formed; the rest is verified exactly. Every pair of a bucket is thus linked indirectly, ruled out by a
-bound, or verified.
+most of its buckets; exact links give components. What is left are pairs of different components in one bucket. Shingles
+that no other component has, and bits in which one-bit parity sketches of two sets differ, bound their symmetric
+difference from below; pairs that pass both bounds are verified exactly. Every pair of a bucket is thus linked
+indirectly, ruled out by a bound, or verified.
 
 Shingles are compared by 64-bit hashes, classes by 128 bits and size.
 """
@@ -32,14 +32,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import NOT_SPACE, flat_texts, list_array, lower_ascii, mix, run_hashes, short_batches, slices, span_hashes, word_spans
 from tidemark.llm.bitmaps import bitmap_of, hits
-from tidemark.llm.common import stored, with_row_key
+from tidemark.llm.common import fresh_name, stored, with_row_key
 from tidemark.llm.components import components
 
 WORDS = 5
 PER_CENT = 80
 #: Blocks of a band for each word that its largest sets sign with.
-SPARE = 1.5
+SPARE = 1.15
 LEAST_BLOCKS = 8
+#: One in so many shingles is looked at for shingles that no other component has.
+PART = 3
 #: Longs of the one-bit parity sketch that pairs of a bucket are held against.
 SKETCH = 16
 
@@ -134,33 +136,54 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def sign_documents(rows: DataFrame, words: int, per_cent: int) -> DataFrame:
-    """Per row of `rid`, `doc_id`, `text`: set size `n`, 128 bits of the set in `c` and `h`, and its signatures."""
+def describe(rows: DataFrame, words: int) -> DataFrame:
+    """Per row of `rid`, `doc_id`, `text`: set size `n` and 128 bits of the set in `c` and `h`."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in short_batches(batches, 2):
             data, marks = flat_texts(batch.column(2))
             for first, last in slices(marks):
-                n = last - first
                 owner, value = shingle_sets(data[marks[first] : marks[last]], marks[first : last + 1] - marks[first], words)
-                sizes = np.bincount(owner, minlength=n)
-                bounds = np.concatenate([[0], np.cumsum(sizes)])
-                sums = []
-                for k in (1, 2):
-                    total = np.zeros(len(value) + 1, dtype=np.uint64)
-                    np.cumsum(mix(value + salt(k)), out=total[1:])
-                    sums.append(_signed(mix(total[bounds[1:]] - total[bounds[:-1]])))
-                who, sign = signatures(owner, value, n, per_cent)
-                order = np.argsort(who, kind="stable")
-                lists = list_array(_signed(sign[order]), np.bincount(who, minlength=n), pa.int64())
-                part = batch.slice(first, n)
+                part = batch.slice(first, last - first)
+                sizes, names = set_names(owner, value, last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), lists],
-                    names=["rid", "doc_id", "n", "c", "h", "signs"],
+                    [part.column(0), part.column(1), *map(pa.array, (sizes, *names))], names=["rid", "doc_id", "n", "c", "h"]
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"rid long, doc_id {kind}, n long, c long, h long, signs array<long>")
+    return rows.mapInArrow(work, f"rid long, doc_id {kind}, n long, c long, h long")
+
+
+def set_names(owner: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sizes and two 64-bit names of `n` sets."""
+    sizes = np.bincount(owner, minlength=n)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    names = []
+    for k in (1, 2):
+        total = np.zeros(len(value) + 1, dtype=np.uint64)
+        np.cumsum(mix(value + salt(k)), out=total[1:])
+        names.append(_signed(mix(total[bounds[1:]] - total[bounds[:-1]])))
+    return sizes, names
+
+
+def sign_documents(texts: DataFrame, words: int, per_cent: int) -> DataFrame:
+    """`sign` and `c` for each signature of each text; computed again from the texts, which is less than storing them."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in short_batches(batches, 0):
+            data, marks = flat_texts(batch.column(0))
+            for first, last in slices(marks):
+                owner, value = shingle_sets(data[marks[first] : marks[last]], marks[first : last + 1] - marks[first], words)
+                _, names = set_names(owner, value, last - first)
+                who, sign = signatures(owner, value, last - first, per_cent)
+                # copies within a slice sign once
+                _, own = np.unique(names[0], return_index=True)
+                kept = np.zeros(last - first, dtype=bool)
+                kept[own] = True
+                who, sign = who[kept[who]], sign[kept[who]]
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(sign)), pa.array(names[0][who])], names=["sign", "c"])
+
+    return texts.mapInArrow(work, "sign long, c long")
 
 
 def shared_buckets(signs: DataFrame) -> DataFrame:
@@ -230,7 +253,8 @@ def linked(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     left = sets.select(F.col("rid").alias("u"), F.col("shingles").alias("su"))
     right = sets.select(F.col("rid").alias("v"), F.col("shingles").alias("sv"))
     both = F.size(F.array_intersect("su", "sv"))
-    found = pairs.select("u", "v").join(left, "u").join(right, "v").select("u", "v", both.alias("k"), (F.size("su") + F.size("sv")).alias("s"))
+    # pairs grow with the sets, so the joins are the same at every size
+    found = pairs.select("u", "v").hint("merge").join(left, "u").hint("merge").join(right, "v").select("u", "v", both.alias("k"), (F.size("su") + F.size("sv")).alias("s"))
     return found.filter(100 * F.col("k") >= per_cent * (F.col("s") - F.col("k"))).select("u", "v")
 
 
@@ -238,23 +262,16 @@ def sizes_fit(small: str, large: str, per_cent: int) -> Column:
     return F.least(small, large) * 100 >= F.greatest(small, large) * per_cent
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
-    """Per row of `docs`: the key as `doc_id`, `n_shingles` and `component_id`, the smallest key reachable by links.
+def component_rows(rows: DataFrame, words: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
+    """Per row of `rid`, `doc_id`, `text`: `rid`, `doc_id`, set size `n`, and the least row and key of its component.
 
-    Two rows link when their sets of distinct `words`-word shingles (lower case in ASCII, words between ASCII white
-    space) have a Jaccard similarity of at least `per_cent` %, in whole numbers. A text with fewer words is one shingle;
-    one without words, or null, has none, and its component is its own key. Equal texts link, and so do other rows with
-    the same set. A repeated key gives a row each time; a null key is never the smallest, and stays null where no other
-    is reachable. Other columns are not read. An empty table gives an empty result. `docs` should be a stored table,
-    since its rows are numbered by split and place at two readings.
+    `root` is a row of the component, the same for all its rows; rows without shingles are their own.
     """
-    rows = with_row_key(docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")), "rid")
-    signed = stored(sign_documents(rows.select("rid", "doc_id", "text"), words, per_cent), "parity-signed")
-    narrow = signed.drop("signs")
+    narrow = stored(describe(rows.select("rid", "doc_id", "text"), words), "parity-sets")
     classes = stored(
         narrow.filter("n > 0").groupBy("c", "h", "n").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least")), "parity-classes"
     )
-    buckets = stored(shared_buckets(signed.select(F.explode("signs").alias("sign"), "c")), "parity-buckets")
+    buckets = stored(shared_buckets(sign_documents(rows.select("text"), words, per_cent)), "parity-buckets")
     wanted = stored(classes.join(buckets.select("c").distinct(), "c", "left_semi").select("rid", "c", "n"), "parity-wanted")
     sets = stored(sets_of(rows.select("rid", "text"), wanted, words), "parity-sets")
 
@@ -269,20 +286,51 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     more = stored(linked(open_pairs(buckets, wanted, sets, components(links), per_cent), sets, per_cent), "parity-links")
     final = components(links.union(more))
 
-    placed = classes.join(final, classes["rid"] == final["node"], "left").select("c", "h", "n", "least", "component")
+    placed = classes.join(final, classes["rid"] == final["node"], "left").select("c", "h", "n", "rid", "least", "component")
     roots = placed.filter("component is not null").groupBy("component").agg(F.min("least").alias("reach"))
-    named = placed.join(roots, "component", "left").select("c", "h", "n", F.coalesce("reach", "least").alias("component_id"))
-    own = narrow.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return narrow.filter("n > 0").join(named, ["c", "h", "n"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id").union(own)
+    named = placed.join(roots, "component", "left").select(
+        "c", "h", "n", F.coalesce("component", "rid").alias("root"), F.coalesce("reach", "least").alias("component_id")
+    )
+    found = narrow.filter("n > 0").join(named, ["c", "h", "n"]).select("rid", "doc_id", "n", "root", "component_id")
+    alone = narrow.filter("n = 0").select("rid", "doc_id", "n", F.col("rid").alias("root"), F.col("doc_id").alias("component_id"))
+    return found.union(alone)
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
+    """Per row of `docs`: the key as `doc_id`, `n_shingles` and `component_id`, the smallest key reachable by links.
+
+    Two rows link when their sets of distinct `words`-word shingles (lower case in ASCII, words between ASCII white
+    space) have a Jaccard similarity of at least `per_cent` %, in whole numbers. A text with fewer words is one shingle;
+    one without words, or null, has none, and its component is its own key. Equal texts link, and so do other rows with
+    the same set. A repeated key gives a row each time; a null key is never the smallest, and stays null where no other
+    is reachable. Other columns are not read. An empty table gives an empty result. `docs` should be a stored table,
+    since its rows are numbered by split and place at three readings.
+    """
+    rows = with_row_key(docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")), "rid")
+    return component_rows(rows, words, per_cent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
+    """The rows of `docs`, unchanged, of which one of each component stays: of smallest key (null last), then first.
+
+    Rows without words are linked with nothing and all stay.
+    """
+    rid = fresh_name(docs, "rid")
+    rows = with_row_key(docs, rid)
+    narrow = rows.select(F.col(rid).alias("rid"), F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    found = stored(component_rows(narrow, words, per_cent), "parity-components")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "rid"))
+    kept = found.groupBy("root").agg(first.alias("first")).select(F.col("first.rid").alias("rid"))
+    gone = found.join(kept, "rid", "left_anti").select(F.col("rid").alias(rid))
+    return rows.join(gone.hint("merge"), rid, "left_anti").drop(rid)
 
 
 def open_pairs(buckets: DataFrame, wanted: DataFrame, sets: DataFrame, parts: DataFrame, per_cent: int) -> DataFrame:
     """Pairs of classes of different components that share a bucket and that counts do not rule out.
 
-    A linked pair shares at least a share of q = per_cent / (100 + per_cent) of its sizes together. `alone` counts the
-    shingles of a class that no other component has, as far as two classes at most have them; they are in no shared
-    part. So the smaller of a pair keeps 2 q of its size after taking them off, and the larger `per_cent` %. The bits in
-    which the sketches of a pair differ are no more than the symmetric difference may be.
+    `alone` counts the shingles of a class that no other component has, among one in `PART` of all shingles and as far as
+    two classes at most have them. Those of both classes of a pair are in its symmetric difference, and so are at least as
+    many shingles as their sketches have different bits; neither number may exceed the bound of the pair.
     """
     known = wanted.join(parts, wanted["rid"] == parts["node"], "left").select("c", "rid", "n", F.coalesce("component", "rid").alias("part"))
     placed = buckets.select("sign", "c").join(known, "c").select("sign", "rid", "n", "part")
@@ -292,6 +340,7 @@ def open_pairs(buckets: DataFrame, wanted: DataFrame, sets: DataFrame, parts: Da
     holders = (
         sets.join(members, "rid")
         .select(F.explode("shingles").alias("shingle"), "rid", "part")
+        .filter(F.pmod("shingle", F.lit(PART)) == 0)
         .groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("k"), F.min("rid").alias("a"), F.max("rid").alias("b"), F.min("part").alias("low"), F.max("part").alias("high"))
         .filter("k <= 2 and low = high")
@@ -301,23 +350,17 @@ def open_pairs(buckets: DataFrame, wanted: DataFrame, sets: DataFrame, parts: Da
         members.join(alone, "rid", "left")
         .join(sets.select("rid", "sketch", F.size("shingles").alias("size")), "rid")
         .select("rid", F.coalesce("alone", F.lit(0)).alias("alone"), "sketch", "size")
-        .filter((F.col("size") - F.col("alone")) * 100 >= per_cent * F.col("size"))
+        .filter(F.col("alone") * (100 + per_cent) <= (100 - per_cent) * (F.col("size") + F.floor(F.col("size") * 100 / per_cent)))
     )
     rows = mixed_rows.join(viable, "rid").select("sign", "rid", "n", "part", "alone", "sketch")
-    total = 100 + per_cent
-    small = rows.filter((F.col("n") - F.col("alone")) * total >= 2 * per_cent * F.col("n")).select(
-        "sign", F.col("rid").alias("u"), F.col("n").alias("nu"), F.col("part").alias("pu"), F.col("alone").alias("au"), F.col("sketch").alias("ku")
-    )
-    large = rows.select(
-        "sign", F.col("rid").alias("v"), F.col("n").alias("nv"), F.col("part").alias("pv"), F.col("alone").alias("av"), F.col("sketch").alias("kv")
-    )
+    left = rows.toDF("sign", "u", "nu", "pu", "au", "ku")
+    right = rows.toDF("sign", "v", "nv", "pv", "av", "kv")
     bits = sum((F.bit_count(F.col("ku")[i].bitwiseXOR(F.col("kv")[i])) for i in range(SKETCH)), F.lit(0))
-    needed = per_cent * (F.col("nu") + F.col("nv"))
+    bound = (100 - per_cent) * (F.col("nu") + F.col("nv"))
     return (
-        small.join(large, "sign")
+        left.join(right, "sign")
         .filter((F.col("pu") != F.col("pv")) & (F.struct("nu", "u") < F.struct("nv", "v")) & sizes_fit("nu", "nv", per_cent))
-        .filter(((F.col("nu") - F.col("au")) * total >= needed) & ((F.col("nv") - F.col("av")) * total >= needed))
-        .filter(bits * total <= (100 - per_cent) * (F.col("nu") + F.col("nv")))
+        .filter(((F.col("au") + F.col("av")) * (100 + per_cent) <= bound) & (bits * (100 + per_cent) <= bound))
         .select("u", "v")
         .distinct()
     )
