@@ -101,10 +101,12 @@ def test_shards_of_odd_rows_and_of_hot_copies(spark, tmp_path):
     assert len({r.shard for r in shard_rows(docs.limit(3), 24).collect()}) == 3
 
 
-def test_spread_of_hot_kinds(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sharding, "SPREAD", 16)
-    rows = [(7, "the same")] * 400 + [(i, "other") for i in range(100)]
-    check_shards(shard_rows(store(spark, tmp_path, rows), 24).collect(), rows)
+def test_many_hot_kinds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "HOT_ROWS", 16)
+    rows = [(7, "the same")] * 400 + [(None, None)] * 90 + [(i, "other") for i in range(100)]
+    found = shard_rows(store(spark, tmp_path, rows), 24).collect()
+    check_shards(found, rows)
+    assert sorted(map(str, found)) == sorted(map(str, shard_rows(store(spark, tmp_path, rows[::-1], files=3), 24).collect()))
 
 
 def test_no_python_in_the_sharding_plan(spark):

@@ -1,9 +1,9 @@
 """A reproducible shuffle whose shard and slot can be computed: a Feistel permutation of global row numbers.
 
 Rows are numbered in an order that depends on their content only: by bucket of a hash of key, size and checksum, then
-by these three. Counts per bucket, at most `BUCKETS` of them, give each bucket its first number, so numbering sorts
-buckets and never the table. Rows that agree in all three are interchangeable; where there are very many of a kind,
-they are spread over several buckets, and it does not matter which of them gets which number.
+by these three. Counts per bucket give each bucket its first number, so numbering sorts buckets and never the table.
+Rows that agree in all three are interchangeable; where there are very many of a kind, they come last, in as many
+buckets as their number asks for, and it does not matter which of them gets which number.
 
 The number goes through a Feistel network on a x b >= n cells, a and b near the square root of n. Places beyond n walk
 on along their cycle until they fall inside; fewer than a places lie outside, so walks are short. Place p goes to
@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-#: Buckets of the numbering; their counts are the only global state.
+#: Buckets of the numbering. Their counts, and those of as many more for hot kinds, are the only global state.
 BUCKETS = 1 << 14
-#: Kinds of equal rows beyond this share of all rows are spread; there are at most 1 / share of them.
+#: Kinds of equal rows beyond this share of all rows are hot; there are at most 1 / share of them.
 HOT_SHARE = 0.001
-SPREAD = 256
+HOT_ROWS = 256
 ROUNDS = 4
 #: Steps of a walk. A walk takes fewer than a, and each step ends it but with probability below 1 / a.
 MOST_STEPS = 64
@@ -76,26 +76,25 @@ def number_rows(rows: DataFrame, kind: list[str], name: str) -> tuple[DataFrame,
     `rows` must be a stored table with no other column that differs between rows of equal `kind`.
     """
     spark = rows.sparkSession
-    bucket, first, spread = name + "_bucket", name + "_first", name + "_spread"
-    place = lambda *more: F.pmod(F.xxhash64(*kind, *more), F.lit(BUCKETS)).cast("int")
-    dealt = rows.withColumn(bucket, place())
+    bucket, first, base, parts = (f"{name}_{x}" for x in ("bucket", "first", "base", "parts"))
+    dealt = rows.withColumn(bucket, F.pmod(F.xxhash64(*kind), F.lit(BUCKETS)).cast("int"))
     counts = dict(dealt.groupBy(bucket).count().collect())
     n = sum(counts.values())
-    full = [k for k, c in counts.items() if c > max(1, n * HOT_SHARE) and c > SPREAD]
+    limit = max(HOT_ROWS, n * HOT_SHARE)
+    full = [k for k, c in counts.items() if c > limit]
     if full:
-        hot = (
-            dealt.filter(F.col(bucket).isin(full))
-            .groupBy(*kind)
-            .agg(F.count(F.lit(1)).alias(spread))
-            .filter(F.col(spread) > max(SPREAD, n * HOT_SHARE))
-            .withColumnsRenamed({c: f"{name}_{c}" for c in kind})
-        )
+        hot = dealt.filter(F.col(bucket).isin(full)).groupBy(*kind).count().filter(F.col("count") > limit).collect()
+        spread, at = [], BUCKETS
+        for *values, count in sorted(hot, key=lambda r: tuple((x is not None, x if x is not None else 0) for x in r)):
+            share = -(-count * BUCKETS // n)
+            spread.append((*values, at, share))
+            at += share
+        types = ", ".join(f"`{name}_{c}` {rows.schema[c].dataType.simpleString()}" for c in kind)
+        known = spark.createDataFrame(spread, f"{types}, `{base}` int, `{parts}` int")
         same = [F.col(c).eqNullSafe(F.col(f"{name}_{c}")) for c in kind]
-        salted = dealt.join(F.broadcast(hot), same, "left").select(*rows.columns, spread)
-        dealt = salted.withColumn(
-            bucket,
-            F.when(F.col(spread).isNull(), place()).otherwise(place(F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)))),
-        ).drop(spread)
+        own = F.col(base) + F.pmod(F.monotonically_increasing_id(), F.col(parts)).cast("int")
+        dealt = dealt.join(F.broadcast(known), same, "left").withColumn(bucket, F.coalesce(own, F.col(bucket)))
+        dealt = dealt.select(*rows.columns, bucket)
         counts = dict(dealt.groupBy(bucket).count().collect())
     starts, at = [], 0
     for k in sorted(counts):
