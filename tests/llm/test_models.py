@@ -147,7 +147,7 @@ def test_search_of_odd_vectors_is_exact_in_small_tables(spark, tmp_path):
 
 @pytest.mark.parametrize("block", [64, 8192])
 def test_recall_over_many_lists(spark, monkeypatch, block):
-    monkeypatch.setattr(vector_search, "LIST", 32)
+    monkeypatch.setattr(vector_search, "LIST", 48)
     monkeypatch.setattr(vector_search, "BLOCK", block)
     frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     vectors = [(r.vec_id, r.embedding) for r in frame.collect()]

@@ -32,13 +32,13 @@ SAMPLE = 60_000
 LIST = 256
 MOST_LISTS = 8_192
 #: A vector also joins lists within this ratio of its nearest centroid's distance, up to so many lists.
-BORDER = 1.05
-COPIES = 4
+BORDER = 1.06
+COPIES = 6
 #: A query opens lists within this ratio of the nearest centroid's distance, of those in its beam.
-OPEN = 1.12
-BEAM = 64
+OPEN = 1.15
+BEAM = 96
 DEGREE = 24
-STEPS = 6
+STEPS = 8
 SPREAD = 8
 #: Rows of a block of a list, and of queries that meet it.
 BLOCK = 8_192
