@@ -1,12 +1,12 @@
 import math
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from samples import CONFIG, customers
 from tidemark.operators import monitor
-from tidemark.plans.monitors import monitor_log, refresh_all, refresh_configured, refresh_summary, write_monitors
+from tidemark.plans.monitors import monitor_log, refresh_all, refresh_configured, refresh_days, refresh_summary, write_monitors
 from tidemark.sources import scored_log
 
 START = datetime(2026, 5, 1)
@@ -160,3 +160,23 @@ def test_refresh_with_the_baseline_of_the_settings(spark, database):
     assert spark.table(f"{database}.{name}_profile_metrics").count() > 0
     with pytest.raises(ValueError):
         refresh_configured(spark, CONFIG.with_(baseline_table=None), name)
+
+
+def test_refresh_of_one_day_reads_one_partition(spark, database):
+    rows = customers(spark, 120).withColumn("prediction", F.col("Churn"))
+    at = lambda d: F.lit(f"2026-01-0{d} 12:00:00").cast("timestamp")
+    name = f"{database}.daily"
+    scored_log.append(rows.withColumn("inference_ts", at(1)).union(rows.withColumn("inference_ts", at(2))), name)
+    write_monitors(monitor_log(spark.table(name), rows, CONFIG), name, CONFIG.target)
+    before = {tuple(r) for r in spark.table(f"{name}_profile_metrics").collect()}
+    scored_log.append(rows.limit(30).withColumn("inference_ts", at(2)), name)
+    log = spark.table(name)
+    refresh_days(log, rows, CONFIG, name, date(2026, 1, 2), date(2026, 1, 2))
+    after = {tuple(r) for r in spark.table(f"{name}_profile_metrics").collect()}
+    changed = {r[0].day for r in before ^ after}
+    assert changed == {2} and len(after) == len(before)
+    counts = {(r.window_start.day, r.value) for r in spark.table(f"{name}_profile_metrics").where("metric = 'count'").collect()}
+    assert counts == {(1, 120.0), (2, 150.0)}
+    pruned = log.where(F.col("inference_date").between(F.lit(date(2026, 1, 2)), F.lit(date(2026, 1, 2))))
+    assert "PartitionFilters: [isnotnull(inference_date" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert len(pruned.inputFiles()) < len(log.inputFiles())

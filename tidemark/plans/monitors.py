@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from tidemark.operators import monitor
 from tidemark.operators.metrics import confusion_metrics
 from tidemark.session import cut_lineage
 from tidemark.sources.feature_table import replace_table, retire
+from tidemark.sources.scored_log import DATE_COLUMN
 from tidemark.sources.tables import find_tables
 
 RESULT = "table string, status string, error string"
@@ -55,18 +57,42 @@ def monitor_log(log: DataFrame, baseline: DataFrame, config: Config, ts: str = "
     return MonitorTables(profiled, drifted, by_window, alerts)
 
 
-def write_monitors(tables: MonitorTables, log_name: str, target: str) -> None:
-    """Put new versions of the metric tables that belong to a log in place; readers see the former until one is whole."""
-    base = log_name.replace("`", "")
+def _parts(tables: MonitorTables, target: str) -> dict[str, DataFrame]:
     parts = {"profile_metrics": tables.profile, "drift_metrics": tables.drift, "alerts": tables.alerts}
     if tables.quality is not None:
         parts["quality_metrics"] = monitor.quality_metrics(tables.quality, target)
-    for suffix, df in parts.items():
+    return parts
+
+
+def write_monitors(tables: MonitorTables, log_name: str, target: str) -> None:
+    """Put new versions of the metric tables that belong to a log in place; readers see the former until one is whole."""
+    base = log_name.replace("`", "")
+    for suffix, df in _parts(tables, target).items():
         name = f"{base}_{suffix}"
         replace_table(df, name)
         retire(df.sparkSession, name)
 
 
+def refresh_days(log: DataFrame, baseline: DataFrame, config: Config, log_name: str, first: date, last: date) -> None:
+    """Refresh the windows of some days of a log partitioned by day; the metrics of other days stay as they are.
+
+    Only the partitions of these days are read. `first` and `last` belong to the range.
+    """
+    spark = log.sparkSession
+    days = log.where(F.col(DATE_COLUMN).between(F.lit(first), F.lit(last)))
+    tables = monitor_log(days, baseline, config)
+    fresh = _parts(tables, config.target)
+    base = log_name.replace("`", "")
+    for suffix, df in fresh.items():
+        name = f"{base}_{suffix}"
+        if spark.catalog.tableExists(name):
+            day = F.to_date(monitor.WINDOW)
+            others = spark.table(name).where(day.isNull() | ~day.between(F.lit(first), F.lit(last)))
+            df = others.unionByName(df)
+        replace_table(df, name)
+        retire(spark, name)
+
+
 def refresh_all(spark: SparkSession, log_name: str, refresh: Callable[[str], None]) -> DataFrame:
     """Run `refresh` for every table of that name in any database; a failure is recorded and the rest go on."""
     found, unreadable = find_tables(spark, log_name)
