@@ -27,8 +27,8 @@ from tidemark.llm.arrow_text import short_batches
 from tidemark.llm.token_counts import load_tokenizer
 
 #: Entries of a generation of the worker's caches, of chunks and of words; two generations are held.
-CHUNK_ENTRIES = 200_000
-WORD_ENTRIES = 250_000
+CHUNK_ENTRIES = 150_000
+WORD_ENTRIES = 200_000
 CACHED_CHARS = 48
 #: Symbols of a word up to which looking at all pairs is the quicker way.
 SHORT = 40

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 
+#: Bytes of the batches that go to Python workers and come back; texts are long, so rows are no measure.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. For this session, it also bounds the batches that workers are sent by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

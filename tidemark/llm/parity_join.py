@@ -12,8 +12,8 @@ words of a set contain one that its partner has too. Sets therefore sign with th
 order (fullest block first, then by the word): of two partners, the one whose last word comes earlier shares a word
 that both sign with. A set with too few filled blocks signs with its empty ones as well, so nothing is lost.
 
-Equal sets are one class. Signatures are sorted by value, and each class is first held against the class that leads
-most of its buckets; exact links give components. What is left are pairs of different components in one bucket. Shingles
+Equal sets are one class. Signatures are sorted by value, and each class is first held against the classes that lead its
+buckets; exact links give components. What is left are pairs of different components in one bucket. Shingles
 that no other component has, and bits in which one-bit parity sketches of two sets differ, bound their symmetric
 difference from below; pairs that pass both bounds are verified exactly. Every pair of a bucket is thus linked
 indirectly, ruled out by a bound, or verified.
@@ -262,6 +262,12 @@ def sizes_fit(small: str, large: str, per_cent: int) -> Column:
     return F.least(small, large) * 100 >= F.greatest(small, large) * per_cent
 
 
+def sketches_allow(per_cent: int) -> Column:
+    """Whether the sketches `ku` and `kv` differ in no more bits than linked sets of sizes `nu` and `nv` may."""
+    bits = sum((F.bit_count(F.col("ku")[i].bitwiseXOR(F.col("kv")[i])) for i in range(SKETCH)), F.lit(0))
+    return bits * (100 + per_cent) <= (100 - per_cent) * (F.col("nu") + F.col("nv"))
+
+
 def component_rows(rows: DataFrame, words: int = WORDS, per_cent: int = PER_CENT) -> DataFrame:
     """Per row of `rid`, `doc_id`, `text`: `rid`, `doc_id`, set size `n`, and the least row and key of its component.
 
@@ -275,12 +281,13 @@ def component_rows(rows: DataFrame, words: int = WORDS, per_cent: int = PER_CENT
     wanted = stored(classes.join(buckets.select("c").distinct(), "c", "left_semi").select("rid", "c", "n"), "parity-wanted")
     sets = stored(sets_of(rows.select("rid", "text"), wanted, words), "parity-sets")
 
-    leads = buckets.filter("c != first").groupBy("c", "first").count()
-    lead = leads.groupBy("c").agg(F.max_by("first", F.struct("count", "first")).alias("first"))
+    # every class against the classes that lead its buckets, as far as their sketches allow
+    known = wanted.join(sets.select("rid", "sketch"), "rid")
+    leads = buckets.filter("c != first").select("c", "first").distinct()
     tried = (
-        lead.join(wanted.select("c", F.col("rid").alias("u"), F.col("n").alias("nu")), "c")
-        .join(wanted.select(F.col("c").alias("first"), F.col("rid").alias("v"), F.col("n").alias("nv")), "first")
-        .filter(sizes_fit("nu", "nv", per_cent))
+        leads.join(known.select("c", F.col("rid").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("ku")), "c")
+        .join(known.select(F.col("c").alias("first"), F.col("rid").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("kv")), "first")
+        .filter(sizes_fit("nu", "nv", per_cent) & sketches_allow(per_cent))
     )
     links = stored(linked(tried, sets, per_cent), "parity-links")
     more = stored(linked(open_pairs(buckets, wanted, sets, components(links), per_cent), sets, per_cent), "parity-links")
@@ -355,12 +362,11 @@ def open_pairs(buckets: DataFrame, wanted: DataFrame, sets: DataFrame, parts: Da
     rows = mixed_rows.join(viable, "rid").select("sign", "rid", "n", "part", "alone", "sketch")
     left = rows.toDF("sign", "u", "nu", "pu", "au", "ku")
     right = rows.toDF("sign", "v", "nv", "pv", "av", "kv")
-    bits = sum((F.bit_count(F.col("ku")[i].bitwiseXOR(F.col("kv")[i])) for i in range(SKETCH)), F.lit(0))
     bound = (100 - per_cent) * (F.col("nu") + F.col("nv"))
     return (
         left.join(right, "sign")
         .filter((F.col("pu") != F.col("pv")) & (F.struct("nu", "u") < F.struct("nv", "v")) & sizes_fit("nu", "nv", per_cent))
-        .filter(((F.col("au") + F.col("av")) * (100 + per_cent) <= bound) & (bits * (100 + per_cent) <= bound))
+        .filter(((F.col("au") + F.col("av")) * (100 + per_cent) <= bound) & sketches_allow(per_cent))
         .select("u", "v")
         .distinct()
     )
