@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import from_mapping
 
+# Columns and categories of the table that settings and models are made for
 CATEGORICAL = [
     "gender",
     "SeniorCitizen",
@@ -25,6 +26,7 @@ CATEGORICAL = [
     "PaymentMethod",
 ]
 
+# Names of the settings file; the numbers are free
 SETTINGS = {
     "target_column": "Churn",
     "positive_class": "Yes",
@@ -50,6 +52,7 @@ SCHEMA = (
 
 YES_NO = ["Yes", "No"]
 INTERNET_EXTRA = ["Yes", "No", "No internet service"]
+# See above
 VALUES = {
     "gender": ["Male", "Female"],
     "MultipleLines": ["Yes", "No", "No phone service"],
@@ -86,8 +89,8 @@ def customers(spark, n=100, seed=42):
         row = {
             "customerID": f"C{i:04d}",
             "tenure": tenure,
-            "MonthlyCharges": round(rng.uniform(18, 120), 2),
-            "TotalCharges": round(rng.uniform(0, 8000), 2),
+            "MonthlyCharges": round(rng.uniform(5, 150), 2),
+            "TotalCharges": round(rng.uniform(0, 9500), 2),
             "SeniorCitizen": rng.randrange(2),
             "Contract": contract,
             "Churn": "Yes" if rng.random() < risk else "No",
