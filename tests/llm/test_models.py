@@ -164,6 +164,24 @@ def test_recall_over_many_lists(spark, monkeypatch, block):
     assert all(len(v) == 20 for v in found.values())
 
 
+def test_recall_over_thousands_of_lists(spark, tmp_path, monkeypatch):
+    """More lists than a fixed number of opened ones would reach."""
+    monkeypatch.setattr(vector_search, "LIST", 6)
+    chance = np.random.default_rng(8)
+    matrix = (chance.normal(size=(10, 32))[chance.integers(0, 10, 12_000)] + chance.normal(size=(12_000, 32))).astype(np.float32)
+    frame = store(spark, tmp_path, [(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id long, embedding array<float>", files=4)
+    found = {}
+    for r in nearest(frame, every=50).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(found) == 240
+    hit = 0
+    for q, own in found.items():
+        score = matrix.astype(np.float64) @ matrix[q].astype(np.float64)
+        score[q] = -np.inf
+        hit += len(own & set(np.argsort(-score)[:20].tolist()))
+    assert hit / (20 * len(found)) >= 0.95
+
+
 def test_beam_search_finds_the_nearest_centroids():
     chance = np.random.default_rng(5)
     points = chance.normal(size=(6000, 16))

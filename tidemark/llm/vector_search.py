@@ -6,8 +6,10 @@ the means of these equal parts are the centroids, so lists are about equally lon
 worker with a graph of their nearest neighbours, and a beam search over the graph finds the centroids near a vector.
 
 Every vector goes to the list of its nearest centroid and, near a boundary, to those hardly farther. A query opens the
-lists whose centroid is within a ratio of the distance of the nearest. Lists and queries of a list are cut into blocks
-by counts, so no task holds a whole list however many vectors it has; within a block all inner products are formed.
+lists of its nearest centroids by exact distance. How many is measured on every table: some of the queries are held
+against all vectors, and the count is the smallest that finds the wanted share of their true neighbours in the lists as
+they are, so it follows the number of lists and the shape of the data. Lists and queries of a list are cut into blocks by
+counts, so no task holds a whole list however many vectors it has; within a block all inner products are formed.
 
 Equal vectors are one entry that carries the k + 1 smallest ids, which is all that a result can show of them, and equal
 queries are searched once.
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import stored
 
@@ -34,8 +37,11 @@ MOST_LISTS = 8_192
 #: A vector also joins lists within this ratio of its nearest centroid's distance, up to so many lists.
 BORDER = 1.06
 COPIES = 6
-#: A query opens lists within this ratio of the nearest centroid's distance, of those in its beam.
-OPEN = 1.15
+#: Queries held against all vectors, the share of their neighbours that the opened lists have to hold, and the least of
+#: lists that a query opens, all where there are fewer.
+TRIALS = 512
+WANTED = 0.97
+LEAST_OPEN = 96
 BEAM = 96
 DEGREE = 24
 STEPS = 8
@@ -151,25 +157,101 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.filter(F.size("v") == usual[0]["n"]).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))) if usual else rows
 
 
-def assign(entries: DataFrame, graph: Graph, square: float, queries: bool) -> DataFrame:
-    """`list` for each list that an entry (`uid`, `v`) joins or, as a query, opens."""
+def assign(entries: DataFrame, graph: Graph, square: float) -> DataFrame:
+    """`list` for each list that an entry (`uid`, `v`) joins."""
     shared = entries.sparkSession.sparkContext.broadcast(graph)
-    ratio, most = (OPEN, BEAM) if queries else (BORDER, COPIES)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 own = matrix_of(batch.column(1))
-                ids, distance = nearest_lists(np.column_stack([own, np.zeros(len(own))]) if queries else lengthened(own, square), shared.value)
-                ids, distance = ids[:, :most], distance[:, :most]
-                row, place = np.nonzero((distance <= ratio * distance[:, :1] + 1e-12) & (ids >= 0))
+                ids, distance = nearest_lists(lengthened(own, square), shared.value)
+                ids, distance = ids[:, :COPIES], distance[:, :COPIES]
+                row, place = np.nonzero((distance <= BORDER * distance[:, :1] + 1e-12) & (ids >= 0))
                 who = pa.array(row)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(who), batch.column(1).take(who), pa.array(ids[row, place].astype(np.int32))], names=["uid", "v", "list"])
 
     return entries.select("uid", "v").mapInArrow(work, f"uid {entries.schema['uid'].dataType.simpleString()}, v array<double>, list int")
 
 
+def list_costs(queries: np.ndarray, graph: Graph) -> np.ndarray:
+    """Squared distance of each query from every centroid, less a constant of the query."""
+    # a query's further component is zero
+    return graph.squares[None, :] - 2 * queries @ graph.centroids[:, :-1].T
+
+
+def open_lists(queries: DataFrame, graph: Graph, most: int) -> DataFrame:
+    """`lists`: the `most` lists of nearest centroids for each query (`uid`, `v`)."""
+    shared = queries.sparkSession.sparkContext.broadcast(graph)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                best = np.argpartition(list_costs(matrix_of(batch.column(1)), shared.value), most - 1, axis=1)[:, :most]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(best) + 1, dtype=np.int32) * most), pa.array(best.ravel().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["uid", "v", "lists"])
+
+    return queries.select("uid", "v").mapInArrow(work, f"uid {queries.schema['uid'].dataType.simpleString()}, v array<double>, lists array<int>")
+
+
+def true_neighbours(entries: DataFrame, queries: np.ndarray, most: int) -> DataFrame:
+    """The `most` entries (`uid`, `v`, `ids`) of largest inner product per query, by all products: `q`, `uid`, `score`, `ids`."""
+    shared = entries.sparkSession.sparkContext.broadcast(queries)
+    kind = entries.schema["uid"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        score, uid, many = np.zeros((len(own), 0)), np.zeros((len(own), 0), dtype=object), np.zeros((len(own), 0), dtype=np.int64)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                here = own @ matrix_of(batch.column(1)).T
+                best = np.argpartition(-here, min(most, here.shape[1]) - 1, axis=1)[:, :most]
+                score = np.concatenate([score, np.take_along_axis(here, best, axis=1)], axis=1)
+                uid = np.concatenate([uid, np.array(batch.column(0).to_pylist(), dtype=object)[best]], axis=1)
+                many = np.concatenate([many, batch.column(2).to_numpy(zero_copy_only=False)[best]], axis=1)
+                best = np.argsort(-score, axis=1, kind="stable")[:, :most]
+                score, uid, many = (np.take_along_axis(x, best, axis=1) for x in (score, uid, many))
+        q = np.repeat(np.arange(len(own)), score.shape[1])
+        names = pa.array(uid.ravel().tolist(), entries_type)
+        yield pa.RecordBatch.from_arrays([pa.array(q), names, pa.array(score.ravel()), pa.array(many.ravel())], names=["q", "uid", "score", "many"])
+
+    entries_type = to_arrow_type(entries.schema["uid"].dataType)
+    found = entries.select("uid", "v", F.size("ids").cast("long").alias("many")).mapInArrow(work, f"q long, uid {kind}, score double, many long")
+    place = F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "uid"))
+    return found.withColumn("place", place).filter(F.col("place") <= most)
+
+
+def lists_needed(entries: DataFrame, queries: DataFrame, posted: DataFrame, graph: Graph, k: int) -> int:
+    """The least number of lists in which queries find `WANTED` of their `k` nearest, measured on `TRIALS` of them."""
+    total = len(graph.centroids)
+    if total <= LEAST_OPEN:
+        return total
+    sample = queries.select("uid", "v").orderBy(F.xxhash64("uid", F.lit(2)), "uid").limit(TRIALS).toArrow()
+    if not sample.num_rows:
+        return LEAST_OPEN
+    own, names = matrix_of(sample.column("v").combine_chunks()), sample.column("uid").to_pylist()
+    truth = true_neighbours(entries, own, k + 1)
+    held = posted.groupBy("uid").agg(F.collect_set("list").alias("lists"))
+    rows = truth.join(held, "uid").orderBy("q", "place").collect()
+    ranks = np.argsort(np.argsort(list_costs(own, graph), axis=1, kind="stable"), axis=1, kind="stable")
+    costs, weights, seen = [], [], [0] * len(own)
+    for r in rows:
+        # an entry counts by its ids; a query is not its own neighbour
+        n = min(r["many"] - (r["uid"] == names[r["q"]]), k - seen[r["q"]])
+        if n > 0:
+            seen[r["q"]] += n
+            costs.append(1 + ranks[r["q"], r["lists"]].min())
+            weights.append(n)
+    if not costs:
+        return LEAST_OPEN
+    order = np.argsort(costs, kind="stable")
+    share = np.cumsum(np.array(weights)[order]) / np.sum(weights)
+    return max(LEAST_OPEN, int(np.array(costs)[order][np.searchsorted(share, WANTED - 1e-12)]))
+
+
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The `k` vectors of largest inner product found for each vector whose id is divisible by `every`, itself excepted.
 
@@ -177,7 +259,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
     equal scores are ordered by smaller id, and with fewer candidates all are returned. Rows with a null id, or whose
     vector is null, empty, zero, of another length than most, or holds null or non-finite components take no part. Ids
     should be unique; repeated ones count as one where their vectors are equal. Other columns are not read. An empty
-    table gives an empty result. Recall is measured in the tests; it is not a guarantee.
+    table gives an empty result. The lists opened hold `WANTED` of the neighbours of the queries measured; that is a
+    measured share, not a guarantee for each query.
     """
     rows = stored(usable(vectors, key, vector), "vectors")
     digest = [F.xxhash64("v"), F.xxhash64(F.lit(1), "v")]
@@ -199,8 +282,10 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
     lists = min(MOST_LISTS, max(1, n // LIST))
     graph = build_graph(halve(points, -(-len(points) // lists)))
 
-    posted = stored(assign(entries, graph, longest, False).join(entries.select("uid", "ids"), "uid"), "vector-lists")
-    opened = stored(assign(entries.join(asked.select("uid").distinct(), "uid", "left_semi"), graph, longest, True), "vector-opened")
+    posted = stored(assign(entries, graph, longest).join(entries.select("uid", "ids"), "uid"), "vector-lists")
+    searched = stored(entries.select("uid", "v").join(asked.select("uid").distinct(), "uid", "left_semi"), "vector-searched")
+    opened = stored(open_lists(searched, graph, lists_needed(entries, searched, posted.select("uid", "list"), graph, k)), "vector-opened")
+    opened = opened.withColumn("list", F.explode("lists")).drop("lists")
     # at most a row per list
     sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     wants = opened.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("groups"))
