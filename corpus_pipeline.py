@@ -34,7 +34,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     `n_chars`, where there is one, follows the new text.
     """
     removed, left = fresh_name(docs, "lines_removed"), fresh_name(docs, "lines_left")
-    found = dedup_lines(docs).filter((F.col(removed) == 0) | (F.col(left) > 0))
+    found = dedup_lines(docs, whole=True).filter((F.col(removed) == 0) | (F.col(left) > 0))
     if "n_chars" in docs.columns:
         count = F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))

@@ -7,6 +7,7 @@ import pytest
 from helpers import LOW, documents, jaccard_groups, line_cuts, sentence_cuts, store, words
 
 from tidemark.llm import decontaminate, license_scan, parity_join
+import corpus_pipeline
 from tidemark.llm.components import components
 from tidemark.llm.decontaminate import contaminated_pairs, without_items
 from tidemark.llm.license_scan import BASE, scan_licenses
@@ -99,6 +100,45 @@ def test_line_runs(spark, tmp_path, least):
 
 def test_lines_of_the_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in documents(spark).select("doc_id", "text").collect()]
+def all_line_runs(rows, least):
+    """Lines removed from every row, with all runs of at least `least` bytes looked up in reading order."""
+    seqs = [[x for x in (t or "").split("\n") if x.strip(" \t\r\x0b\x0c")] for _, t in rows]
+    seen, gone = set(), [set() for _ in rows]
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i)):
+        for p in range(len(seqs[i])):
+            size = 0
+            for q in range(p, len(seqs[i])):
+                size += len(seqs[i][q].encode())
+                if size >= least:
+                    run = tuple(seqs[i][p : q + 1])
+                    if run in seen:
+                        gone[i].update(range(p, q + 1))
+                    seen.add(run)
+    return [len(x) for x in gone]
+
+
+@pytest.mark.parametrize("least", [1, 2, 6, 20, 33])
+def test_whole_line_runs(spark, tmp_path, least):
+    chance = random.Random(least)
+    voc = ["a", "bb", "ccc", "a long line of text here", "x y", "", "  ", "another quite long line", "é", "short"]
+    rows = [(None if chance.random() < 0.1 else i % 90, "\n".join(chance.choice(voc) for _ in range(chance.randint(0, 12)))) for i in range(110)]
+    rows += [(500, None), (501, ""), (502, "\n\n"), (503, "one line\r\none line\r\n" * 40), (504, "é" * 5000), (505, "é" * 5000)]
+    rows += [(600, "A line of more than twenty bytes\nLes."), (601, "A line of more than twenty bytes\n\nLes.\nOther."), (602, "Les.")]
+    found = dedup_lines(store(spark, tmp_path, rows), least_chars=least, whole=True).collect()
+    assert nulls((r.doc_id, r.lines_removed) for r in found) == nulls(zip([k for k, _ in rows], all_line_runs(rows, least), strict=True))
+    if least == 20:
+        assert {r.doc_id: r.text for r in found}[601] == "\nOther."
+
+
+def test_the_line_query_leaves_no_short_last_lines(spark, tmp_path):
+    text = "A line of more than twenty bytes\nLes."
+    store(spark, tmp_path, [(1, text), (2, text), (3, f"{text}\nOwn.")]).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    found = {r.doc_id: (r.text, r.lines_left) for r in QUERIES["op8_line_dedup"](spark, str(tmp_path / "sf")).collect()}
+    assert found == {1: (text, 2), 2: ("", 0), 3: ("Own.", 1)}
+    docs = spark.read.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    assert sorted(r.doc_id for r in corpus_pipeline.lines(spark, docs, "").collect()) == [1, 3]
+
+
     assert nulls(map(tuple, dedup_lines(documents(spark).select("doc_id", "text")).collect())) == nulls(line_cuts(rows, 20))
 
 

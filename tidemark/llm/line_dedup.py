@@ -8,9 +8,11 @@ of pairs in place of sorted ranks: intervals are all that is asked for, not thei
 
 A run counts as repeated if it has at least `least_chars` bytes. Of each suffix, the shortest prefix that long decides:
 its length depends on its content only, it is covered by two names of the last round that fits, and it is a later copy
-unless its place is the first of its interval (by key, then row). A repeated run is made of such prefixes, so their
-union, merged per text, is the union of the maximal runs that have an earlier copy. Since a line has at least one byte,
-`log2(least_chars)` rounds suffice for runs of any length.
+unless its place is the first of its interval (by key, then row). With `whole`, the shortest run that ends at a line
+decides in the same way: it covers the last lines of a repeated run, from which on fewer bytes of it are left. A repeated
+run is made of such prefixes and of the shortest run up to its last line, so their union, merged per text, is the union
+of the maximal runs that have an earlier copy. Since a line has at least one byte, `log2(least_chars)` rounds suffice for
+runs of any length.
 """
 
 from __future__ import annotations
@@ -52,8 +54,17 @@ def shortest_runs(sizes: np.ndarray, bounds: np.ndarray, least: int) -> np.ndarr
     return np.where(stop <= last, stop - np.arange(len(sizes)), 0)
 
 
+def shortest_runs_back(sizes: np.ndarray, bounds: np.ndarray, least: int) -> np.ndarray:
+    """Lines up to each place, itself included, that are needed for `least` bytes; 0 where the text begins after."""
+    total = np.zeros(len(sizes) + 1, dtype=np.int64)
+    np.cumsum(sizes, out=total[1:])
+    begin = np.searchsorted(total, total[1:] - least, side="right") - 1
+    first = np.repeat(bounds[:-1], counts_of(bounds))
+    return np.where(begin >= first, np.arange(1, len(sizes) + 1) - begin, 0)
+
+
 def sequences(rows: DataFrame, least: int) -> DataFrame:
-    """A row per visible line of `rid`, `key`, `text`: place, 128 bits of the line, and its shortest run."""
+    """A row per visible line of `rid`, `key`, `text`: place, 128 bits of the line, its shortest run onwards and up to it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in short_batches(batches, 2):
@@ -73,12 +84,13 @@ def sequences(rows: DataFrame, least: int) -> DataFrame:
                         pa.array(span_hashes(part, starts, ends, 0).view(np.int64)),
                         pa.array(span_hashes(part, starts, ends, 1).view(np.int64)),
                         pa.array(shortest_runs(ends - starts, bounds, least), pa.int64()),
+                        pa.array(shortest_runs_back(ends - starts, bounds, least), pa.int64()),
                     ],
-                    names=["rid", "key", "pos", "a", "b", "need"],
+                    names=["rid", "key", "pos", "a", "b", "need", "back"],
                 )
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(work, f"rid long, key {kind}, pos long, a long, b long, need long")
+    return rows.mapInArrow(work, f"rid long, key {kind}, pos long, a long, b long, need long, back long")
 
 
 def repeated(suffixes: DataFrame) -> DataFrame:
@@ -87,22 +99,35 @@ def repeated(suffixes: DataFrame) -> DataFrame:
     return stored(suffixes.join(twice, ["a", "b"]), "line-suffixes")
 
 
-def later_copies(lines: DataFrame, least: int) -> DataFrame:
-    """`rid`, `start` and `lines` of the merged runs that have an earlier copy."""
-    level, k, windows = repeated(lines), 1, None
+def later_copies(lines: DataFrame, least: int, whole: bool = False) -> DataFrame:
+    """`rid`, `start` and `lines` of the merged runs that have an earlier copy; `whole` as in `dedup_lines`."""
+    level, k, windows = repeated(lines if whole else lines.drop("back")), 1, None
     while True:
         ahead = lambda n: W.partitionBy("rid").orderBy("pos").rangeBetween(n, n)  # noqa: B023, E731
         # runs of k to 2 k - 1 lines: a name at their start and one that ends where they end
         parts = [level.filter(F.col("need") == k).withColumns({"c": F.col("a"), "d": F.col("b")})] if k == 1 else []
         for need in range(max(k, 2), min(2 * k - 1, least) + 1):
-            tail = level.withColumns({"c": F.first("a").over(ahead(need - k)), "d": F.first("b").over(ahead(need - k))})
-            parts.append(tail.filter((F.col("need") == need) & F.col("c").isNotNull()))
+            tail = {"c": F.first("a").over(ahead(need - k)), "d": F.first("b").over(ahead(need - k))}
+            onward = (F.col("need") == need) & F.col("c").isNotNull()
+            if not whole:
+                parts.append(level.withColumns(tail).filter(onward))
+                continue
+            # `back` is that of the last line of a name; runs that are the shortest onwards as well are there already
+            head = {x: F.first(y).over(ahead(k - need)) for x, y in (("e", "a"), ("f", "b"), ("other", "need"))}
+            ending = (F.col("back") == need) & F.col("e").isNotNull() & (F.col("other") != need)
+            run = lambda pos, *names: F.struct(pos.alias("pos"), *(F.col(x).alias(y) for x, y in zip(names, "abcd", strict=True)))
+            both = F.array(F.when(onward, run(F.col("pos"), *"abcd")), F.when(ending, run(F.col("pos") - (need - k), *"efab")))
+            # one pass for both
+            seen = level.withColumns(tail | head).filter(onward | ending).select("rid", "key", F.explode(F.filter(both, lambda x: x.isNotNull())).alias("x"))
+            parts.append(seen.select("rid", "key", F.lit(need).cast("long").alias("need"), "x.*"))
         for part in parts:
             part = part.select("rid", "key", "pos", "need", "a", "b", "c", "d")
             windows = part if windows is None else windows.union(part)
         if 2 * k > least:
             break
         pair = level.withColumns({"c": F.first("a").over(ahead(k)), "d": F.first("b").over(ahead(k))}).filter("c is not null")
+        if whole:
+            pair = level.withColumns({x: F.first(y).over(ahead(k)) for x, y in (("c", "a"), ("d", "b"), ("back", "back"))}).filter("c is not null")
         names = {"a": F.xxhash64(F.lit(1), "a", "b", "c", "d"), "b": F.xxhash64(F.lit(2), "d", "c", "b", "a")}
         level, k = repeated(pair.withColumns(names).drop("c", "d")), 2 * k
     windows = stored(windows, "line-windows")
@@ -134,19 +159,20 @@ def cut_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     return "\n".join(kept), left
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS, counts: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS, counts: bool = True, whole: bool = False) -> DataFrame:
     """`docs` with later copies of repeated line runs deleted from `text`; with `counts`, also `lines_removed`, `lines_left`.
 
     Lines end at line feeds; blank lines stay, and runs go on across them. A run of at least `least_chars` bytes that
     occurs at several places, overlapping ones and places within one text included, stays at the first only: the
-    smallest key (null before all), then the first row. All rows and columns stay; a text that loses all its visible
+    smallest key (null before all), then the first row. Without `whole`, the last lines of a run, from which on it has
+    fewer bytes than that, stay in all copies. All rows and columns stay; a text that loses all its visible
     lines has none left. Null and empty texts stay as they are. Rows of equal key, or equal altogether, are ordered by
     file split and place, so `docs` should be a stored table. An empty table gives an empty result.
     """
     rid, runs = fresh_name(docs, "rid"), fresh_name(docs, "runs")
     rows = with_row_key(docs, rid)
     narrow = rows.select(F.col(rid).alias("rid"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    found = later_copies(stored(sequences(narrow, least_chars), "line-sequences"), least_chars)
+    found = later_copies(stored(sequences(narrow, least_chars), "line-sequences"), least_chars, whole)
     spans = stored(found.groupBy("rid").agg(F.collect_list(F.struct("start", "lines")).alias("spans")), "line-runs")
     # the spans grow with the texts, so the join is the same at every size
     joined = rows.join(spans.select(F.col("rid").alias(rid), F.col("spans").alias(runs)).hint("merge"), rid, "left").drop(rid)

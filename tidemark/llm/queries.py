@@ -72,7 +72,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_line_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
 
 
 @query("op9_vector_search")
