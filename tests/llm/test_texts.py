@@ -3,17 +3,19 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from helpers import LOW, documents, jaccard_groups, line_cuts, sentence_cuts, store, words
 
-from tidemark.llm import decontaminate, license_scan, parity_join
 import corpus_pipeline
+from tidemark.llm import decontaminate, license_scan, parity_join
 from tidemark.llm.components import components
 from tidemark.llm.decontaminate import contaminated_pairs, without_items
 from tidemark.llm.license_scan import BASE, scan_licenses
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.parity_join import jaccard_components, one_of_each
-from tidemark.llm.sentence_dedup import dedup_sentences
+from tidemark.llm.queries import QUERIES
+from tidemark.llm.sentence_dedup import cut_long, dedup_sentences
 
 nulls = lambda rows: sorted(rows, key=lambda r: tuple((x is not None, x if x is not None else 0) for x in r))
 
@@ -98,8 +100,6 @@ def test_line_runs(spark, tmp_path, least):
     assert dedup_lines(docs.limit(0)).collect() == []
 
 
-def test_lines_of_the_whole_table(spark):
-    rows = [(r.doc_id, r.text) for r in documents(spark).select("doc_id", "text").collect()]
 def all_line_runs(rows, least):
     """Lines removed from every row, with all runs of at least `least` bytes looked up in reading order."""
     seqs = [[x for x in (t or "").split("\n") if x.strip(" \t\r\x0b\x0c")] for _, t in rows]
@@ -139,6 +139,8 @@ def test_the_line_query_leaves_no_short_last_lines(spark, tmp_path):
     assert sorted(r.doc_id for r in corpus_pipeline.lines(spark, docs, "").collect()) == [1, 3]
 
 
+def test_lines_of_the_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in documents(spark).select("doc_id", "text").collect()]
     assert nulls(map(tuple, dedup_lines(documents(spark).select("doc_id", "text")).collect())) == nulls(line_cuts(rows, 20))
 
 
@@ -171,6 +173,39 @@ def test_a_passage_inside_other_sentences_stays_once(spark, tmp_path):
     assert passage.encode() in b"".join(raw[s.start : s.stop] for s in found[3].spans)
 
 
+def test_passages_of_long_sentences_stay_once(spark, tmp_path):
+    """Texts of one sentence, and passages of 51 words of long clauses between other words."""
+    chance = random.Random(3)
+    word = lambda: "".join(chance.choice("abcdefgh") for _ in range(6))
+    text = lambda n: " ".join(word() for _ in range(n))
+    plain = text(65)
+    rows = [(0, plain), (1, plain), (2, text(65))]
+    passages = [", ".join([text(16), text(17), text(18)]) for _ in range(20)] + [text(51) for _ in range(20)]
+    for i, passage in enumerate(passages):
+        rows += [(10 + 2 * i, f"{text(chance.randint(0, 30))} {passage} {text(chance.randint(0, 30))}"), (11 + 2 * i, f"{text(5)} {passage} {text(12)}")]
+    store(spark, tmp_path, rows).write.parquet(str(tmp_path / "sf" / "documents.parquet"))
+    found = {r.doc_id: r for r in QUERIES["op5_sentence_dedup"](spark, str(tmp_path / "sf")).collect()}
+    assert found[1].text == "" and found[1].words_removed == 65
+    assert all(found[k].text == t and not found[k].spans for k, t in rows if k in (0, 2) or k % 2 == 0)
+    for i, passage in enumerate(passages):
+        left = found[11 + 2 * i].text.split()
+        assert found[11 + 2 * i].words_removed == 68 - len(left) and set(left) >= set(rows[4 + 2 * i][1].split()) - set(passage.split())
+        assert len(set(left) & set(passage.split())) <= 20, i
+
+
+def test_long_sentences_are_cut_by_their_words_only():
+    chance = np.random.default_rng(2)
+    words = chance.integers(0, 1 << 62, 400).astype(np.uint64)
+    none = np.zeros(500, dtype=bool)
+    none[0] = True
+    one, other = (cut_long(none, np.concatenate([words[:0], head, words, chance.integers(0, 1 << 62, 100 - len(head)).astype(np.uint64)]), 10) for head in (words[:7], words[50:93]))
+    assert np.array_equal(one[7 + 9 : 7 + 391], other[43 + 9 : 43 + 391])
+    assert np.diff(np.append(np.flatnonzero(one), 500)).max() <= 10
+    short = np.zeros(10, dtype=bool)
+    short[0] = True
+    assert cut_long(short, words[:10], 10).sum() == 1 and len(cut_long(short[:0], words[:0], 10)) == 0
+
+
 def test_benchmark_items_are_found_with_edits_and_clean_texts_are_not(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 300)  # several blocks
     chance = random.Random(2)

@@ -14,7 +14,7 @@ from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.parity_join import jaccard_components
 from tidemark.llm.quality_gam import score_quality
-from tidemark.llm.sentence_dedup import dedup_sentences
+from tidemark.llm.sentence_dedup import LONGEST, dedup_sentences
 from tidemark.llm.sharding import shard_rows
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.vector_search import nearest
@@ -57,7 +57,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_sentence_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_sentences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_sentences(table(spark, sf_dir, "documents").select("doc_id", "text"), longest=LONGEST)
 
 
 @query("op6_feistel_shards")

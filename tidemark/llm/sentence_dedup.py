@@ -3,7 +3,12 @@
 Texts are cut into sentences: after a full stop, an exclamation or question mark, at commas, colons and semicolons
 (clauses of one sentence count as sentences, so that a passage set into another sentence loses little), at line ends,
 and before a capitalised word that follows one that is not. A run is at least `RUN` consecutive sentences of at least
-`least_words` words together. From each sentence the shortest run onwards is hashed, and to each sentence the shortest
+`least_words` words together.
+
+With `longest`, sentences of more words are cut further: of each window of `longest` words inside one, the word of the
+smallest hash begins a sentence. The places depend on the words of the window only, and no sentence is longer. A run is
+then any number of sentences with enough words, so of a repeated passage of `least_words` + 3 `longest` words, at most the
+`longest` first and last words, which lie in sentences that are not whole, stay in a copy. From each sentence the shortest run onwards is hashed, and to each sentence the shortest
 run up to it; together these cover every repeated run whole, since a repeated run contains the shortest run from each
 of its sentences that has one, and the shortest to its last.
 
@@ -27,6 +32,7 @@ from tidemark.llm.common import fresh_name, stored, with_row_key
 
 RUN = 2
 LEAST_WORDS = 20
+LONGEST = 10
 
 _MARK = byte_set((0x21, 0x21), (0x2C, 0x2C), (0x2E, 0x2E), (0x3A, 0x3B), (0x3F, 0x3F))
 _CAPITAL = byte_set((0x41, 0x5A))
@@ -47,10 +53,26 @@ def sentence_starts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, boun
     return begins
 
 
-def shortest_runs(data: np.ndarray, marks: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+def cut_long(begins: np.ndarray, words: np.ndarray, longest: int) -> np.ndarray:
+    """Sentence starts, with those that sentences of more than `longest` words get by the hashes of their words."""
+    at = np.flatnonzero(begins)
+    counts = np.diff(np.append(at, len(begins)))
+    windows = np.where(counts > longest, counts - longest + 1, 0)
+    first = np.arange(windows.sum()) + np.repeat(at - np.cumsum(windows) + windows, windows)
+    out = begins.copy()
+    for low in range(0, len(first), 1 << 18):
+        part = first[low : low + (1 << 18)]
+        out[part + words[part[:, None] + np.arange(longest)].argmin(axis=1)] = True
+    return out
+
+
+def shortest_runs(data: np.ndarray, marks: np.ndarray, least: int, longest: int | None = None) -> tuple[np.ndarray, ...]:
     """Text, first word and end word (in the text) of the runs, and two hashes of each."""
     starts, ends, bounds = word_spans(data, marks, NOT_SPACE)
-    at = np.flatnonzero(sentence_starts(data, starts, ends, bounds))
+    words = span_hashes(data, starts, ends)
+    begins = sentence_starts(data, starts, ends, bounds)
+    run = RUN if longest is None else 1
+    at = np.flatnonzero(begins if longest is None else cut_long(begins, words, longest))
     owner = np.repeat(np.arange(len(marks) - 1), counts_of(bounds))
     text = owner[at]
     stop_of_text = bounds[1:][text]
@@ -58,31 +80,30 @@ def shortest_runs(data: np.ndarray, marks: np.ndarray, least: int) -> tuple[np.n
     n = len(at)
     i = np.arange(n)
     # onwards: the first sentence end that has enough sentences and words
-    end = np.maximum(np.searchsorted(edge, at + least), np.minimum(i + RUN, n))
-    onward = (end <= n) & (edge[np.minimum(end, n)] <= stop_of_text) & (i + RUN <= n)
+    end = np.maximum(np.searchsorted(edge, at + least), np.minimum(i + run, n))
+    onward = (end <= n) & (edge[np.minimum(end, n)] <= stop_of_text) & (i + run <= n)
     first, last = at[onward], edge[end[onward]]
     # up to: the last sentence start before the end of sentence i
     close = edge[1:]
-    begin = np.minimum(np.searchsorted(at, close - least, side="right") - 1, i + 1 - RUN)
+    begin = np.minimum(np.searchsorted(at, close - least, side="right") - 1, i + 1 - run)
     upward = (begin >= 0) & (at[np.maximum(begin, 0)] >= bounds[:-1][text])
     b = np.maximum(begin, 0)
     upward &= ~(onward[b] & (edge[np.minimum(end[b], n)] == close))
     first, last = np.concatenate([first, at[b[upward]]]), np.concatenate([last, close[upward]])
     own = owner[first] if len(first) else np.zeros(0, dtype=np.int64)
-    words = span_hashes(data, starts, ends)
     names = [sequence_hashes(words, first, last, v).view(np.int64) for v in (0, 1)]
     order = np.argsort(own, kind="stable")
     return own[order], (first - bounds[own])[order], (last - bounds[own])[order], names[0][order], names[1][order]
 
 
-def later_runs(rows: DataFrame, least: int) -> DataFrame:
+def later_runs(rows: DataFrame, least: int, longest: int | None = None) -> DataFrame:
     """`rid`, `first` and `last` word of the runs that have an earlier copy, of rows of `rid`, `key`, `text`."""
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in short_batches(batches, 0):
             data, marks = flat_texts(batch.column(0))
             for first, last in slices(marks):
-                found = shortest_runs(data[marks[first] : marks[last]], marks[first : last + 1] - marks[first], least)
+                found = shortest_runs(data[marks[first] : marks[last]], marks[first : last + 1] - marks[first], least, longest)
                 yield pa.RecordBatch.from_arrays([pa.array(found[3])], names=["a"])
 
     twice = rows.select("text").mapInArrow(names, "a long").groupBy("a").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
@@ -92,7 +113,7 @@ def later_runs(rows: DataFrame, least: int) -> DataFrame:
         for batch in short_batches(batches, 2):
             data, marks = flat_texts(batch.column(2))
             for low, high in slices(marks):
-                found = shortest_runs(data[marks[low] : marks[high]], marks[low : high + 1] - marks[low], least)
+                found = shortest_runs(data[marks[low] : marks[high]], marks[low : high + 1] - marks[low], least, longest)
                 own, first, last, a, b = (x[hits(shared.value, found[3])] for x in found)
                 part, who = batch.slice(low, high - low), pa.array(own)
                 yield pa.RecordBatch.from_arrays(
@@ -119,19 +140,19 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def dedup_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS, longest: int | None = None) -> DataFrame:
     """`docs` with repeated passages cut from `text`, `words_removed`, and the cut byte spans in `spans`.
 
     A passage is a run of sentences as above; words are compared by their bytes, whatever white space is between. It
     stays where the key is smallest (null before all), then in the first row, then at the first place, and is cut with
     the white space after it everywhere else, also within one text. All rows and columns stay; a copy of a whole text
-    becomes empty. Null and empty texts stay as they are. Rows of equal key are ordered by file split and place, so
+    becomes empty if it has enough words and, without `longest`, sentences. Null and empty texts stay as they are. Rows of equal key are ordered by file split and place, so
     `docs` should be a stored table. An empty table gives an empty result.
     """
     rid, runs = fresh_name(docs, "rid"), fresh_name(docs, "runs")
     rows = with_row_key(docs, rid)
     narrow = rows.select(F.col(rid).alias("rid"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    found = later_runs(narrow, least_words).groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    found = later_runs(narrow, least_words, longest).groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     found = stored(found, "sentence-cuts")
     # the cuts grow with the texts, so the join is the same at every size
     joined = rows.join(found.select(F.col("rid").alias(rid), F.col("runs").alias(runs)).hint("merge"), rid, "left").drop(rid)
