@@ -44,6 +44,11 @@ SETTINGS = {
 
 CONFIG = from_mapping(SETTINGS)
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
 SCHEMA = (
     "customerID string, tenure int, MonthlyCharges double, TotalCharges double, SeniorCitizen int, "
     + ", ".join(f"{c} string" for c in CATEGORICAL if c != "SeniorCitizen")

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import TABLES
+from samples import TABLES
 from tidemark.plans.registered import load_all
 
 QUERIES, SQL = load_all()
