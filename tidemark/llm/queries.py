@@ -13,6 +13,7 @@ from tidemark.llm.decontaminate import contaminated_pairs
 from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.parity_join import jaccard_components
+from tidemark.llm.piece_codec import encode_pieces
 from tidemark.llm.quality_gam import score_quality
 from tidemark.llm.sentence_dedup import LONGEST, dedup_sentences
 from tidemark.llm.sharding import shard_rows
@@ -83,3 +84,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_parity_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op12_piece_codec")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
