@@ -17,6 +17,7 @@ from tidemark.llm.piece_codec import encode_pieces
 from tidemark.llm.quality_gam import score_quality
 from tidemark.llm.sentence_dedup import LONGEST, dedup_sentences
 from tidemark.llm.sharding import shard_rows
+from tidemark.llm.spelling import group_spellings
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.vector_search import nearest
 
@@ -86,6 +87,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query("op11_spelling_groups")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(table(spark, sf_dir, "documents"))
+
+
 @query("op12_piece_codec")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
