@@ -141,6 +141,14 @@ def run_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
+def cut_out(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The stretches of a byte buffer as texts; they may overlap."""
+    sizes = ends - starts
+    upto = np.concatenate(([0], np.cumsum(sizes)))
+    flat = data[np.repeat(starts - upto[:-1], sizes) + np.arange(upto[-1])]
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat)))
+
+
 def counts_of(bounds: np.ndarray) -> np.ndarray:
     return np.diff(bounds)
 

@@ -8,6 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe_codec import encode_documents
+from tidemark.llm import collocations as phrases
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contaminated_pairs
 from tidemark.llm.license_scan import scan_licenses
@@ -95,3 +96,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_piece_codec")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op13_collocations", phrases.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))

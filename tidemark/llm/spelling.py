@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow_text import byte_set, flat_texts, lower_ascii, short_batches, slices
+from tidemark.llm.arrow_text import byte_set, cut_out, flat_texts, lower_ascii, short_batches, slices
 from tidemark.llm.common import stored
 
 #: Words of a list that is searched as it is.
@@ -99,8 +99,7 @@ def count_batch(keys: list[str], column: pa.Array, every: int, least: int) -> pa
         first = np.array([zlib.crc32(f"{k}:".encode()) for k in keys[a:b]], dtype=np.uint32)
         sums = run_checksums(part, starts, ends, first[np.searchsorted(own, starts, side="right") - 1])
         hit = sums % every == 0
-        bounds = np.stack((starts[~hit], ends[~hit]), axis=1)
-        found.append(_cut_out(part, bounds))
+        found.append(cut_out(part, starts[~hit], ends[~hit]))
         changed = []
         for s, e, h in zip(starts[hit].tolist(), ends[hit].tolist(), sums[hit].tolist()):
             run = part[s:e].tobytes().decode("utf-8")
@@ -111,14 +110,6 @@ def count_batch(keys: list[str], column: pa.Array, every: int, least: int) -> pa
     return pc.value_counts(pa.chunked_array(found, pa.large_string()))
 
 
-def _cut_out(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """The stretches of a byte buffer as texts, without what lies between them."""
-    sizes = bounds[:, 1] - bounds[:, 0]
-    upto = np.concatenate(([0], np.cumsum(sizes)))
-    flat = data[np.repeat(bounds[:, 0] - upto[:-1], sizes) + np.arange(upto[-1])]
-    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat)))
-
-
 def run_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", every: int = 31, least: int = 7) -> DataFrame:
     """`word` and `n`, the times it occurs: runs of letters of all texts, A-Z in lower case, of `least` code points or more.
 
