@@ -32,6 +32,8 @@ from tidemark.llm.common import stored
 #: Words of the longest phrase, and of the overlap of chunks.
 LONGEST = 4
 OVERLAP = LONGEST - 1
+#: Parts of a language's phrases that are ranked on their own first.
+DEALS = 64
 #: A window of words begins a chunk once in so many.
 PERIOD = 12
 
@@ -211,8 +213,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     total = chunks.groupBy("lang").agg(F.sum(F.col("n") * F.col("own")).alias("n"))
     apart = F.col("longer").isNull() | (F.col("longer").cast("decimal(38,0)") * 100 < F.col("a").cast("decimal(38,0)") * held_percent)
     kept = _lowest_cuts(phrases).join(_inside_longer(phrases), ["lang", "phrase"], "left").filter(apart)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the first of each language come from the first of its deals, so no task reads more than those
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    dealt = kept.withColumn("deal", F.pmod(F.hash("phrase"), F.lit(DEALS)))
+    firsts = dealt.withColumn("place", F.row_number().over(Window.partitionBy("lang", "deal").orderBy(*order))).filter(F.col("place") <= top)
+    ranked = firsts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
