@@ -40,6 +40,11 @@ def confusion_metrics(
             F.count_if(~yes & ~said).alias("tn"),
         )
     )
+    return with_ratios(counts, by, suffix)
+
+
+def with_ratios(counts: DataFrame, by: tuple[str, ...] = (), suffix: str = "") -> DataFrame:
+    """Counts `tp`, `fp`, `fn`, `tn` with the ratios made of them; a division by zero gives zero."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     ratios = {
         "accuracy": _guarded(tp + tn, tp + fp + fn + tn),

@@ -112,10 +112,10 @@ def binned(
     return _tall(df, bins, keep, "bin")
 
 
-def bin_shares(tall: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Share of every bin within its column (and window)."""
+def bin_shares(tall: DataFrame, by: Sequence[str] = (), copies: str | None = None) -> DataFrame:
+    """Share of every bin within its column (and window); `copies` says how many records a row stands for."""
     ids = [*by, "column"]
-    counts = tall.groupBy(*ids, "bin").agg(F.count("*").alias("n"))
+    counts = tall.groupBy(*ids, "bin").agg((F.sum(copies) if copies else F.count("*")).alias("n"))
     totals = counts.groupBy(*ids).agg(F.sum("n").alias("total")).withColumnsRenamed({c: f"_{c}" for c in ids})
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ids]
     return counts.join(totals, same).select(*ids, "bin", (F.col("n") / F.col("total")).alias("share"))
@@ -157,8 +157,11 @@ def drift(
     """Population stability index of every column in every window of `current` against `baseline`."""
     edges = fit_bins(baseline, numeric)
     base = bin_shares(binned(baseline, edges, categorical))
-    cur = bin_shares(binned(with_window(current, ts, granularity), edges, categorical, [WINDOW]), [WINDOW])
+    return drift_of_shares(base, bin_shares(binned(with_window(current, ts, granularity), edges, categorical, [WINDOW]), [WINDOW]))
 
+
+def drift_of_shares(base: DataFrame, cur: DataFrame) -> DataFrame:
+    """Population stability index per window and column from the shares of the baseline and of each window."""
     # A baseline bin that a window lacks counts with the floor share. Their sum over all baseline bins is a
     # constant per column, and the bins that do occur take their part out again: no window has to be paired
     # with every baseline bin.

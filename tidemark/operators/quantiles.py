@@ -15,17 +15,18 @@ from pyspark.sql import functions as F
 from tidemark.session import cut_lineage
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], copies: str | None = None) -> DataFrame:
     """Linear-interpolated quantiles of the non-null values per group, as array `quantiles`.
 
-    `by` names at least one group column; a null key is a group like others. A group without values has no row.
+    `by` names at least one group column; a null key is a group like others. A group without values has no row. `copies`
+    names a column that says how often a row's value stands in the group; without it each row counts once.
     """
     by = list(by)
     values = (
-        df.select(*by, F.col(value).cast("double").alias("v"))
+        df.select(*by, F.col(value).cast("double").alias("v"), (F.col(copies) if copies else F.lit(1)).cast("long").alias("c"))
         .where("v is not null")
         .groupBy(*by, "v")
-        .agg(F.count("*").alias("copies"))
+        .agg(F.sum("c").alias("copies"))
     )
     # ranges are numbered as they lie, and stay so once they are stored
     placed = cut_lineage(values.repartitionByRange(*by, "v").withColumn("_range", F.spark_partition_id()))

@@ -14,6 +14,7 @@ from tidemark.functions.numeric import is_positive
 from tidemark.operators import monitor
 from tidemark.operators.metrics import confusion_metrics
 from tidemark.session import cut_lineage
+from tidemark.plans.monitor_state import KEEP_SECONDS, is_partitioned, refresh_incremental, window_bounds
 from tidemark.sources.feature_table import replace_table, retire
 from tidemark.sources.scored_log import DATE_COLUMN
 from tidemark.sources.tables import find_tables
@@ -64,33 +65,40 @@ def _parts(tables: MonitorTables, target: str) -> dict[str, DataFrame]:
     return parts
 
 
-def write_monitors(tables: MonitorTables, log_name: str, target: str) -> None:
-    """Put new versions of the metric tables that belong to a log in place; readers see the former until one is whole."""
+def write_monitors(tables: MonitorTables, log_name: str, target: str, grace: float = KEEP_SECONDS) -> None:
+    """Put new versions of the metric tables that belong to a log in place; readers see the former until one is whole.
+
+    A frame opened before goes on reading the former version, which is dropped by the first refresh after `grace` seconds.
+    """
     base = log_name.replace("`", "")
     for suffix, df in _parts(tables, target).items():
         name = f"{base}_{suffix}"
         replace_table(df, name)
-        retire(df.sparkSession, name)
+        retire(df.sparkSession, name, grace=grace)
 
 
-def refresh_days(log: DataFrame, baseline: DataFrame, config: Config, log_name: str, first: date, last: date) -> None:
-    """Refresh the windows of some days of a log partitioned by day; the metrics of other days stay as they are.
+def refresh_days(
+    log: DataFrame, baseline: DataFrame, config: Config, log_name: str, first: date, last: date, ts: str = "inference_ts", grace: float = KEEP_SECONDS
+) -> None:
+    """Refresh the windows that hold some day from `first` to `last`; the metrics of other windows stay as they are.
 
-    Only the partitions of these days are read. `first` and `last` belong to the range.
+    Windows are refreshed whole: where they are longer than a day, or begin within one, the days beside are read too.
+    Only the partitions of these days are read.
     """
     spark = log.sparkSession
-    days = log.where(F.col(DATE_COLUMN).between(F.lit(first), F.lit(last)))
-    tables = monitor_log(days, baseline, config)
-    fresh = _parts(tables, config.target)
+    start, end = window_bounds(spark, first, last, config.granularity)
+    day = F.col(DATE_COLUMN).between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
+    rows = log.where(day & (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
+    tables = monitor_log(rows, baseline, config, ts)
     base = log_name.replace("`", "")
-    for suffix, df in fresh.items():
+    for suffix, df in _parts(tables, config.target).items():
         name = f"{base}_{suffix}"
         if spark.catalog.tableExists(name):
-            day = F.to_date(monitor.WINDOW)
-            others = spark.table(name).where(day.isNull() | ~day.between(F.lit(first), F.lit(last)))
+            window = F.col(monitor.WINDOW)
+            others = spark.table(name).where(window.isNull() | (window < F.lit(start)) | (window >= F.lit(end)))
             df = others.unionByName(df)
         replace_table(df, name)
-        retire(spark, name)
+        retire(spark, name, grace=grace)
 
 
 def refresh_all(spark: SparkSession, log_name: str, refresh: Callable[[str], None]) -> DataFrame:
@@ -107,12 +115,19 @@ def refresh_all(spark: SparkSession, log_name: str, refresh: Callable[[str], Non
 
 
 def refresh_configured(spark: SparkSession, config: Config, log_name: str) -> DataFrame:
-    """Refresh every log of that name against the baseline table that the settings name."""
+    """Refresh every log of that name against the baseline table that the settings name.
+
+    Of a log partitioned by day only days with new files are read; another log is read whole.
+    """
     if not config.baseline_table:
         raise ValueError("The settings name no baseline table")
 
     def refresh(name: str) -> None:
-        write_monitors(monitor_log(spark.table(name), spark.table(config.baseline_table), config), name, config.target)
+        baseline = spark.table(config.baseline_table)
+        if is_partitioned(spark, name):
+            refresh_incremental(spark, name, baseline, config)
+        else:
+            write_monitors(monitor_log(spark.table(name), baseline, config), name, config.target)
 
     return refresh_all(spark, log_name, refresh)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import monitor
 from tidemark.operators.metrics import METRICS, confusion_metrics
+from tidemark.plans.monitor_state import refresh_incremental
 from tidemark.plans.monitors import monitor_log, refresh_all, refresh_summary, write_monitors
 from tidemark.plans.queries_models import confusion_sql
 from tidemark.plans.registered import query, scratch_database
@@ -243,3 +244,51 @@ def monitor_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _days(spark.table(f"{good}.{log_name}_alerts"), "value").withColumns(
         {c: F.lit(results[c]).cast("bigint") for c in ("n_ok", "n_tables")}
     )
+
+
+_SPANS = {"1 day": "day", "7 days": "strftime(DATE '1970-01-01' + CAST(7 * (date_diff('day', DATE '1970-01-01', inference_ts::DATE) // 7) AS INTEGER), '%Y-%m-%d')"}
+
+
+def _windows_sql(granularity: str, start: str) -> str:
+    """Profile, drift and quality rows of all windows of the log, from the log as a whole."""
+    numbers = [
+        f"SELECT day AS window_start, 'amount' AS \"column\", '{m}' AS metric, CAST({sql} AS DOUBLE) AS value FROM spans GROUP BY day"
+        for m, sql in _NUMBER_METRICS.items()
+    ]
+    texts = [
+        f"SELECT day, '{c}', '{m}', CAST({sql.format(c=c)} AS DOUBLE) FROM spans GROUP BY day"
+        for c in ("event_type", "prediction")
+        for m, sql in _TEXT_METRICS.items()
+    ]
+    drift = [sql.replace("FROM cur", "FROM spans").replace("FROM e", "FROM both_sides") for sql in (_PSI_TEXT, _PSI_NUMBER)]
+    ratios = [
+        f"SELECT day, 'actual', '{m}', \"{m}\" FROM ({confusion_sql(f'({_JUDGED} spans)', 'prob', 'day')})" for m in METRICS
+    ]
+    parts = " UNION ALL ".join([*numbers, *texts, *drift, *ratios])
+    return f"""SELECT '{granularity}' AS granularity, window_start, "column", metric, round(value, 6) AS value FROM (
+      WITH spans AS (SELECT * EXCLUDE (day), {start} AS day FROM cur),
+        both_sides AS (SELECT * FROM base UNION ALL SELECT * FROM spans)
+      {parts})"""
+
+
+@query("q_refresh_incremental", f"{_E} " + " UNION ALL ".join(_windows_sql(g, start) for g, start in _SPANS.items()))
+def refresh_by_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Metric tables of a log that came in three appends, each followed by a refresh, in windows of a day and of a week.
+
+    The second append begins where the first ends, and the third holds late rows of all days.
+    """
+    baseline, current = baseline_and_current(event_log(spark, sf))
+    late, second = F.col("event_id") % 5 == 0, F.col("inference_ts") >= F.to_timestamp_ntz(F.lit("2024-01-25"))
+    found = []
+    names = {granularity: f"{scratch_database(spark)}.log" for granularity in _SPANS}
+    for part in (current.where(~late & ~second), current.where(~late & second), current.where(late)):
+        for granularity, name in names.items():
+            scored_log.append(part, name, many_days=True)
+            refresh_incremental(spark, name, baseline, EVENTS.with_(granularity=granularity))
+    for granularity, name in names.items():
+        for suffix in ("profile_metrics", "drift_metrics", "quality_metrics"):
+            found.append(_days(spark.table(f"{name}_{suffix}"), "value").select(F.lit(granularity).alias("granularity"), "*"))
+    whole = found[0]
+    for part in found[1:]:
+        whole = whole.unionByName(part)
+    return whole

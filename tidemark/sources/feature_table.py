@@ -8,11 +8,16 @@ upsert nor a lookup shuffles the stored side.
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Property of a version that tells when another one took its place, in seconds since 1970.
+SUPERSEDED = "tidemark.superseded"
+
+
 class KeyViolation(ValueError):
     """The key of a feature table is null or repeated."""
 
@@ -137,13 +142,26 @@ def write(df: DataFrame, name: str, key: str, buckets: int | None = None) -> int
     return (merge if exists(df.sparkSession, name) else create)(df, name, key, buckets)
 
 
-def retire(spark: SparkSession, name: str, keep: int = 1) -> list[int]:
-    """Drop all but the newest `keep` versions; the newest is the one that readers see. Returns what was dropped."""
+def retire(spark: SparkSession, name: str, keep: int = 1, grace: float = 0.0) -> list[int]:
+    """Drop all but the newest `keep` versions; the newest is the one that readers see. Returns what was dropped.
+
+    A frame that was opened before a version was superseded still reads that version. With `grace`, a version goes only
+    when it has been superseded for so many seconds, which has to be longer than readers work; the time counts from the
+    first call that finds it superseded.
+    """
     place, table = _split_name(spark, name)
-    old = _versions(spark, name)[: -max(1, keep)]
-    for version in old:
-        spark.sql(f"DROP TABLE {place}.`{table}__v{version}`")
-    return old
+    now, dropped = time.time(), []
+    for version in _versions(spark, name)[: -max(1, keep)]:
+        target = f"{place}.`{table}__v{version}`"
+        if grace:
+            held = spark.sql(f"SHOW TBLPROPERTIES {target}").where(F.col("key") == SUPERSEDED).first()
+            if held is None:
+                spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{SUPERSEDED}' = '{now}')")
+            if held is None or now - float(held.value) < grace:
+                continue
+        spark.sql(f"DROP TABLE {target}")
+        dropped.append(version)
+    return dropped
 
 
 def lookup(rows: DataFrame, features: DataFrame, key: str, exclude: tuple[str, ...] = ()) -> DataFrame:
