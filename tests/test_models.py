@@ -102,6 +102,26 @@ def test_confusion_counts_leave_unlabelled_rows_out(spark):
     assert (none.precision, none.recall, none.f1, none.accuracy) == (0.0, 0.0, 0.0, 1.0)
 
 
+@pytest.mark.parametrize("ranges", [1, 4, 50])
+def test_areas_of_groups_equal_pairs(spark, ranges):
+    """Ties within and across ranges, groups of one class, null keys, labels and scores; against all pairs."""
+    rows = [(None if i % 13 == 0 else "abc"[i % 3], None if i % 17 == 0 else (i * 7 % 5 == 0) * 1, None if i % 19 == 0 else (i * 31 % 40) / 8 - 1.0) for i in range(400)]
+    rows += [("one", 1, 0.5), ("one", 1, 0.25), ("zero", 1, 0.0), ("zero", 0, -0.0)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        frame = spark.createDataFrame(rows, "g string, label int, p double")
+        found = {r.g: (r.positives, r.negatives, r.roc_auc) for r in metrics.auc_by(frame, "label", "p", ("g",)).collect()}
+        double = frame.withColumn("n", F.lit(3))
+        assert {r.g: r.roc_auc for r in metrics.auc_by(double, "label", "p", ("g",), "n").collect()} == {g: a for g, (_, _, a) in found.items()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for group in {g for g, _, _ in rows}:
+        pos, neg = ([p for g, y, p in rows if g == group and y == wanted and p is not None] for wanted in (1, 0))
+        area = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg)) if pos and neg else None
+        assert found[group][:2] == (len(pos), len(neg)) and (found[group][2] is None if area is None else abs(found[group][2] - area) < 1e-12)
+
+
 def test_roc_auc(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.9), (1, 0.4), (0, 0.4), (0, 0.1)], "label int, prob double")
     # pairs won: 2 + 1 ties/2 ... counted by hand: (0.9: .5+1+1, 0.4: 0+.5+1) / 6

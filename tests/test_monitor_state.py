@@ -5,13 +5,15 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from samples import CONFIG, customers
+from samples import CONFIG as EVERYTHING
+from samples import customers
 from tidemark.operators import monitor, window_counts
 from tidemark.plans import monitor_state
 from tidemark.plans.monitor_state import kept_baseline, refresh_incremental, window_bounds
 from tidemark.plans.monitors import monitor_log, refresh_days, write_monitors
 from tidemark.sources import feature_table, scored_log
 
+CONFIG = EVERYTHING.with_(numeric=("tenure", "TotalCharges"), categorical=("Contract",))
 SUFFIXES = ("profile_metrics", "drift_metrics", "alerts", "quality_metrics")
 
 
@@ -21,7 +23,8 @@ def log(spark, n=300, days=17, seed=3, start="2026-01-05"):
     day = number * 7 % days
     ts = F.when(number % 29 > 0, F.lit(start).cast("timestamp") + F.make_dt_interval(days=day, hours=number % 24))
     said = F.when(number % 4 > 0, F.col("Churn")).otherwise(F.lit("Yes"))
-    return customers(spark, n, seed).withColumns({"prediction": said, "inference_ts": ts}).where((day != 3) | number.isNull())
+    sure = F.when(number % 11 > 0, (number % 9) / 10.0 + F.when(F.col("Churn") == "Yes", 0.1).otherwise(0.0))
+    return customers(spark, n, seed).withColumns({"prediction": said, "prediction_prob": sure, "inference_ts": ts}).where((day != 3) | number.isNull())
 
 
 def rows(spark, name, suffix):
@@ -41,7 +44,7 @@ def stored_base(spark, database):
     return spark.table(f"{database}.base")
 
 
-@pytest.mark.parametrize("granularity", ["1 day", "7 days", "36 hours"])
+@pytest.mark.parametrize("granularity", ["36 hours"])
 def test_appends_add_up_to_the_whole(spark, database, granularity):
     settings, name, base = CONFIG.with_(granularity=granularity), f"{database}.log", stored_base(spark, database)
     every = log(spark)
@@ -87,7 +90,6 @@ def test_new_columns_lost_days_and_another_baseline(spark, database):
     other = base.where("tenure > 20")
     assert refresh_incremental(spark, name, other, CONFIG) == []
     agree(spark, name, CONFIG, other)
-    assert len(refresh_incremental(spark, name, other, CONFIG.with_(granularity="7 days"))) > 10
 
 
 def test_a_broken_refresh_is_made_good(spark, database, monkeypatch):
@@ -146,10 +148,8 @@ def test_open_frames_outlive_refreshes(spark, database):
     held = spark.table(f"{name}_profile_metrics")
     n = held.count()
     scored_log.append(log(spark).where("inference_ts >= '2026-01-15'"), name)
-    for _ in range(2):
-        scored_log.append(log(spark, 40), name)
-        refresh_incremental(spark, name, base, CONFIG)
+    refresh_incremental(spark, name, base, CONFIG)
     assert held.count() == n < spark.table(f"{name}_profile_metrics").count()
-    assert len(feature_table._versions(spark, f"{name}_profile_metrics")) == 3
-    assert feature_table.retire(spark, f"{name}_profile_metrics", grace=1e-6) == [1, 2]
+    assert len(feature_table._versions(spark, f"{name}_profile_metrics")) == 2
+    assert feature_table.retire(spark, f"{name}_profile_metrics", grace=1e-6) == [1]
     assert len(feature_table._versions(spark, f"{name}_profile_metrics")) == 1

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.metrics import confusion_metrics, roc_auc
+from tidemark.operators.metrics import auc_by, confusion_metrics
 
 GATE_METRICS = ("f1", "roc_auc", "recall")
 
@@ -36,15 +36,16 @@ def gate_sentence(challenger_f1: float, champion_f1: float, threshold: float) ->
 
 
 def _side_metrics(scored: DataFrame, label: str, sides: dict[str, str]) -> dict[str, dict[str, float | None]]:
-    """Metrics of each side's probability column, counted for all sides in one pass."""
+    """Metrics of each side's probability column: one pass for the counts of all sides, one for their areas."""
     pairs = [F.struct(F.lit(side).alias("side"), F.col(p).alias("prob")) for side, p in sides.items()]
     tall = scored.select(label, F.inline(F.array(*pairs)))
     counted = confusion_metrics(tall, F.col(label), (F.col("prob") > 0.5).cast("int"), ("side",)).collect()
     rows = {r.side: r for r in counted}
+    areas = {r.side: r.roc_auc for r in auc_by(tall, label, "prob", ("side",)).collect()}
     found = {}
-    for side, p in sides.items():
+    for side in sides:
         row = rows.get(side)
-        found[side] = {"f1": row.f1 if row else 0.0, "roc_auc": roc_auc(scored, label, p), "recall": row.recall if row else 0.0}
+        found[side] = {"f1": row.f1 if row else 0.0, "roc_auc": areas.get(side), "recall": row.recall if row else 0.0}
     return found
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.quantiles import in_ranges
+
 METRICS = ("accuracy", "precision", "recall", "f1")
 
 
@@ -60,19 +61,50 @@ def with_ratios(counts: DataFrame, by: tuple[str, ...] = (), suffix: str = "") -
 
 
 def roc_auc(df: DataFrame, label: str, probability: str) -> float | None:
-    """Exact area under the ROC curve; None when only one class occurs.
+    """Exact area under the ROC curve; None when only one class occurs."""
+    row = auc_by(df.select(label, probability, F.lit(0).alias("_all")), label, probability, ("_all",)).first()
+    return row.roc_auc if row else None
+
+
+def auc_by(df: DataFrame, label: str, probability: str, by: tuple[str, ...], copies: str | None = None) -> DataFrame:
+    """Exact area under the ROC curve of every group of `by` (at least one column) in one pass.
 
-    The evaluator sorts by range partitions over all distinct scores, so no task sees the whole table.
+    Columns: the group, `positives`, `negatives`, `roc_auc` (null when only one class occurs). Rows without a label or
+    probability are left out; a null key is a group like others. `copies` names a column that says how often a row stands.
+
+    Equal scores are merged first. Scores are then dealt to sorted ranges; the negatives of a group before each range and
+    those before each score within it give the pairs that are in order, ties counted half, in whole numbers. So a group
+    of any size is spread over the ranges, and no task holds more than one.
     """
-    scored = df.where(F.col(label).isNotNull()).select(
-        F.col(label).cast("double").alias("l"), F.col(probability).cast("double").alias("p")
+    by = list(by)
+    n = (F.col(copies) if copies else F.lit(1)).cast("long")
+    known = df.where(F.col(label).isNotNull() & F.col(probability).isNotNull())
+    scores = (
+        # -0.0 and 0.0 are one score
+        known.select(*by, (F.col(probability).cast("double") + 0.0).alias("_p"), (F.col(label) == 1).alias("_yes"), n.alias("_n"))
+        .groupBy(*by, "_p")
+        .agg(*[F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0)).alias(name) for c, name in ((F.col("_yes"), "_pos"), (~F.col("_yes"), "_neg"))])
+    )
+    placed = in_ranges(scores, by, "_p")
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # at most a row per group and range
+    ranges = (
+        placed.groupBy(*by, "_range")
+        .agg(F.sum("_neg").alias("_in_range"))
+        .select(*[F.col(c).alias(f"_{c}") for c in [*by, "_range"]], F.coalesce(F.sum("_in_range").over(before), F.lit(0)).alias("_before"))
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*by, "_range"]]
+    within = Window.partitionBy(*by, "_range").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_before") + F.coalesce(F.sum("_neg").over(within), F.lit(0))
+    # twice the pairs in order: products may pass 64 bits
+    whole = "decimal(38,0)"
+    pairs = (F.col("_pos").cast("decimal(18,0)") * (2 * below + F.col("_neg")).cast("decimal(19,0)")).cast(whole)
+    sums = placed.join(ranges, same).withColumn("_pairs", pairs).groupBy(*by).agg(
+        F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"), F.sum("_pairs").alias("_pairs")
     )
-    classes = scored.agg(F.min("l"), F.max("l")).first()
-    if classes[0] is None or classes[0] == classes[1]:
-        return None
-    return BinaryClassificationEvaluator(
-        rawPredictionCol="p", labelCol="l", metricName="areaUnderROC", numBins=0
-    ).evaluate(scored)
+    area = F.col("_pairs").cast("double") / (2.0 * F.col("positives") * F.col("negatives"))
+    both = (F.col("positives") > 0) & (F.col("negatives") > 0)
+    return sums.select(*by, "positives", "negatives", F.when(both, area).alias("roc_auc"))
 
 
 def class_report(df: DataFrame, label: Column, predicted: Column, names: tuple[str, str] = ("0", "1")) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import nan_to_null
-from tidemark.operators.metrics import METRICS, confusion_metrics
+from tidemark.operators.metrics import METRICS, auc_by, confusion_metrics
 from tidemark.operators.quantiles import column_quantiles, exact_quantiles
 
 WINDOW = "window_start"
@@ -193,6 +193,16 @@ def quality_by_window(
     return confusion_metrics(with_window(df, ts, granularity), label, predicted, (WINDOW,))
 
 
+def auc_by_window(df: DataFrame, ts: str, label: Column, probability: str, target: str, granularity: str = "1 day") -> DataFrame:
+    """Exact area under the ROC curve per window as a long table; null where a window has one class only."""
+    judged = with_window(df, ts, granularity).select(WINDOW, label.alias("_label"), F.col(probability).alias("_prob"))
+    return auc_metrics(auc_by(judged, "_label", "_prob", (WINDOW,)), target)
+
+
+def auc_metrics(by_window: DataFrame, target: str) -> DataFrame:
+    return _long(by_window.withColumn("column", F.lit(target)), ("roc_auc",))
+
+
 def quality_metrics(by_window: DataFrame, target: str) -> DataFrame:
     """The same as a long table."""
     return _long(by_window.withColumn("column", F.lit(target)), METRICS)

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from tidemark.session import cut_lineage
 
 
+def in_ranges(values: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Rows dealt to ranges in order of group and value; `_range` numbers the ranges as they lie, and stays so as stored."""
+    return cut_lineage(values.repartitionByRange(*by, value).withColumn("_range", F.spark_partition_id()))
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], copies: str | None = None) -> DataFrame:
     """Linear-interpolated quantiles of the non-null values per group, as array `quantiles`.
 
@@ -28,8 +33,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
         .groupBy(*by, "v")
         .agg(F.sum("c").alias("copies"))
     )
-    # ranges are numbered as they lie, and stay so once they are stored
-    placed = cut_lineage(values.repartitionByRange(*by, "v").withColumn("_range", F.spark_partition_id()))
+    placed = in_ranges(values, by, "v")
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # at most a row per group and range
     sums = (

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Config
 from tidemark.functions.numeric import is_positive
 from tidemark.operators import monitor, window_counts
-from tidemark.operators.metrics import confusion_metrics, with_ratios
+from tidemark.operators.metrics import auc_by, confusion_metrics, with_ratios
 from tidemark.session import cut_lineage
 from tidemark.sources.feature_table import replace_table, retire
 from tidemark.sources.scored_log import DATE_COLUMN
@@ -39,6 +39,10 @@ NO_DAY = "none"
 #: Stands in a count table for the outcome of a prediction; no column has an empty name.
 OUTCOME = ""
 _OUTCOMES = ("tp", "fp", "fn", "tn")
+#: Column of the log with the probability of the positive class, and names under which a count table has its values for
+#: rows of either label.
+PROBABILITY = "prediction_prob"
+_SCORES = {" positive": 1, " negative": 0}
 _LEDGER = "day string, files string, settings string, baseline string"
 
 
@@ -150,8 +154,15 @@ def _counts(rows: DataFrame, config: Config, ts: str) -> DataFrame:
     if outputs and config.target in rows.columns:
         rows = rows.withColumn(OUTCOME, _outcome(config))
         outputs.append(OUTCOME)
+    scores = []
+    if len(outputs) > 1 and PROBABILITY in rows.columns:
+        label, prob = F.col(config.target), F.col(PROBABILITY).cast("double")
+        for name, wanted in _SCORES.items():
+            yes = is_positive(label, config.positive) if wanted else ~is_positive(label, config.positive)
+            rows = rows.withColumn(name, F.when(label.isNotNull() & yes, prob))
+        scores = list(_SCORES)
     dated = rows.withColumn("_day", _day_text())
-    counted = window_counts.value_counts(dated, ts, numeric, [*categorical, *outputs], config.granularity, ["_day"])
+    counted = window_counts.value_counts(dated, ts, [*numeric, *scores], [*categorical, *outputs], config.granularity, ["_day"])
     return counted.select(monitor.WINDOW, "column", "number", "text", "n", F.col("_day").alias("day"))
 
 
@@ -191,7 +202,8 @@ def _write_counts(spark: SparkSession, counts: DataFrame | None, name: str, gone
 
 def _metrics(counts: DataFrame, baseline: Baseline, config: Config) -> dict[str, DataFrame]:
     """The metric tables of the windows in `counts` (added, and stored)."""
-    plain, outcomes = counts.where(F.col("column") != OUTCOME), counts.where(F.col("column") == OUTCOME)
+    scored = F.col("column").isin(*_SCORES)
+    plain, outcomes = counts.where((F.col("column") != OUTCOME) & ~scored), counts.where(F.col("column") == OUTCOME)
     numeric = list(baseline.edges)
     categorical = [c for c in config.categorical if c not in numeric]
     drifted = cut_lineage(monitor.drift_of_shares(baseline.shares, window_counts.window_shares(plain, baseline.edges, categorical)))
@@ -201,11 +213,13 @@ def _metrics(counts: DataFrame, baseline: Baseline, config: Config) -> dict[str,
     quality = cut_lineage(with_ratios(judged, (monitor.WINDOW,)))
     if baseline.f1 is not None:
         alerts = alerts.unionByName(monitor.quality_alerts(quality, baseline.f1, config.target, config.f1_drop_threshold))
+    labelled = counts.where(scored & F.col("number").isNotNull()).withColumn("label", (F.col("column") == " positive").cast("int"))
+    areas = monitor.auc_metrics(auc_by(labelled, "label", "number", (monitor.WINDOW,), "n"), config.target)
     return {
         "profile_metrics": window_counts.profile(plain, numeric),
         "drift_metrics": drifted,
         "alerts": alerts,
-        "quality_metrics": monitor.quality_metrics(quality, config.target),
+        "quality_metrics": monitor.quality_metrics(quality, config.target).unionByName(areas),
     }
 
 
@@ -222,7 +236,7 @@ def refresh_incremental(
     spark.catalog.refreshTable(log_name)
     log = spark.table(log_name)
     numeric, categorical = _columns(log, config)
-    settings = _digest(numeric, categorical, config.granularity, config.target, config.positive, "prediction" in log.columns, config.target in log.columns)
+    settings = _digest(numeric, categorical, config.granularity, config.target, config.positive, *[c in log.columns for c in ("prediction", PROBABILITY, config.target)])
     figures = kept_baseline(spark, baseline, config, base, log)
     rest = _digest(figures.fingerprint, config.psi_threshold, config.f1_drop_threshold)
 

@@ -14,7 +14,7 @@ from tidemark.functions.numeric import is_positive
 from tidemark.operators import monitor
 from tidemark.operators.metrics import confusion_metrics
 from tidemark.session import cut_lineage
-from tidemark.plans.monitor_state import KEEP_SECONDS, is_partitioned, refresh_incremental, window_bounds
+from tidemark.plans.monitor_state import KEEP_SECONDS, PROBABILITY, is_partitioned, refresh_incremental, window_bounds
 from tidemark.sources.feature_table import replace_table, retire
 from tidemark.sources.scored_log import DATE_COLUMN
 from tidemark.sources.tables import find_tables
@@ -31,6 +31,7 @@ class MonitorTables:
     drift: DataFrame
     quality: DataFrame | None
     alerts: DataFrame
+    auc: DataFrame | None = None
 
 
 def _label(config: Config):
@@ -47,7 +48,7 @@ def monitor_log(log: DataFrame, baseline: DataFrame, config: Config, ts: str = "
     # a row per window and column, stored, so that alerts do not read the log again
     drifted = cut_lineage(monitor.drift(baseline, log, ts, numeric, categorical, config.granularity))
     alerts = monitor.drift_alerts(drifted, config.psi_threshold)
-    by_window = None
+    by_window = areas = None
     if config.target in log.columns:
         predicted = is_positive(F.col("prediction"), config.positive).cast("int")
         by_window = cut_lineage(monitor.quality_by_window(log, ts, _label(config), predicted, config.granularity))
@@ -55,13 +56,16 @@ def monitor_log(log: DataFrame, baseline: DataFrame, config: Config, ts: str = "
             base_f1 = confusion_metrics(baseline, _label(config), predicted).select("f1").scalar()
             falls = monitor.quality_alerts(by_window, base_f1, config.target, config.f1_drop_threshold)
             alerts = alerts.unionByName(falls)
-    return MonitorTables(profiled, drifted, by_window, alerts)
+        if PROBABILITY in log.columns:
+            areas = monitor.auc_by_window(log, ts, _label(config), PROBABILITY, config.target, config.granularity)
+    return MonitorTables(profiled, drifted, by_window, alerts, areas)
 
 
 def _parts(tables: MonitorTables, target: str) -> dict[str, DataFrame]:
     parts = {"profile_metrics": tables.profile, "drift_metrics": tables.drift, "alerts": tables.alerts}
     if tables.quality is not None:
-        parts["quality_metrics"] = monitor.quality_metrics(tables.quality, target)
+        figures = monitor.quality_metrics(tables.quality, target)
+        parts["quality_metrics"] = figures if tables.auc is None else figures.unionByName(tables.auc)
     return parts
 
 

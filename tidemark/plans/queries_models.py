@@ -82,7 +82,9 @@ def confusion(spark: SparkSession, sf: str) -> DataFrame:
 )
 def roc_auc(spark: SparkSession, sf: str) -> DataFrame:
     scored = scored_customers(spark, sf)
-    areas = {p: metrics.roc_auc(scored, "label", p) for p in ("prob_champion", "prob_challenger")}
+    sides = [F.struct(F.lit(p).alias("side"), F.col(p).alias("prob")) for p in ("prob_champion", "prob_challenger")]
+    tall = scored.select("label", F.inline(F.array(*sides)))
+    areas = {r.side: r.roc_auc for r in metrics.auc_by(tall, "label", "prob", ("side",)).collect()}
     return scored.agg(F.count("*").alias("n_rows")).select(
         "n_rows", *[F.round(F.lit(a), 6).alias(p.replace("prob", "auc")) for p, a in areas.items()]
     )

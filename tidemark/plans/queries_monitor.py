@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import monitor
-from tidemark.operators.metrics import METRICS, confusion_metrics
+from tidemark.operators.metrics import METRICS, auc_by, confusion_metrics
 from tidemark.plans.monitor_state import refresh_incremental
 from tidemark.plans.monitors import monitor_log, refresh_all, refresh_summary, write_monitors
 from tidemark.plans.queries_models import confusion_sql
@@ -292,3 +292,21 @@ def refresh_by_days(spark: SparkSession, sf: str) -> DataFrame:
     for part in found[1:]:
         whole = whole.unionByName(part)
     return whole
+
+
+_RANKED = """SELECT day, event_type, label, rank() OVER (PARTITION BY day, event_type ORDER BY amount)
+    + (count(*) OVER (PARTITION BY day, event_type, amount) - 1) / 2e0 AS r
+  FROM (SELECT day, event_type, amount, (actual = 'Yes')::INTEGER AS label FROM e WHERE actual IS NOT NULL AND amount IS NOT NULL)"""
+
+
+@query(
+    "q_auc_by_window",
+    f"""{_E} SELECT day AS window_start, event_type, positives, negatives, round(CASE WHEN positives > 0 AND negatives > 0
+      THEN (ranks - positives * (positives + 1) / 2e0) / (positives * negatives) END, 6) AS roc_auc
+    FROM (SELECT day, event_type, count(*) FILTER (WHERE label = 1) AS positives, count(*) FILTER (WHERE label = 0) AS negatives,
+            sum(r) FILTER (WHERE label = 1) AS ranks FROM ({_RANKED}) GROUP BY day, event_type)""",
+)
+def auc_by_window(spark: SparkSession, sf: str) -> DataFrame:
+    """How well amounts tell the label, for every day and kind of event, all groups in one pass."""
+    judged = monitor.with_window(event_log(spark, sf), "inference_ts").withColumn("label", _label())
+    return _days(auc_by(judged, "label", "amount", (monitor.WINDOW, "event_type")), "roc_auc")
