@@ -59,6 +59,8 @@ class Config:
     log_suffix: str = "inference_log"
     baseline_table: str | None = None
     fit_partitions: int | None = None
+    #: Categories of a column that an encoder may bring to the driver.
+    most_categories: int = 100_000
 
     @property
     def features(self) -> list[str]:

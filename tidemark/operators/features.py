@@ -94,6 +94,7 @@ class TableEncoder(Estimator):
 
         inputs = [f"{c}__num" for c in numeric]
         if categorical:
+            _require_small(frame, categorical, self.config.most_categories)
             # the slot kept for unseen values is last, and the encoder drops it: unseen gives all zeros
             indexer = StringIndexer(
                 inputCols=[f"{c}__cat" for c in categorical],
@@ -114,6 +115,14 @@ class TableEncoder(Estimator):
         return PipelineModel(stages)
 
 
+def _require_small(frame: DataFrame, categorical: list[str], most: int) -> None:
+    """Refuse dictionaries that the driver should not hold; the estimate is within a few percent."""
+    sizes = frame.agg(*[F.approx_count_distinct(f"{c}__cat").alias(c) for c in categorical]).first()
+    large = [c for c in categorical if sizes[c] > most]
+    if large:
+        raise ValueError(f"{', '.join(large)}: more than {most} categories (most_categories); use WideEncoder, which stores its dictionary")
+
+
 def fit_numbers(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float, float]]:
     """Median, and mean and population deviation after imputing it, for every column.
 
@@ -157,15 +166,17 @@ def encoded_columns(df: DataFrame, encoder: PipelineModel, config: Config, *keep
     return rows.select(*keep, *[F.col("_v")[i].alias(n) for i, n in enumerate(names)])
 
 
-def dummy_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+def dummy_columns(df: DataFrame, columns: list[str], most: int = 10_000) -> DataFrame:
     """0/1 columns `column_value` in place of each column, the first value left out; null gives zeros.
 
-    The result has a column per value, so the values are brought to the driver; `category_positions` numbers the values
-    of a column that has too many for that.
+    The result has a column per value, so the values are brought to the driver. A column with more than `most` values is
+    refused; `WideEncoder` takes it.
     """
     out = [F.col(c) for c in df.columns if c not in columns]
     for c in columns:
-        found = df.select(c).where(F.col(c).isNotNull()).distinct().collect()
+        found = df.select(c).where(F.col(c).isNotNull()).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{c} has more than {most} values, too many for a column each; use WideEncoder")
         for value in sorted(row[0] for row in found)[1:]:
             out.append(F.col(c).eqNullSafe(F.lit(value)).cast("int").alias(f"{c}_{value}"))
     return df.select(*out)

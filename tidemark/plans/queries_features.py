@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.config import Config
 from tidemark.operators import features, split
+from tidemark.operators.features import FEATURES
 from tidemark.operators.metrics import class_weights
 from tidemark.operators.quantiles import column_quantiles, exact_quantiles
+from tidemark.operators.wide_encoder import WideEncoder
 from tidemark.plans.registered import query, scratch_database
 from tidemark.plans.retrain import draw_holdout, training_rows
 from tidemark.plans.subjects import (
@@ -412,3 +415,43 @@ def csv_table(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType([T.StructField("long_key", T.LongType()), T.StructField("o_orderstatus", T.StringType())])
     loaded = load_csv_table(spark, path, schema, f"{scratch_database(spark)}.orders", ["long_key"])
     return loaded.groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.max("long_key").alias("top"))
+
+
+_WIDE = Config(key="l_orderkey", target="l_linestatus", numeric=("l_quantity", "price"), categorical=("l_orderkey", "l_partkey", "l_returnflag"))
+_WIDE_LINES = "SELECT *, CASE WHEN l_linenumber < 6 THEN l_extendedprice END AS price, l_linenumber < 4 AS seen FROM lineitem"
+_WIDE_VALUES = " UNION ALL ".join(
+    f"SELECT DISTINCT {i} AS ordinal, coalesce(CAST({c} AS VARCHAR), 'Unknown') AS category FROM f" for i, c in enumerate(_WIDE.categorical)
+)
+_WIDE_FIGURES = ", ".join(f"median({c}) AS m{i}" for i, c in enumerate(_WIDE.numeric))
+_WIDE_MOMENTS = ", ".join(
+    f"avg(coalesce({c}, m{i})) AS mean{i}, stddev_pop(coalesce({c}, m{i})) AS std{i}" for i, c in enumerate(_WIDE.numeric)
+)
+
+
+@query(
+    "q_encode_wide",
+    f"""WITH l AS ({_WIDE_LINES}), f AS (SELECT * FROM l WHERE seen),
+     d AS (SELECT *, 1 + row_number() OVER (ORDER BY ordinal, category) AS position FROM ({_WIDE_VALUES})),
+     m AS (SELECT {_WIDE_FIGURES} FROM f), s AS (SELECT {_WIDE_MOMENTS} FROM f, m)
+    SELECT l_orderkey, l_linenumber, (SELECT 2 + count(*) FROM d) AS size,
+      '[' || concat_ws(',', '0', '1', x.position, y.position, z.position) || ']' AS places,
+      round((coalesce(l_quantity, m0) - mean0) / std0, 6) AS quantity, round((coalesce(price, m1) - mean1) / std1, 6) AS price
+    FROM l, m, s
+    LEFT JOIN d AS x ON x.ordinal = 0 AND x.category = CAST(l_orderkey AS VARCHAR)
+    LEFT JOIN d AS y ON y.ordinal = 1 AND y.category = coalesce(CAST(l_partkey AS VARCHAR), 'Unknown')
+    LEFT JOIN d AS z ON z.ordinal = 2 AND z.category = coalesce(l_returnflag, 'Unknown')""",
+)
+def encode_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines encoded with a dictionary of all orders, fitted on the first three lines of each order."""
+    lines = table(spark, sf, "lineitem").withColumn("price", F.when(F.col("l_linenumber") < 6, F.col("l_extendedprice")))
+    encoder = WideEncoder(_WIDE, f"{scratch_database(spark)}.dictionary").fit(lines.where("l_linenumber < 4"))
+    encoded = encoder.transform(lines).withColumn("_v", F.to_json(F.struct(FEATURES)))
+    part = lambda path: F.get_json_object("_v", f"$.{FEATURES}.{path}")
+    return encoded.select(
+        "l_orderkey",
+        "l_linenumber",
+        part("size").cast("bigint").alias("size"),
+        part("indices").alias("places"),
+        F.round(part("values[0]").cast("double"), 6).alias("quantity"),
+        F.round(part("values[1]").cast("double"), 6).alias("price"),
+    )
