@@ -25,7 +25,7 @@ from tidemark.plans.subjects import (
     table,
 )
 from tidemark.session import scratch_path
-from tidemark.sources import feature_table, scored_log
+from tidemark.sources import bucket_files, feature_table, scored_log
 from tidemark.sources.tables import load_csv_table
 
 _C = f"WITH c AS ({customers_sql()})"
@@ -115,6 +115,18 @@ def feature_store(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+@query("q_upsert_delta", _UPSERT)
+def upsert_delta(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through bucket files: customers of one segment are merged first, then the others."""
+    old, new = _old_and_new(spark, sf)
+    name = f"{scratch_database(spark)}.customer_features"
+    bucket_files.create(old, name, "c_custkey", 64)
+    first = F.col("segment") == _SEGMENTS[0]
+    for part in (new.where(first), new.where(~first)):
+        bucket_files.merge(part, name)
+    return bucket_files.open_table(spark, name)
+
+
 @query(
     "q_feature_lookup",
     """SELECT doc_id, quality, lang, source, n_chars FROM labels LEFT JOIN documents USING (doc_id)""",
