@@ -31,7 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: later steps start from the files, also after losses."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    held._scratch_path = path
+    return held
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of frames that `stored` made, once all that is worked out from them is stored itself."""
+    for frame in frames:
+        context = frame.sparkSession._jsc
+        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame._scratch_path)
+        path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
 def with_row_key(df: DataFrame, name: str) -> DataFrame:

@@ -12,8 +12,9 @@ then any number of sentences with enough words, so of a repeated passage of `lea
 run up to it; together these cover every repeated run whole, since a repeated run contains the shortest run from each
 of its sentences that has one, and the shortest to its last.
 
-Hashes are joined globally in two steps. Names of 64 bits are counted first, and a bitmap of fixed size carries those
-that occur twice to the tasks. Only their runs, a small part, are then sent with 128 bits, key and place, and decide.
+Hashes are joined globally in two steps. Names of 64 bits are counted first, and a bitmap sized by their number, up to a
+bound, carries those that occur twice to the tasks. Only their runs, a small part, are then sent with 128 bits, key and
+place, and decide. Texts without cuts stay where they are; only the others are sent to their cuts.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.arrow_text import NOT_SPACE, byte_set, counts_of, flat_texts, sequence_hashes, short_batches, slices, span_hashes, word_spans
-from tidemark.llm.bitmaps import bitmap_of, hits
-from tidemark.llm.common import fresh_name, stored, with_row_key
+from tidemark.llm.bitmaps import bitmap_of, hits, hits_sized, sized_bitmap
+from tidemark.llm.common import fresh_name, release, stored, with_row_key
 
 RUN = 2
 LEAST_WORDS = 20
@@ -96,8 +97,11 @@ def shortest_runs(data: np.ndarray, marks: np.ndarray, least: int, longest: int
     return own[order], (first - bounds[own])[order], (last - bounds[own])[order], names[0][order], names[1][order]
 
 
-def later_runs(rows: DataFrame, least: int, longest: int | None = None) -> DataFrame:
-    """`rid`, `first` and `last` word of the runs that have an earlier copy, of rows of `rid`, `key`, `text`."""
+def later_runs(rows: DataFrame, least: int, longest: int | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """`rid`, `first` and `last` word of the runs that have an earlier copy, of rows of `rid`, `key`, `text`.
+
+    Also the stored tables that this is worked out from.
+    """
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in short_batches(batches, 0):
@@ -106,15 +110,17 @@ def later_runs(rows: DataFrame, least: int, longest: int | None = None) -> DataF
                 found = shortest_runs(data[marks[first] : marks[last]], marks[first : last + 1] - marks[first], least, longest)
                 yield pa.RecordBatch.from_arrays([pa.array(found[3])], names=["a"])
 
-    twice = rows.select("text").mapInArrow(names, "a long").groupBy("a").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap_of(twice, "a"))
+    counted = rows.select("text").mapInArrow(names, "a long").groupBy("a").agg(F.count(F.lit(1)).alias("times"))
+    twice = stored(counted.filter("times > 1").select("a"), "sentence-names")
+    shared = rows.sparkSession.sparkContext.broadcast(sized_bitmap(twice, "a", twice.count()))
+    release(twice)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in short_batches(batches, 2):
             data, marks = flat_texts(batch.column(2))
             for low, high in slices(marks):
                 found = shortest_runs(data[marks[low] : marks[high]], marks[low : high + 1] - marks[low], least, longest)
-                own, first, last, a, b = (x[hits(shared.value, found[3])] for x in found)
+                own, first, last, a, b = (x[hits_sized(shared.value, found[3].view(np.uint64))] for x in found)
                 part, who = batch.slice(low, high - low), pa.array(own)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(who), part.column(1).take(who), *map(pa.array, (first, last, a, b))],
@@ -125,8 +131,9 @@ def later_runs(rows: DataFrame, least: int, longest: int | None = None) -> DataF
     kept = stored(rows.mapInArrow(runs, f"rid long, key {kind}, first long, last long, a long, b long"), "sentence-runs")
     place = F.struct("key", "rid", "first")
     heads = kept.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("head")).filter("times > 1")
-    later = kept.join(stored(heads, "sentence-heads"), ["a", "b"]).filter("head.rid != rid or head.first != first")
-    return later.select("rid", "first", "last")
+    heads = stored(heads, "sentence-heads")
+    later = kept.join(heads, ["a", "b"]).filter("head.rid != rid or head.first != first")
+    return later.select("rid", "first", "last"), [kept, heads]
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -152,10 +159,24 @@ def dedup_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     rid, runs = fresh_name(docs, "rid"), fresh_name(docs, "runs")
     rows = with_row_key(docs, rid)
     narrow = rows.select(F.col(rid).alias("rid"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    found = later_runs(narrow, least_words, longest).groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    found = stored(found, "sentence-cuts")
+    later, used = later_runs(narrow, least_words, longest)
+    found = stored(later.groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "sentence-cuts")
+    release(*used)
+    # only rows with cuts are sent to them; the bits of row numbers let some others go along
+    marks = rows.sparkSession.sparkContext.broadcast(bitmap_of(found, "rid"))
+    place = len(docs.columns)
+
+    def chosen(wanted: bool):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(hits(marks.value, batch.column(place).to_numpy()) == wanted))
+
+        return rows.mapInArrow(work, rows.schema)
+
+    cuts = found.select(F.col("rid").alias(rid), F.col("runs").alias(runs))
     # the cuts grow with the texts, so the join is the same at every size
-    joined = rows.join(found.select(F.col("rid").alias(rid), F.col("runs").alias(runs)).hint("merge"), rid, "left").drop(rid)
+    joined = chosen(True).join(cuts.hint("merge"), rid, "left").drop(rid)
+    joined = joined.union(chosen(False).drop(rid).withColumn(runs, F.lit(None).cast(cuts.schema[runs].dataType)))
     at, end = docs.columns.index(text), len(docs.columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
