@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import release, stored
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -40,6 +40,7 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(found) == state or found[0] == 0:
             break
         state = tuple(found)
-        links = stored(_small_star(_large_star(links)), "links")
+        former, links = links, stored(_small_star(_large_star(links)), "links")
+        release(former)
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

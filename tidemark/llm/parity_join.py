@@ -27,12 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import NOT_SPACE, flat_texts, list_array, lower_ascii, mix, run_hashes, short_batches, slices, span_hashes, word_spans
 from tidemark.llm.bitmaps import bitmap_of, hits
-from tidemark.llm.common import fresh_name, stored, with_row_key
+from tidemark.llm.common import fresh_name, release, stored, with_row_key
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -45,6 +45,9 @@ PART = 3
 #: Longs of the one-bit parity sketch that pairs of a bucket are held against.
 SKETCH = 16
 
+#: Earlier buckets of a class that are looked at for one that a pair has met in.
+EARLIER = 8
+
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -291,6 +294,7 @@ def component_rows(rows: DataFrame, words: int = WORDS, per_cent: int = PER_CENT
     )
     links = stored(linked(tried, sets, per_cent), "parity-links")
     more = stored(linked(open_pairs(buckets, wanted, sets, components(links), per_cent), sets, per_cent), "parity-links")
+    release(buckets, sets)
     final = components(links.union(more))
 
     placed = classes.join(final, classes["rid"] == final["node"], "left").select("c", "h", "n", "rid", "least", "component")
@@ -359,14 +363,19 @@ def open_pairs(buckets: DataFrame, wanted: DataFrame, sets: DataFrame, parts: Da
         .select("rid", F.coalesce("alone", F.lit(0)).alias("alone"), "sketch", "size")
         .filter(F.col("alone") * (100 + per_cent) <= (100 - per_cent) * (F.col("size") + F.floor(F.col("size") * 100 / per_cent)))
     )
-    rows = mixed_rows.join(viable, "rid").select("sign", "rid", "n", "part", "alone", "sketch")
-    left = rows.toDF("sign", "u", "nu", "pu", "au", "ku")
-    right = rows.toDF("sign", "v", "nv", "pv", "av", "kv")
+    # a pair that shares an earlier bucket has met there: of its buckets, all that have one of the `EARLIER` before them
+    # in common are passed over, and the first never is
+    held = mixed_rows.join(viable.select("rid", "alone"), "rid").distinct()
+    before = F.collect_list("sign").over(Window.partitionBy("rid").orderBy("sign").rowsBetween(-EARLIER, -1))
+    rows = held.withColumn("before", before).join(viable.select("rid", "sketch"), "rid").select("sign", "rid", "n", "part", "alone", "sketch", "before")
+    left = rows.toDF("sign", "u", "nu", "pu", "au", "ku", "bu")
+    right = rows.toDF("sign", "v", "nv", "pv", "av", "kv", "bv")
     bound = (100 - per_cent) * (F.col("nu") + F.col("nv"))
     return (
         left.join(right, "sign")
         .filter((F.col("pu") != F.col("pv")) & (F.struct("nu", "u") < F.struct("nv", "v")) & sizes_fit("nu", "nv", per_cent))
         .filter(((F.col("au") + F.col("av")) * (100 + per_cent) <= bound) & sketches_allow(per_cent))
+        .filter(~F.arrays_overlap("bu", "bv"))
         .select("u", "v")
         .distinct()
     )
