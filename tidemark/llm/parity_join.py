@@ -357,15 +357,16 @@ def open_pairs(buckets: DataFrame, wanted: DataFrame, sets: DataFrame, parts: Da
         .filter("k <= 2 and low = high")
     )
     alone = holders.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("rid")).groupBy("rid").agg(F.count(F.lit(1)).alias("alone"))
-    viable = (
+    viable = stored(
         members.join(alone, "rid", "left")
         .join(sets.select("rid", "sketch", F.size("shingles").alias("size")), "rid")
         .select("rid", F.coalesce("alone", F.lit(0)).alias("alone"), "sketch", "size")
-        .filter(F.col("alone") * (100 + per_cent) <= (100 - per_cent) * (F.col("size") + F.floor(F.col("size") * 100 / per_cent)))
+        .filter(F.col("alone") * (100 + per_cent) <= (100 - per_cent) * (F.col("size") + F.floor(F.col("size") * 100 / per_cent))),
+        "parity-viable",
     )
     # a pair that shares an earlier bucket has met there: of its buckets, all that have one of the `EARLIER` before them
     # in common are passed over, and the first never is
-    held = mixed_rows.join(viable.select("rid", "alone"), "rid").distinct()
+    held = mixed_rows.join(viable.select("rid", "alone"), "rid")
     before = F.collect_list("sign").over(Window.partitionBy("rid").orderBy("sign").rowsBetween(-EARLIER, -1))
     rows = held.withColumn("before", before).join(viable.select("rid", "sketch"), "rid").select("sign", "rid", "n", "part", "alone", "sketch", "before")
     left = rows.toDF("sign", "u", "nu", "pu", "au", "ku", "bu")
