@@ -6,7 +6,8 @@ a pre-token there, so each piece is a whole number of pre-tokens and its token c
 Two tiers give the count of a piece. The first is a broadcast hash table of the most frequent pieces of the whole
 corpus and their counts, `table_size` entries of at most `PIECE_CHARS` characters. It comes from bounded summaries:
 each task keeps its own frequent pieces, and only those summaries are merged. The second is a cache in the Python
-worker, filled by the tokenizer itself and emptied when full. No pre-token is shuffled.
+worker, filled by the tokenizer itself and emptied when full. Texts and their pre-tokens are not shuffled; the summaries
+are, at most `TASK_SUMMARY` / 2 strings a task.
 """
 
 from __future__ import annotations
