@@ -285,3 +285,54 @@ def test_license_places_and_notices(spark, tmp_path):
     assert scan_licenses(docs.limit(0)).collect() == []
     assert len(license_scan.template_rows()[1]) < 300
     assert words("A b") == ["a", "b"]
+
+
+def notice_scores(sequence):
+    """Best coverage of every notice over all stretches of the words, by enumeration; only those that suffice."""
+    found = {}
+    for phrase, label in license_scan.NOTICES:
+        t = phrase.split()
+        pairs = len(t) - 1
+        hits = [(i, at) for i in range(len(sequence) - 1) for at in range(pairs) if sequence[i : i + 2] == t[at : at + 2]]
+        diagonals = sorted({i - at for i, at in hits})
+        groups = np.cumsum([0, *(b - a > license_scan.NEAR for a, b in zip(diagonals, diagonals[1:]))]) if diagonals else []
+        group = dict(zip(diagonals, groups, strict=True))
+        for first in range(len(sequence)):
+            for g in set(group.values()):
+                inside = {at for i, at in hits if first <= i and i + 2 <= first + int(license_scan.STRETCH * len(t)) and group[i - at] == g}
+                if len(inside) >= (license_scan.COVER if len(t) >= license_scan.SHORT else 1) * pairs:
+                    found[label] = max(found.get(label, 0), len(inside) / pairs)
+    return found
+
+
+def test_notices_equal_an_enumeration(spark, tmp_path):
+    chance = random.Random(8)
+    texts = [
+        "Released under the released under the MIT License.",
+        "licensed under licensed under cc by 4 0",
+        "released under the mit license " * 3,
+        "mit license released under the mit license under the mit license",
+        "under the gnu general public license redistribute it and you can redistribute it and or modify it under the terms of the gnu general public license",
+    ]
+    for _ in range(150):
+        out = []
+        for _ in range(chance.randint(1, 4)):
+            t = chance.choice(license_scan.NOTICES)[0].split()
+            a = chance.choice([0, 0, chance.randrange(len(t))])
+            part = t[a : chance.choice([len(t), len(t), chance.randint(a, len(t))])]
+            if part and chance.random() < 0.3:
+                part.insert(chance.randrange(len(part)), chance.choice(["x", *t]))
+            out += part + ["y"] * chance.choice([0, 0, 1, 3, 30])
+        texts.append(" ".join(out))
+    docs = store(spark, tmp_path, list(enumerate(texts)))
+    got = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    base = {label for _, label in BASE}
+    for i, text in enumerate(texts):
+        wanted = notice_scores([w.strip(".").lower() for w in text.split()])
+        labels = set(filter(None, got[i].labels.split(","))) - base
+        assert labels == set(wanted), text
+        if wanted and not got[i].base_labels:
+            assert abs(got[i].score - max(wanted.values())) < 1e-12
+    assert got[0].labels == "mit,mit-notice" and got[1].labels == "cc-by,cc-by-4.0"
+    assert sum(s.startswith("mit-notice:") for s in got[2].spans) == 3
+    assert "gpl-notice" in got[4].labels and got[4].score == 1.0

@@ -3,8 +3,9 @@
 Every text is turned into words and every two consecutive words into a 64-bit hash. All these hashes are joined with
 the positions that templates have them at; a hit votes for the diagonal place in the text less place in the template.
 Votes are summed per text, template and diagonal before anything is shuffled. Then neighbouring diagonals of a template
-are merged, since an inserted or missing word moves the rest by one, and a merged span is verified: it must cover
-enough of the template's positions within a fitting length. A phrase of the base list must lie on one diagonal whole.
+are merged, since an inserted or missing word moves the rest by one, and every stretch of the merged places as long as a
+notice may be is verified: it must cover enough of the template's positions. Stray places beside a notice, or a second
+notice next to it, take nothing from it. A phrase of the base list must lie on one diagonal whole.
 
 Templates are a fixed list of a few hundred positions, so their side of the join is broadcast. The long texts of a
 batch are sliced by bytes; nothing is capped.
@@ -12,6 +13,7 @@ batch are sliced by bytes; nothing is capped.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -102,6 +104,38 @@ def word_grams(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, f"rid long, doc_id {kind}, n_words long, grams array<long>")
 
 
+def best_spans(hits: list[tuple[int, int]], template: Template) -> list[tuple[int, int, float]]:
+    """First and last word and coverage of the spans of a template that its `hits`, places and positions, verify.
+
+    Every place with a hit begins a window as long as a notice may be, cut at the last place that adds to its coverage.
+    Of windows that cover enough and share words, the one that covers most counts; then the shortest, then the first.
+    So a stray hit beside a notice takes nothing from it. A window holds few places, so the work is linear in the hits.
+    """
+    pairs, reach = template.words - GRAM + 1, int(STRETCH * template.words)
+    enough = (COVER if template.words >= SHORT else 1) * pairs
+    hits = sorted(hits)
+    windows = []
+    for i, (start, _) in enumerate(hits):
+        if i and hits[i - 1][0] == start:
+            continue
+        seen, end = 0, start
+        for place, at in (hits[j] for j in range(i, len(hits))):
+            if place + GRAM - start > reach:
+                break
+            if not seen >> at & 1:
+                seen, end = seen | 1 << at, place + GRAM - 1
+        if seen.bit_count() >= enough:
+            windows.append((-seen.bit_count(), end - start, start))
+    taken: list[tuple[int, int, float]] = []
+    for covered, length, start in sorted(windows):
+        after = bisect_left(taken, (start,))
+        clear_before = after == 0 or taken[after - 1][1] < start
+        clear_after = after == len(taken) or taken[after][0] > start + length
+        if clear_before and clear_after:
+            taken.insert(after, (start, start + length, -covered / pairs))
+    return taken
+
+
 def spans_of(votes: list[dict], templates: list[Template]) -> list[tuple[int, int, int, float]]:
     """Template, first and last word, and coverage of the verified spans; votes are bits of a template's positions."""
     found = []
@@ -111,24 +145,17 @@ def spans_of(votes: list[dict], templates: list[Template]) -> list[tuple[int, in
     for t, own in by.items():
         template = templates[t]
         pairs = template.words - GRAM + 1
-        own.sort(key=lambda v: (v["diagonal"], v["low"]))
+        own.sort(key=lambda v: v["diagonal"])
         if template.base:
             found += [(t, v["diagonal"], v["diagonal"] + template.words - 1, 1.0) for v in own if v["votes"].bit_count() == pairs]
             continue
-        span: list[dict] = []
-        for v in [*own, None]:
-            # places on one diagonal are at most a template apart, so a jump along the text ends a span as well
-            if span and (v is None or v["diagonal"] - span[-1]["diagonal"] > NEAR):
-                low, high = min(s["low"] for s in span), max(s["high"] for s in span) + GRAM - 1
-                seen = 0
-                for s in span:
-                    seen |= s["votes"]
-                covered = seen.bit_count() / pairs
-                if covered >= (COVER if template.words >= SHORT else 1) and high - low + 1 <= STRETCH * template.words:
-                    found.append((t, low, high, covered))
-                span = []
-            if v is not None:
-                span.append(v)
+        near: list[tuple[int, int]] = []
+        for v, following in zip(own, [*own[1:], None], strict=True):
+            near += [(v["diagonal"] + at, at) for at in range(pairs) if v["votes"] >> at & 1]
+            # places on one diagonal are at most a template apart, so a jump along the text ends the neighbourhood as well
+            if following is None or following["diagonal"] - v["diagonal"] > NEAR:
+                found += [(t, *span) for span in best_spans(near, template)]
+                near = []
     return found
 
 
@@ -151,9 +178,9 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         grams.join(known, "gram", "left")
         .filter("template is not null or pos is null or pos = 0")
         .groupBy("rid", "doc_id", "n_words", "template", (F.col("pos") - F.col("at")).alias("diagonal"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("votes"), F.min("pos").alias("low"), F.max("pos").alias("high"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("votes"))
     )
-    vote = F.when(F.col("template").isNotNull(), F.struct("template", "diagonal", "votes", "low", "high"))
+    vote = F.when(F.col("template").isNotNull(), F.struct("template", "diagonal", "votes"))
     texts = votes.groupBy("rid", "doc_id", "n_words").agg(F.collect_list(vote).alias("votes"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
