@@ -11,7 +11,7 @@ import corpus_pipeline
 from tidemark.llm import sharding, vector_search
 from tidemark.llm.quality_gam import FEATURES, fit_gam, learn, score_quality, text_features, without_rejected
 from tidemark.llm.sharding import permute, shard_rows
-from tidemark.llm.vector_search import build_graph, halve, nearest, nearest_lists
+from tidemark.llm.vector_search import as_long, build_graph, halve, lengthened, lists_within, nearest, nearest_lists
 
 
 def labels(spark, sf=SF):
@@ -194,6 +194,50 @@ def test_beam_search_finds_the_nearest_centroids():
     assert all(len(set(r[r >= 0])) == (r >= 0).sum() for r in ids)
 
 
+def test_lists_within_a_ratio_are_found_however_many():
+    chance = np.random.default_rng(6)
+    points = chance.normal(size=(6000, 8))
+    centroids = halve(points, 10)
+    graph = build_graph(centroids)
+    own = points[:200]
+    true = np.sqrt(((own[:, None, :] - centroids[None]) ** 2).sum(axis=2))
+    for ratio in (1.0, 1.2, 3.0, float("inf")):
+        wanted = true <= ratio * true.min(axis=1, keepdims=True) + 1e-9
+        row, lists, home = lists_within(own, graph, ratio)
+        got = np.zeros_like(wanted)
+        got[row, lists] = True
+        assert len(row) == got.sum() and home.sum() == len(own)
+        assert (got & wanted).sum() >= 0.97 * wanted.sum() and (got & ~wanted).sum() <= 0.03 * wanted.sum()
+    assert wanted.all() and got.all()
+    held = np.full(len(centroids), 3)
+    row, _, _ = lists_within(own, graph, 1.0, held, 301)
+    assert (np.bincount(row) >= 101).all() and np.bincount(row).max() <= 102
+    assert [len(x) for x in lists_within(own[:0], graph, 1.0)] == [0, 0, 0]
+    assert np.allclose((as_long(own, 9.0) ** 2).sum(axis=1), 9.0) and lengthened(own, 99.0).shape == (200, 9)
+
+
+def test_a_query_opens_few_lists_of_a_clustered_table(spark, tmp_path, monkeypatch):
+    """Distance decides: of lists in 40 clusters far apart a query opens about those of its own, and finds k vectors."""
+    monkeypatch.setattr(vector_search, "LIST", 16)
+    opened = []
+    whole = vector_search.open_lists
+    monkeypatch.setattr(vector_search, "open_lists", lambda *a: opened.append(whole(*a)) or opened[-1])
+    chance = np.random.default_rng(9)
+    matrix = (8 * chance.normal(size=(40, 16))[np.arange(8000) % 40] + chance.normal(size=(8000, 16))).astype(np.float32)
+    frame = store(spark, tmp_path, [(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id long, embedding array<float>", files=4)
+    found = {}
+    for r in nearest(frame).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert all(len(v) == 20 for v in found.values()) and len(found) == 400
+    hit = 0
+    for q, own in found.items():
+        score = matrix.astype(np.float64) @ matrix[q].astype(np.float64)
+        score[q] = -np.inf
+        hit += len(own & set(np.argsort(-score)[:20].tolist()))
+    assert hit / 8000 >= 0.95
+    assert opened[0].count() / 400 < 0.2 * 500
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     docs = documents(spark)
     for name, stage in corpus_pipeline.STAGES[:-1]:

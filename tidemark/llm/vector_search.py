@@ -6,10 +6,12 @@ the means of these equal parts are the centroids, so lists are about equally lon
 worker with a graph of their nearest neighbours, and a beam search over the graph finds the centroids near a vector.
 
 Every vector goes to the list of its nearest centroid and, near a boundary, to those hardly farther. A query opens the
-lists of its nearest centroids by exact distance. How many is measured on every table: some of the queries are held
-against all vectors, and the count is the smallest that finds the wanted share of their true neighbours in the lists as
-they are, so it follows the number of lists and the shape of the data. Lists and queries of a list are cut into blocks by
-counts, so no task holds a whole list however many vectors it has; within a block all inner products are formed.
+lists whose centroids lie within a ratio of its nearest centroid's distance, so a query amid a cluster opens few and one
+between clusters many; the beam is widened until its last centroid is beyond the ratio, so no count ends the choice. The
+ratio is measured on every table: some of the queries are held against all vectors, and it is the smallest that finds
+the wanted share of their true neighbours in the lists as they are, found by the same search. Lists and queries of a list
+are cut into blocks by counts, so no task holds a whole list however many vectors it has; within a block all inner
+products are formed.
 
 Equal vectors are one entry that carries the k + 1 smallest ids, which is all that a result can show of them, and equal
 queries are searched once.
@@ -27,22 +29,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import release, stored
 
 #: Vectors that centroids are fitted on.
 SAMPLE = 60_000
 #: Vectors of the sample in a list, unless that makes more than `MOST_LISTS` lists.
 LIST = 256
 MOST_LISTS = 8_192
-#: A vector also joins lists within this ratio of its nearest centroid's distance, up to so many lists.
-BORDER = 1.06
-COPIES = 6
-#: Queries held against all vectors, the share of their neighbours that the opened lists have to hold, and the least of
-#: lists that a query opens, all where there are fewer.
+#: A vector also joins lists within this ratio of its nearest centroid's distance.
+BORDER = 1.003
+#: Queries held against all vectors, and the share of their neighbours that the opened lists have to hold.
 TRIALS = 512
 WANTED = 0.97
-LEAST_OPEN = 96
-BEAM = 96
+#: Width of the first beam; where a beam would hold more than a part of `SCAN` of all centroids, all distances are formed.
+BEAM = 32
+SCAN = 4
 DEGREE = 24
 STEPS = 8
 SPREAD = 8
@@ -114,7 +115,7 @@ def nearest_lists(vectors: np.ndarray, graph: Graph, beam: int = BEAM) -> tuple[
     seen = np.zeros((n, len(graph.centroids)), dtype=bool)
     seen[np.arange(n)[:, None], graph.entries[None, :]] = True
     done = np.zeros((n, width), dtype=bool)
-    for _ in range(STEPS):
+    for _ in range(max(STEPS, -(-width // SPREAD))):
         order = np.argpartition(np.where(done, np.inf, cost), min(SPREAD, width) - 1, axis=1)[:, :SPREAD]
         chosen = np.take_along_axis(ids, order, axis=1)
         np.put_along_axis(done, order, True, axis=1)
@@ -138,6 +139,42 @@ def nearest_lists(vectors: np.ndarray, graph: Graph, beam: int = BEAM) -> tuple[
     return np.take_along_axis(ids, order, axis=1), distance
 
 
+def all_lists(vectors: np.ndarray, graph: Graph) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector all centroids, nearest first, and their distances."""
+    square = (vectors**2).sum(axis=1)[:, None] + graph.squares[None, :] - 2 * vectors @ graph.centroids.T
+    order = np.argsort(square, axis=1, kind="stable")
+    return order, np.sqrt(np.maximum(np.take_along_axis(square, order, axis=1), 0))
+
+
+def farthest(distance: np.ndarray, ratio: float) -> np.ndarray:
+    """The distance up to which lists belong to a vector, given that of its nearest one."""
+    return ratio * np.maximum(distance, 1e-9) + 1e-12
+
+
+def lists_within(vectors: np.ndarray, graph: Graph, ratio: float, held: np.ndarray | None = None, least: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vector, list and whether it is the nearest one, of all lists within `ratio` of the nearest centroid's distance.
+
+    With `held`, numbers of entries per list, a vector also gets the next lists until they hold `least` entries.
+    """
+    found = []
+    waiting, beam, whole = np.arange(len(vectors)), BEAM, False
+    while len(waiting):
+        whole = SCAN * beam > len(graph.centroids)
+        ids, distance = all_lists(vectors[waiting], graph) if whole else nearest_lists(vectors[waiting], graph, beam)
+        wanted = distance <= farthest(distance[:, :1], ratio)
+        if held is not None:
+            own = np.where(ids >= 0, held[ids], 0)
+            wanted |= np.cumsum(own, axis=1) - own < least
+        wanted &= ids >= 0
+        wanted[:, 0] = True
+        # what lies beyond the last one of the beam is unknown while that one is wanted
+        done = np.full(len(waiting), True) if whole else ~wanted[:, -1] & (ids[:, -1] >= 0)
+        row, place = np.nonzero(wanted & done[:, None])
+        found.append((waiting[row], ids[row, place], place == 0))
+        waiting, beam = waiting[~done], 2 * beam
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool))
+
+
 def lengthened(vectors: np.ndarray, square: float) -> np.ndarray:
     """Vectors with a component that brings all to the same length."""
     return np.column_stack([vectors, np.sqrt(np.maximum(square - (vectors**2).sum(axis=1), 0))])
@@ -158,42 +195,41 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def assign(entries: DataFrame, graph: Graph, square: float) -> DataFrame:
-    """`list` for each list that an entry (`uid`, `v`) joins."""
+    """`list` for each list that an entry (`uid`, `v`) joins, and whether it is the nearest one (`home`)."""
     shared = entries.sparkSession.sparkContext.broadcast(graph)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                own = matrix_of(batch.column(1))
-                ids, distance = nearest_lists(lengthened(own, square), shared.value)
-                ids, distance = ids[:, :COPIES], distance[:, :COPIES]
-                row, place = np.nonzero((distance <= BORDER * distance[:, :1] + 1e-12) & (ids >= 0))
+                row, lists, home = lists_within(lengthened(matrix_of(batch.column(1)), square), shared.value, BORDER)
                 who = pa.array(row)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(who), batch.column(1).take(who), pa.array(ids[row, place].astype(np.int32))], names=["uid", "v", "list"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(who), batch.column(1).take(who), pa.array(lists.astype(np.int32)), pa.array(home)], names=["uid", "v", "list", "home"]
+                )
 
-    return entries.select("uid", "v").mapInArrow(work, f"uid {entries.schema['uid'].dataType.simpleString()}, v array<double>, list int")
+    return entries.select("uid", "v").mapInArrow(work, f"uid {entries.schema['uid'].dataType.simpleString()}, v array<double>, list int, home boolean")
 
 
-def list_costs(queries: np.ndarray, graph: Graph) -> np.ndarray:
-    """Squared distance of each query from every centroid, less a constant of the query."""
-    # a query's further component is zero
-    return graph.squares[None, :] - 2 * queries @ graph.centroids[:, :-1].T
+def as_long(queries: np.ndarray, square: float) -> np.ndarray:
+    """Queries brought to the length of all entries, which changes no order, with a further component of zero."""
+    scaled = queries * np.sqrt(square / (queries**2).sum(axis=1))[:, None]
+    return np.column_stack([scaled, np.zeros(len(queries))])
 
 
-def open_lists(queries: DataFrame, graph: Graph, most: int) -> DataFrame:
-    """`lists`: the `most` lists of nearest centroids for each query (`uid`, `v`)."""
-    shared = queries.sparkSession.sparkContext.broadcast(graph)
+def open_lists(queries: DataFrame, graph: Graph, square: float, ratio: float, held: np.ndarray, least: int) -> DataFrame:
+    """A row per query (`uid`, `v`) and `list` that it opens: those within `ratio`, and enough to hold `least` entries."""
+    shared = queries.sparkSession.sparkContext.broadcast((graph, held))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                best = np.argpartition(list_costs(matrix_of(batch.column(1)), shared.value), most - 1, axis=1)[:, :most]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(best) + 1, dtype=np.int32) * most), pa.array(best.ravel().astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["uid", "v", "lists"])
+                own, counts = shared.value
+                row, lists, _ = lists_within(as_long(matrix_of(batch.column(1)), square), own, ratio, counts, least)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(lists.astype(np.int32))], names=["uid", "list"])
 
-    return queries.select("uid", "v").mapInArrow(work, f"uid {queries.schema['uid'].dataType.simpleString()}, v array<double>, lists array<int>")
+    return queries.select("uid", "v").mapInArrow(work, f"uid {queries.schema['uid'].dataType.simpleString()}, list int")
 
 
 def true_neighbours(entries: DataFrame, queries: np.ndarray, most: int) -> DataFrame:
@@ -224,32 +260,43 @@ def true_neighbours(entries: DataFrame, queries: np.ndarray, most: int) -> DataF
     return found.withColumn("place", place).filter(F.col("place") <= most)
 
 
-def lists_needed(entries: DataFrame, queries: DataFrame, posted: DataFrame, graph: Graph, k: int) -> int:
-    """The least number of lists in which queries find `WANTED` of their `k` nearest, measured on `TRIALS` of them."""
-    total = len(graph.centroids)
-    if total <= LEAST_OPEN:
-        return total
+def ratio_needed(entries: DataFrame, queries: DataFrame, posted: DataFrame, graph: Graph, square: float, held: np.ndarray, k: int) -> float:
+    """The least ratio within which queries find `WANTED` of their `k` nearest, measured on `TRIALS` of them.
+
+    The share is that of the lists which the graph search opens; where it misses some, the ratio is raised.
+    """
     sample = queries.select("uid", "v").orderBy(F.xxhash64("uid", F.lit(2)), "uid").limit(TRIALS).toArrow()
-    if not sample.num_rows:
-        return LEAST_OPEN
+    if not sample.num_rows or len(graph.centroids) == 1:
+        return 1.0
     own, names = matrix_of(sample.column("v").combine_chunks()), sample.column("uid").to_pylist()
     truth = true_neighbours(entries, own, k + 1)
-    held = posted.groupBy("uid").agg(F.collect_set("list").alias("lists"))
-    rows = truth.join(held, "uid").orderBy("q", "place").collect()
-    ranks = np.argsort(np.argsort(list_costs(own, graph), axis=1, kind="stable"), axis=1, kind="stable")
-    costs, weights, seen = [], [], [0] * len(own)
+    joined = posted.groupBy("uid").agg(F.collect_set("list").alias("lists"))
+    rows = truth.join(joined, "uid").orderBy("q", "place").collect()
+    asked = as_long(own, square)
+    ids, distance = all_lists(asked, graph)
+    nearness = np.zeros(ids.shape)
+    np.put_along_axis(nearness, ids, distance / np.maximum(distance[:, :1], 1e-9), axis=1)
+    places, costs, weights, seen = [], [], [], [0] * len(own)
     for r in rows:
         # an entry counts by its ids; a query is not its own neighbour
         n = min(r["many"] - (r["uid"] == names[r["q"]]), k - seen[r["q"]])
         if n > 0:
             seen[r["q"]] += n
-            costs.append(1 + ranks[r["q"], r["lists"]].min())
+            places.append((r["q"], r["lists"]))
+            costs.append(nearness[r["q"], r["lists"]].min())
             weights.append(n)
     if not costs:
-        return LEAST_OPEN
-    order = np.argsort(costs, kind="stable")
-    share = np.cumsum(np.array(weights)[order]) / np.sum(weights)
-    return max(LEAST_OPEN, int(np.array(costs)[order][np.searchsorted(share, WANTED - 1e-12)]))
+        return 1.0
+    order, weights = np.argsort(costs, kind="stable"), np.array(weights)
+    share = np.cumsum(weights[order]) / weights.sum()
+    for aim in (WANTED, (1 + WANTED) / 2, 1.0):
+        ratio = float(np.array(costs)[order][np.searchsorted(share, aim - 1e-12)])
+        row, lists, _ = lists_within(asked, graph, ratio, held, k + 1)
+        opened = np.zeros(nearness.shape, dtype=bool)
+        opened[row, lists] = True
+        if weights @ np.array([opened[q, own_lists].any() for q, own_lists in places]) >= WANTED * weights.sum():
+            return ratio
+    return float("inf")
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -260,7 +307,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
     vector is null, empty, zero, of another length than most, or holds null or non-finite components take no part. Ids
     should be unique; repeated ones count as one where their vectors are equal. Other columns are not read. An empty
     table gives an empty result. The lists opened hold `WANTED` of the neighbours of the queries measured; that is a
-    measured share, not a guarantee for each query.
+    measured share, not a guarantee for each query. Each query opens lists of more than `k` vectors, where there are so many.
     """
     rows = stored(usable(vectors, key, vector), "vectors")
     digest = [F.xxhash64("v"), F.xxhash64(F.lit(1), "v")]
@@ -284,15 +331,20 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
 
     posted = stored(assign(entries, graph, longest).join(entries.select("uid", "ids"), "uid"), "vector-lists")
     searched = stored(entries.select("uid", "v").join(asked.select("uid").distinct(), "uid", "left_semi"), "vector-searched")
-    opened = stored(open_lists(searched, graph, lists_needed(entries, searched, posted.select("uid", "list"), graph, k)), "vector-opened")
-    opened = opened.withColumn("list", F.explode("lists")).drop("lists")
+    # at most a row per list; entries at home are counted once
+    held = np.zeros(len(graph.centroids), dtype=np.int64)
+    for r in posted.filter("home").groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
+    ratio = ratio_needed(entries, searched, posted.select("uid", "list"), graph, longest, held, k)
+    opened = stored(open_lists(searched, graph, longest, ratio, held, k + 1), "vector-opened")
     # at most a row per list
     sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     wants = opened.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("groups"))
-    plan = F.broadcast(stored(sizes.join(wants, "list"), "vector-plan"))
+    blocks = stored(sizes.join(wants, "list"), "vector-plan")
+    plan = F.broadcast(blocks)
     deal = lambda parts: F.pmod(F.xxhash64("uid"), F.col(parts)).cast("int")
     left = posted.join(plan, "list").select("list", deal("blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "uid", "v", "ids")
-    right = opened.join(plan, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), deal("groups").alias("group"), "uid", "v")
+    right = opened.join(searched, "uid").join(plan, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), deal("groups").alias("group"), "uid", "v")
     kind = entries.schema["uid"].dataType.simpleString()
 
     def meet(stock: pa.Table, queries: pa.Table) -> pa.Table:
@@ -332,6 +384,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
     order = [F.desc("score"), F.asc("vec_id")]
     top = pairs.withColumn("place", F.row_number().over(W.partitionBy("uid").orderBy(*order))).filter(F.col("place") <= k + 1)
     best = stored(top.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found")), "vector-found")
+    release(rows, entries, posted, searched, opened, blocks)
     other = F.filter("found", lambda x: x["vec_id"] != F.col("query_id"))
     ranked = asked.join(best, "uid").select("query_id", F.posexplode(F.slice(other, 1, k)).alias("at", "x"))
     return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
