@@ -309,9 +309,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
     table gives an empty result. The lists opened hold `WANTED` of the neighbours of the queries measured; that is a
     measured share, not a guarantee for each query. Each query opens lists of more than `k` vectors, where there are so many.
     """
-    rows = stored(usable(vectors, key, vector), "vectors")
+    taken = stored(usable(vectors, key, vector), "vectors")
     digest = [F.xxhash64("v"), F.xxhash64(F.lit(1), "v")]
-    rows = rows.withColumns({"h1": digest[0], "h2": digest[1]})
+    rows = taken.withColumns({"h1": digest[0], "h2": digest[1]})
     heads = rows.groupBy("h1", "h2").agg(F.min("id").alias("uid"))
     within = F.row_number().over(W.partitionBy("h1", "h2").orderBy("id"))
     shown = rows.select("h1", "h2", "id").distinct().withColumn("place", within).filter(F.col("place") <= k + 1)
@@ -384,7 +384,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
     order = [F.desc("score"), F.asc("vec_id")]
     top = pairs.withColumn("place", F.row_number().over(W.partitionBy("uid").orderBy(*order))).filter(F.col("place") <= k + 1)
     best = stored(top.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found")), "vector-found")
-    release(rows, entries, posted, searched, opened, blocks)
+    release(taken, entries, posted, searched, opened, blocks)
     other = F.filter("found", lambda x: x["vec_id"] != F.col("query_id"))
     ranked = asked.join(best, "uid").select("query_id", F.posexplode(F.slice(other, 1, k)).alias("at", "x"))
     return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
