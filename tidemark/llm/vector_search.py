@@ -13,6 +13,9 @@ the wanted share of their true neighbours in the lists as they are, found by the
 are cut into blocks by counts, so no task holds a whole list however many vectors it has; within a block all inner
 products are formed.
 
+A query meets the nearest of its lists first, about the square root of their number. The score of its last result there
+is a floor, exact for the rest: other lists give only what reaches it, so what a query gathers grows with that root.
+
 Equal vectors are one entry that carries the k + 1 smallest ids, which is all that a result can show of them, and equal
 queries are searched once.
 """
@@ -218,7 +221,10 @@ def as_long(queries: np.ndarray, square: float) -> np.ndarray:
 
 
 def open_lists(queries: DataFrame, graph: Graph, square: float, ratio: float, held: np.ndarray, least: int) -> DataFrame:
-    """A row per query (`uid`, `v`) and `list` that it opens: those within `ratio`, and enough to hold `least` entries."""
+    """A row per query (`uid`, `v`) and `list` that it opens: those within `ratio`, and enough to hold `least` entries.
+
+    `first` marks the nearest of them, as many as the square root of their number.
+    """
     shared = queries.sparkSession.sparkContext.broadcast((graph, held))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,9 +233,14 @@ def open_lists(queries: DataFrame, graph: Graph, square: float, ratio: float, he
                 batch = whole.slice(at, 256)
                 own, counts = shared.value
                 row, lists, _ = lists_within(as_long(matrix_of(batch.column(1)), square), own, ratio, counts, least)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(lists.astype(np.int32))], names=["uid", "list"])
+                many = np.bincount(row, minlength=batch.num_rows)
+                begins = np.flatnonzero(np.diff(row, prepend=-1))
+                place = np.arange(len(row)) - np.repeat(begins, many[row[begins]])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row)), pa.array(lists.astype(np.int32)), pa.array(place < np.sqrt(many[row]))], names=["uid", "list", "first"]
+                )
 
-    return queries.select("uid", "v").mapInArrow(work, f"uid {queries.schema['uid'].dataType.simpleString()}, list int")
+    return queries.select("uid", "v").mapInArrow(work, f"uid {queries.schema['uid'].dataType.simpleString()}, list int, first boolean")
 
 
 def true_neighbours(entries: DataFrame, queries: np.ndarray, most: int) -> DataFrame:
@@ -299,53 +310,18 @@ def ratio_needed(entries: DataFrame, queries: DataFrame, posted: DataFrame, grap
     return float("inf")
 
 
-def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The `k` vectors of largest inner product found for each vector whose id is divisible by `every`, itself excepted.
-
-    Columns `query_id`, `rank` (from 1), `vec_id`, `score` (inner product of the original vectors in double precision);
-    equal scores are ordered by smaller id, and with fewer candidates all are returned. Rows with a null id, or whose
-    vector is null, empty, zero, of another length than most, or holds null or non-finite components take no part. Ids
-    should be unique; repeated ones count as one where their vectors are equal. Other columns are not read. An empty
-    table gives an empty result. The lists opened hold `WANTED` of the neighbours of the queries measured; that is a
-    measured share, not a guarantee for each query. Each query opens lists of more than `k` vectors, where there are so many.
-    """
-    taken = stored(usable(vectors, key, vector), "vectors")
-    digest = [F.xxhash64("v"), F.xxhash64(F.lit(1), "v")]
-    rows = taken.withColumns({"h1": digest[0], "h2": digest[1]})
-    heads = rows.groupBy("h1", "h2").agg(F.min("id").alias("uid"))
-    within = F.row_number().over(W.partitionBy("h1", "h2").orderBy("id"))
-    shown = rows.select("h1", "h2", "id").distinct().withColumn("place", within).filter(F.col("place") <= k + 1)
-    held = shown.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    entries = stored(
-        rows.join(heads, ["h1", "h2"]).filter("id = uid").dropDuplicates(["uid"]).join(held, ["h1", "h2"]).select("uid", "v", "ids"), "vector-entries"
-    )
-    asked = stored(rows.filter(F.col("id") % every == 0).join(heads, ["h1", "h2"]).select("uid", F.col("id").alias("query_id")).distinct(), "vector-queries")
-
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    total = entries.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("square")).first()
-    spark, n, longest = vectors.sparkSession, total["n"], total["square"] or 0.0
-    sample = entries.select("uid", "v").orderBy(F.xxhash64("uid"), "uid").limit(SAMPLE).toArrow()
-    points = lengthened(matrix_of(sample.column("v").combine_chunks()), longest) if n else np.zeros((1, 1))
-    lists = min(MOST_LISTS, max(1, n // LIST))
-    graph = build_graph(halve(points, -(-len(points) // lists)))
-
-    posted = stored(assign(entries, graph, longest).join(entries.select("uid", "ids"), "uid"), "vector-lists")
-    searched = stored(entries.select("uid", "v").join(asked.select("uid").distinct(), "uid", "left_semi"), "vector-searched")
-    # at most a row per list; entries at home are counted once
-    held = np.zeros(len(graph.centroids), dtype=np.int64)
-    for r in posted.filter("home").groupBy("list").count().collect():
-        held[r["list"]] = r["count"]
-    ratio = ratio_needed(entries, searched, posted.select("uid", "list"), graph, longest, held, k)
-    opened = stored(open_lists(searched, graph, longest, ratio, held, k + 1), "vector-opened")
+def meet_lists(posted: DataFrame, opened: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """`uid`, `vec_id`, `score` of the best `k` + 1 per query and block of a list, as far as they reach the query's `floor`."""
     # at most a row per list
     sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     wants = opened.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("groups"))
-    blocks = stored(sizes.join(wants, "list"), "vector-plan")
-    plan = F.broadcast(blocks)
+    held = stored(sizes.join(wants, "list"), "vector-plan")
+    plan = F.broadcast(held)
     deal = lambda parts: F.pmod(F.xxhash64("uid"), F.col(parts)).cast("int")
     left = posted.join(plan, "list").select("list", deal("blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"), "uid", "v", "ids")
-    right = opened.join(searched, "uid").join(plan, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), deal("groups").alias("group"), "uid", "v")
-    kind = entries.schema["uid"].dataType.simpleString()
+    asking = opened.join(queries, "uid").join(plan, "list")
+    right = asking.select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), deal("groups").alias("group"), "uid", "v", "floor")
+    kind = queries.schema["uid"].dataType.simpleString()
 
     def meet(stock: pa.Table, queries: pa.Table) -> pa.Table:
         uid, ids, scores = [], [], []
@@ -354,6 +330,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
             q = matrix_of(queries.column("v").combine_chunks())
             names = stock.column("ids").to_pylist()
             least = np.array([i[0] for i in names])
+            lowest = queries.column("floor").to_numpy()
             for at in range(0, len(q), 256):
                 part = q[at : at + 256]
                 rough = part @ x.T
@@ -369,6 +346,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
                         near = np.flatnonzero(rough[i] >= floor[i] - 1e-9 * max(1.0, abs(floor[i])))
                     value = (part[i] * x[near]).sum(axis=1)
                     order = np.lexsort((least[near], -value))[: k + 1]
+                    order = order[value[order] >= lowest[at + i]]
+                    if not len(order):
+                        continue
                     uid.append(queries.column("uid")[at + i].as_py())
                     ids.append([j for o in order for j in names[near[o]]])
                     scores.append([value[o] for o in order for _ in names[near[o]]])
@@ -379,12 +359,59 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id
         .cogroup(right.groupBy("list", "block", "group"))
         .applyInArrow(meet, f"uid {kind}, ids array<{kind}>, scores array<double>")
     )
-    pairs = met.select("uid", F.explode(F.arrays_zip("ids", "scores")).alias("p")).select("uid", F.col("p.ids").alias("vec_id"), F.col("p.scores").alias("score"))
+    return met.select("uid", F.explode(F.arrays_zip("ids", "scores")).alias("p")).select("uid", F.col("p.ids").alias("vec_id"), F.col("p.scores").alias("score"))
+
+
+def nearest(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """The `k` vectors of largest inner product found for each vector whose id is divisible by `every`, itself excepted.
+
+    Columns `query_id`, `rank` (from 1), `vec_id`, `score` (inner product of the original vectors in double precision);
+    equal scores are ordered by smaller id, and with fewer candidates all are returned. Rows with a null id, or whose
+    vector is null, empty, zero, of another length than most, or holds null or non-finite components take no part. Ids
+    should be unique; repeated ones count as one where their vectors are equal. Other columns are not read. An empty
+    table gives an empty result. The lists opened hold `WANTED` of the neighbours of the queries measured; that is a
+    measured share, not a guarantee for each query. Each query opens lists of more than `k` vectors, where there are so many.
+    """
+    taken = stored(usable(vectors, key, vector), "vectors")
+    digest = [F.xxhash64("v"), F.xxhash64(F.lit(1), "v")]
+    rows = taken.withColumns({"h1": digest[0], "h2": digest[1]})
+    heads = rows.groupBy("h1", "h2").agg(F.min("id").alias("uid"))
+    within = F.row_number().over(W.partitionBy("h1", "h2").orderBy("id"))
+    shown = rows.select("h1", "h2", "id").distinct().withColumn("place", within).filter(F.col("place") <= k + 1)
+    held = shown.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    entries = stored(
+        rows.join(heads, ["h1", "h2"]).filter("id = uid").dropDuplicates(["uid"]).join(held, ["h1", "h2"]).select("uid", "v", "ids"), "vector-entries"
+    )
+    asked = stored(rows.filter(F.col("id") % every == 0).join(heads, ["h1", "h2"]).select("uid", F.col("id").alias("query_id")).distinct(), "vector-queries")
+
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    total = entries.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("square")).first()
+    n, longest = total["n"], total["square"] or 0.0
+    sample = entries.select("uid", "v").orderBy(F.xxhash64("uid"), "uid").limit(SAMPLE).toArrow()
+    points = lengthened(matrix_of(sample.column("v").combine_chunks()), longest) if n else np.zeros((1, 1))
+    lists = min(MOST_LISTS, max(1, n // LIST))
+    graph = build_graph(halve(points, -(-len(points) // lists)))
+
+    posted = stored(assign(entries, graph, longest).join(entries.select("uid", "ids"), "uid"), "vector-lists")
+    searched = stored(entries.select("uid", "v").join(asked.select("uid").distinct(), "uid", "left_semi"), "vector-searched")
+    # at most a row per list; entries at home are counted once
+    held = np.zeros(len(graph.centroids), dtype=np.int64)
+    for r in posted.filter("home").groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
+    ratio = ratio_needed(entries, searched, posted.select("uid", "list"), graph, longest, held, k)
+    opened = stored(open_lists(searched, graph, longest, ratio, held, k + 1), "vector-opened")
+    early = opened.filter("first")
+    begun = stored(meet_lists(posted, early, searched.withColumn("floor", F.lit(float("-inf"))), k), "vector-begun")
+    nth = F.row_number().over(W.partitionBy("uid").orderBy(F.desc("score"), "vec_id"))
+    first = begun.groupBy("uid", "vec_id").agg(F.max("score").alias("score")).withColumn("place", nth)
+    floors = first.filter(F.col("place") == k + 1).select("uid", F.col("score").alias("floor"))
+    floored = searched.join(floors, "uid", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    pairs = begun.unionByName(meet_lists(posted, opened.filter("not first"), floored, k))
     pairs = pairs.groupBy("uid", "vec_id").agg(F.max("score").alias("score"))
     order = [F.desc("score"), F.asc("vec_id")]
     top = pairs.withColumn("place", F.row_number().over(W.partitionBy("uid").orderBy(*order))).filter(F.col("place") <= k + 1)
     best = stored(top.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found")), "vector-found")
-    release(taken, entries, posted, searched, opened, blocks)
+    release(taken, entries, posted, searched, opened, begun)
     other = F.filter("found", lambda x: x["vec_id"] != F.col("query_id"))
     ranked = asked.join(best, "uid").select("query_id", F.posexplode(F.slice(other, 1, k)).alias("at", "x"))
     return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
