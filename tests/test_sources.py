@@ -1,4 +1,5 @@
-from datetime import datetime
+import threading
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 from samples import CONFIG, SCHEMA, SETTINGS, customers
 from tidemark import session
 from tidemark.config import load
-from tidemark.sources import feature_table, registry, run_log, scored_log
+from tidemark.sources import feature_table, records, registry, run_log, scored_log
 from tidemark.sources.registry import AliasNotFound, Registry
 from tidemark.sources.tables import find_tables, load_csv, load_csv_table, read_table, use_database, user_database
 
@@ -163,6 +164,48 @@ def test_versions_aliases_and_rollback(spark, database):
     assert store.version_of("m", "champion") == 1 and store.version_of("m", "serving") == 4
 
 
+def test_two_jobs_register_at_once(spark, database):
+    """Two registries of one prefix, each in a thread: 100 versions without gaps, and 20 runs logged beside them."""
+    prefix = f"{database}.m"
+    given = {}
+
+    def register(job):
+        store = Registry(spark, prefix)
+        given[job] = [store.register("m", f"{job}-{i}") for i in range(50)]
+        for i in range(10):
+            log(spark, prefix, f"{job}-{i}", i / 10)
+
+    jobs = [threading.Thread(target=register, args=(name,)) for name in ("a", "b")]
+    for job in jobs:
+        job.start()
+    for job in jobs:
+        job.join()
+    assert sorted(given["a"] + given["b"]) == list(range(1, 101))
+    kept = {r.version: r.run_id for r in Registry(spark, prefix)._table("versions").collect()}
+    assert all(kept[v] == f"{job}-{i}" for job, own in given.items() for i, v in enumerate(own)) and len(kept) == 100
+    runs, metrics = run_log.run_tables(spark, prefix)
+    assert runs.count() == metrics.count() == 20
+    assert run_log.require_best_run(spark, prefix)[0] == "a-9"
+
+
+def test_records_keep_values_and_refuse_taken_names(spark, database):
+    name, schema = f"{database}.kept", "k string, at timestamp, x double, n int"
+    assert records.read(spark, name, schema).count() == 0
+    at = datetime(2026, 3, 1, 12, 30, 15, 123456, timezone.utc)
+    rows = [("é\n\"", at, 0.1 + 0.2, 7), (None, None, None, None), ("nan", at, float("nan"), -1)]
+    assert records.publish(spark, name, schema, rows, "one")
+    opened = records.read(spark, name, schema)
+    assert not records.publish(spark, name, schema, [("other", at, 1.0, 1)], "one")
+    assert records.publish(spark, name, schema, [("two", at, 1e300, 2)])
+    found = {r.k: r for r in records.read(spark, name, schema).collect()}
+    assert found["é\n\""].x == 0.1 + 0.2 and found["é\n\""]["at"].astimezone(timezone.utc) == at
+    assert found[None].x is None and found["nan"].x != found["nan"].x and found["two"].x == 1e300 and len(found) == 4
+    assert opened.columns == ["k", "at", "x", "n"]
+    spark.range(1).write.saveAsTable(f"{database}.parquet_table")
+    with pytest.raises(ValueError, match="not of records"):
+        records.publish(spark, f"{database}.parquet_table", "id long", [(1,)])
+
+
 def test_latest_alias_is_limited_before_the_shuffle(spark):
     df = spark.createDataFrame([], registry.ALIASES)
     many = spark.range(1000).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -216,6 +218,30 @@ def rollback(spark: SparkSession, sf: str) -> DataFrame:
     return registry.rollback_targets(registry_rows(spark, sf)[0])
 
 
+@query(
+    "q_registered_versions",
+    """SELECT event_type AS name, count(*) AS n_versions, 1 AS first_version, CAST(count(*) AS INTEGER) AS last_version,
+         count(*) AS n_runs, max(d) AS champion_run
+       FROM (SELECT DISTINCT event_type, strftime(ts, '%Y-%m-%d') AS d FROM events) GROUP BY 1""",
+)
+def registered_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A model per event type with a run per day, registered by jobs at a time: numbers without gaps, read back."""
+    days = table(spark, sf, "events").select("event_type", F.date_format("ts", "yyyy-MM-dd").alias("d")).distinct()
+    wanted = [tuple(r) for r in days.orderBy("d", "event_type").collect()]
+    store = registry.Registry(spark, f"{scratch_database(spark)}.m")
+    with ThreadPoolExecutor(8) as jobs:
+        held = dict(zip(wanted, jobs.map(lambda r: store.register(*r), wanted), strict=True))
+    for name, day in {name: day for name, day in wanted}.items():
+        store.set_alias(name, registry.CHAMPION, held[name, day])
+    versions, aliases = store._table("versions"), registry.latest_aliases(store._table("aliases"))
+    champions = aliases.join(versions, ["name", "version"]).select("name", F.col("run_id").alias("champion_run"))
+    counted = versions.groupBy("name").agg(
+        F.count("*").alias("n_versions"), F.min("version").alias("first_version"), F.max("version").alias("last_version"),
+        F.countDistinct("run_id").alias("n_runs"),
+    )
+    return counted.join(champions, "name")
+
+
 @query(
     "q_gate",
     f"""{_S}, a AS (SELECT f1, recall FROM ({confusion_sql('s', 'prob_challenger')})),

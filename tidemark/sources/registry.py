@@ -1,13 +1,16 @@
-"""Model versions and aliases as append-only tables, and saved pipelines."""
+"""Model versions and aliases as append-only tables of records, and saved pipelines."""
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources import records, run_log
+
 VERSIONS = "name string, version int, run_id string, created_at timestamp"
 ALIASES = "name string, alias string, version int, set_at timestamp"
 CHAMPION, SERVING = "champion", "serving"
@@ -71,25 +74,25 @@ class Registry:
         self.spark, self.prefix = spark, prefix
 
     def _table(self, kind: str) -> DataFrame:
-        name = f"{self.prefix}_{kind}"
-        if self.spark.catalog.tableExists(name):
-            return self.spark.table(name)
-        return self.spark.createDataFrame([], VERSIONS if kind == "versions" else ALIASES)
-
-    def _append(self, kind: str, row: tuple) -> None:
-        schema = VERSIONS if kind == "versions" else ALIASES
-        rows = self.spark.createDataFrame([row], schema)
-        rows.coalesce(1).write.mode("append").format("parquet").saveAsTable(f"{self.prefix}_{kind}")
+        return records.read(self.spark, f"{self.prefix}_{kind}", VERSIONS if kind == "versions" else ALIASES)
 
     def register(self, name: str, run_id: str) -> int:
-        """A new version of the model, one above the highest."""
-        known = self._table("versions").where(F.col("name") == name)
-        version = (known.agg(F.max("version")).first()[0] or 0) + 1
-        self._append("versions", (name, version, run_id, datetime.now(timezone.utc)))
-        return version
+        """A new version of the model, one above the highest.
+
+        The number is claimed by the name of the record's file, which only one writer can give; a writer that comes
+        second takes the next number. So any number of jobs may register at once, and numbers have no gaps.
+        """
+        table, model = f"{self.prefix}_versions", hashlib.sha256(name.encode("utf-8")).hexdigest()[:32]
+        place = records.folder(self.spark, table, VERSIONS)
+        while True:
+            taken = records.names(self.spark, place, f"{model}-")
+            version = max((int(n.removesuffix(".json").rpartition("-")[2]) for n in taken), default=0) + 1
+            row = (name, version, run_id, datetime.now(timezone.utc))
+            if records.publish(self.spark, table, VERSIONS, [row], f"{model}-{version}", place):
+                return version
 
     def set_alias(self, name: str, alias: str, version: int) -> None:
-        self._append("aliases", (name, alias, version, datetime.now(timezone.utc)))
+        records.publish(self.spark, f"{self.prefix}_aliases", ALIASES, [(name, alias, version, datetime.now(timezone.utc))])
 
     def version_of(self, name: str, alias: str) -> int:
         row = latest_aliases(
@@ -104,7 +107,7 @@ class Registry:
         found = (
             self._table("versions")
             .where((F.col("name") == name) & (F.col("version") == version))
-            .join(self.spark.table(f"{self.prefix}_runs"), "run_id")
+            .join(records.read(self.spark, f"{self.prefix}_runs", run_log.RUNS), "run_id")
             .select("model_path")
             .first()
         )

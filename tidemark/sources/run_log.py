@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import records
+
 RUNS = (
     "run_id string, batch_id string, model_type string, status string, started_at timestamp, model_path string"
 )
@@ -18,7 +20,7 @@ FINISHED = "FINISHED"
 
 def _append(spark: SparkSession, rows: list[tuple], schema: str, name: str) -> None:
     if rows:
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").format("parquet").saveAsTable(name)
+        records.publish(spark, name, schema, rows)
 
 
 def log_run(
@@ -70,8 +72,8 @@ def require_best_run(
     """Run id, model type and metrics of the best run; ValueError without a run log or a finished run."""
     if not spark.catalog.tableExists(f"{prefix}_runs"):
         raise ValueError(f"Run log not found: {prefix}_runs")
-    metrics = spark.table(f"{prefix}_run_metrics")
-    row = best_run(spark.table(f"{prefix}_runs"), metrics, metric, batch_id).first()
+    runs, metrics = run_tables(spark, prefix)
+    row = best_run(runs, metrics, metric, batch_id).first()
     if row is None:
         raise ValueError(f"{prefix}_runs has no run that ended well")
     values = metrics.where(F.col("run_id") == row.run_id).select("name", "value").collect()
@@ -93,4 +95,5 @@ def compare_models(runs: DataFrame, metrics: DataFrame, names: list[str]) -> Dat
 
 
 def run_tables(spark: SparkSession, prefix: str) -> tuple[DataFrame, DataFrame]:
-    return spark.table(f"{prefix}_runs"), spark.table(f"{prefix}_run_metrics")
+    """Runs and metrics logged so far, by any session."""
+    return records.read(spark, f"{prefix}_runs", RUNS), records.read(spark, f"{prefix}_run_metrics", METRICS)
