@@ -248,6 +248,35 @@ def test_a_hot_key_is_split_in_a_lookup(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_a_hot_key_is_spread_over_a_bucketed_table(spark, database, monkeypatch, wide):
+    """Half of the rows have one key and a tenth none: no task holds more than twice the median, buckets stay put."""
+    if wide:
+        monkeypatch.setattr(feature_table, "MOST_HOT_BYTES", -1)
+    name, number = f"{database}.parts", F.col("id")
+    features = spark.range(0, 60_000, 2).select(F.col("id").alias("k"), (F.col("id") * 3).alias("f"))
+    feature_table.create(features, name, "k", buckets=8)
+    key = F.when(number % 2 == 0, 10).when(number % 10 != 1, number)
+    labels = spark.range(0, 80_000, 1, 8).select(key.alias("k"), number.alias("label"))
+    assert feature_table.frequent_keys(labels, "k", 1 / 32) == [10]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = feature_table.lookup_spread(labels, spark.table(name), "k", tasks=8)
+        plan = plan_of(found)
+        wanted = {(label, k, 3 * k if k is not None and k % 2 == 0 and k < 60_000 else None) for k, label in labels.collect()}
+        assert {(r.label, r.k, r.f) for r in found.collect()} == wanted and found.count() == len(wanted)
+        if not wide:
+            assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+            held = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+            assert held[-1] <= 2 * held[len(held) // 2]
+        assert feature_table.lookup_spread(labels, spark.table(name), "k", exclude=("k",), tasks=8).columns == ["label", "f"]
+        nothing = feature_table.lookup_spread(labels.where("k is null"), spark.table(name), "k")
+        assert nothing.count() == 8_000 and nothing.where("f is not null").count() == 0
+        assert feature_table.lookup_spread(labels.limit(0), spark.table(name), "k").collect() == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_log_refuses_what_its_type_cannot_hold(spark, database):
     name = f"{database}.typed_log"
     row = lambda v, kind: spark.sql(f"SELECT CAST({v} AS {kind}) AS V, TIMESTAMP'2026-01-01' AS inference_ts")

@@ -149,6 +149,25 @@ def feature_lookup_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return feature_table.lookup(labels, docs, "doc_id", exclude=("doc_id",))
 
 
+@query(
+    "q_hot_lookup",
+    """SELECT k, l_returnflag, p_brand, p_size, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM (
+         SELECT CASE WHEN l_linenumber % 2 = 1 THEN 7 WHEN l_linenumber < 6 THEN 2 * l_partkey END AS k, l_returnflag, l_quantity
+         FROM lineitem) LEFT JOIN part ON k = p_partkey GROUP BY ALL""",
+)
+def hot_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines in the role of labels: half of them ask for one part, some for none, and some for parts there are not."""
+    name = f"{scratch_database(spark)}.parts"
+    feature_table.create(table(spark, sf, "part").select(F.col("p_partkey").alias("k"), "p_brand", "p_size"), name, "k", buckets=8)
+    number, part = F.col("l_linenumber"), F.col("l_partkey")
+    asked = F.when(number % 2 == 1, 7).when(number < 6, 2 * part).cast(spark.table(name).schema["k"].dataType)
+    lines = table(spark, sf, "lineitem").select(asked.alias("k"), "l_returnflag", "l_quantity")
+    found = feature_table.lookup_spread(lines, spark.table(name), "k", tasks=8)
+    return found.groupBy("k", "l_returnflag", "p_brand", "p_size").agg(
+        F.count("*").alias("n"), F.sum("l_quantity").cast("double").alias("quantity")
+    )
+
+
 @query(
     "q_combine_training",
     f"""{_C} SELECT lapsed, NULL AS batch, count(*) AS n FROM c GROUP BY 1

@@ -7,6 +7,7 @@ upsert nor a lookup shuffles the stored side.
 
 from __future__ import annotations
 
+import math
 import re
 import time
 
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 SUPERSEDED = "tidemark.superseded"
 
 
+#: Bytes that the feature rows of frequent keys may have to be sent to all tasks.
+MOST_HOT_BYTES = 32 << 20
+
+
 class KeyViolation(ValueError):
     """The key of a feature table is null or repeated."""
 
@@ -171,3 +176,35 @@ def lookup(rows: DataFrame, features: DataFrame, key: str, exclude: tuple[str, .
     shuffle partition on the left of a left join, which adaptive execution splits.
     """
     return rows.join(features, key, "left").drop(*exclude)
+
+
+def frequent_keys(rows: DataFrame, key: str, share: float) -> list:
+    """Keys that hold about `share` of the rows or more, at most 1 / `share` of them, from summaries merged over tasks.
+
+    Summaries hold a bounded number of keys and their counts are estimates: a key near the limit may be in or out.
+    """
+    most = math.ceil(1 / share)
+    summary = F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(min(16 * most, 1_000_000)))
+    found = rows.where(F.col(key).isNotNull()).agg(summary.alias("top"), F.count("*").alias("n")).first()
+    return [t["item"] for t in found.top if t["count"] >= share * found.n]
+
+
+def lookup_spread(rows: DataFrame, features: DataFrame, key: str, exclude: tuple[str, ...] = (), tasks: int | None = None) -> DataFrame:
+    """As `lookup`, for rows of which a few keys may hold most, and for features bucketed by the key too.
+
+    Adaptive execution does not cut the buckets of a stored side. So rows of frequent keys, a quarter of a task's share or
+    more each with `tasks` tasks (shuffle partitions by default), stay where they are and get copies of the few feature
+    rows of those keys; the others go to the buckets. Rows without a key stay as well. Feature rows too wide for copies
+    are joined by a shuffle, which adaptive execution cuts. `rows` is read twice and has to be the same both times. Which
+    keys count as frequent changes where rows go, never the result.
+    """
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = frequent_keys(rows, key, 1 / (4 * tasks))
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    copies = features.where(is_hot)
+    size = copies.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("n")).first().n if hot else 0
+    if (size or 0) <= MOST_HOT_BYTES:
+        copies = F.broadcast(copies)
+    stays = F.col(key).isNull() | is_hot
+    spread = lookup(rows.where(stays), copies, key)
+    return spread.unionByName(lookup(rows.where(~stays), features, key)).drop(*exclude)
