@@ -75,6 +75,18 @@ def test_training_needs_a_target(spark):
         TrainingSet(customers(spark, 10).drop("Churn"), CONFIG)
 
 
+def test_fitting_tasks_follow_the_rows(spark):
+    for rows, wanted in ((100, 3), (1000, 1), (30, 8)):
+        training = TrainingSet(customers(spark, 300).repartition(8), CONFIG.with_(fit_partitions=None, fit_rows=rows))
+        try:
+            assert training.fitting_tasks == wanted and training.train.rdd.getNumPartitions() <= wanted
+            assert training.train.count() == 240
+        finally:
+            training.close()
+    assert models.fitting_tasks(spark.range(9), CONFIG.with_(fit_partitions=None)) is None
+    assert models.fitting_tasks(spark.range(0), CONFIG.with_(fit_partitions=None, fit_rows=5)) == 1
+
+
 def test_grid_points():
     grid = {"a": [1, 2], "b": ["x"], "c": [None, 5]}
     assert models.first_values(grid) == {"a": 1, "b": "x", "c": None}

@@ -51,6 +51,12 @@ def test_databases_and_discovery(spark, database):
     spark.range(1).write.saveAsTable(f"{other}.{name}_2")
     found, failed = find_tables(spark, name)
     assert set(found) == {f"`{database}`.`{name}`", f"`{other}`.`{name}`"} and failed == []
+    spark.conf.set("spark.sql.catalog.gone", "no.such.Catalog")
+    try:
+        still, failed = find_tables(spark, name)
+    finally:
+        spark.conf.unset("spark.sql.catalog.gone")
+    assert still == found and [place for place, _ in failed] == ["gone"]
     spark.sql(f"DROP DATABASE {other} CASCADE")
     assert user_database(spark)
 

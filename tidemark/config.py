@@ -59,6 +59,8 @@ class Config:
     log_suffix: str = "inference_log"
     baseline_table: str | None = None
     fit_partitions: int | None = None
+    #: Rows that a fitting task should have at least, where `fit_partitions` names no number of tasks.
+    fit_rows: int | None = None
     #: Categories of a column that an encoder may bring to the driver.
     most_categories: int = 100_000
 
@@ -101,6 +103,7 @@ def from_mapping(raw: dict[str, Any], **overrides: Any) -> Config:
         "log_suffix": monitoring.get("inference_table_suffix", "inference_log"),
         "baseline_table": monitoring.get("baseline_table"),
         "fit_partitions": training.get("fit_partitions"),
+        "fit_rows": training.get("fit_rows"),
     }
     return Config(**{**settings, **overrides})
 

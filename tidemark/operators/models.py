@@ -126,12 +126,22 @@ def _keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _for_fitting(df: DataFrame, config: Config) -> DataFrame:
-    """The rows in the number of partitions that the settings name, as they are if they name none.
+def fitting_tasks(df: DataFrame, config: Config) -> int | None:
+    """Tasks that a fit on these rows gets at most: the number named, or as many as hold `fit_rows` rows each.
+
+    So the number follows the table and not the cluster, and a fit can be repeated elsewhere. None leaves it to Spark.
+    """
+    if config.fit_partitions or not config.fit_rows:
+        return config.fit_partitions
+    return max(1, -(-df.count() // config.fit_rows))
+
+
+def _for_fitting(df: DataFrame, tasks: int | None) -> DataFrame:
+    """The rows in at most so many partitions, merged without a shuffle.
 
     Forest and boosting draw their samples per partition, so the number belongs to the fit and is logged with it.
     """
-    return df.coalesce(config.fit_partitions) if config.fit_partitions else df
+    return df.coalesce(tasks) if tasks else df
 
 
 def _training_columns(df: DataFrame, config: Config) -> DataFrame:
@@ -152,7 +162,9 @@ class TrainingSet:
             marked = mark_share(rows, config.key, config.test_size, config.seed, F.col(LABEL))
             self.encoder = TableEncoder(config).fit(marked.where(~F.col("is_test")))
             self.encoded = _keep(self.encoder.transform(marked).select(FEATURES, LABEL, "is_test"))
-            self.train = _for_fitting(self.encoded.where(~F.col("is_test")), config)
+            train = self.encoded.where(~F.col("is_test"))
+            self.fitting_tasks = fitting_tasks(train, config)
+            self.train = _for_fitting(train, self.fitting_tasks)
         finally:
             rows.unpersist()
 
@@ -205,7 +217,7 @@ def train_model(
             "model_type": model_type,
             "test_size": data.config.test_size,
             "random_state": data.config.seed,
-            "fit_partitions": data.config.fit_partitions,
+            "fit_partitions": data.fitting_tasks,
             # a depth without limit is fitted with the deepest there is
             **{f"clf_{k}": MAX_TREE_DEPTH if k == "max_depth" and v is None else v for k, v in classifier.hyper.items()},
         }
@@ -267,7 +279,7 @@ def grid_search(df: DataFrame, config: Config, model_type: str) -> DataFrame:
             encoder = TableEncoder(config).fit(folded.where(~held))
             encoded = _keep(encoder.transform(folded).select(FEATURES, LABEL, "fold"))
             try:
-                train = _for_fitting(encoded.where(~held), config)
+                train = _for_fitting(encoded.where(~held), fitting_tasks(encoded.where(~held), config))
 
                 def measure(i: int, train: DataFrame = train, encoded: DataFrame = encoded, held: Column = held) -> float | None:
                     fitted = make_classifier(model_type, config, points[i]).fit(train)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +23,7 @@ from tidemark.plans.subjects import (
     table,
 )
 from tidemark.session import scratch_path
-from tidemark.sources.tables import load_csv, read_table
+from tidemark.sources.tables import find_tables, load_csv, read_table, use_database
 
 _C = f"WITH c AS ({customers_sql()})"
 
@@ -41,6 +44,27 @@ def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "q_found_tables",
+    """SELECT o_orderpriority AS priority, count(*) AS n, min(o_orderkey) AS first_key FROM orders GROUP BY 1""",
+)
+def found_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders kept in a database per priority, each made current and left again; then found by table name and read."""
+    name, before = f"orders_{uuid.uuid4().hex[:12]}", spark.catalog.currentDatabase()
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    try:
+        for row in orders.select("o_orderpriority").distinct().collect():
+            use_database(spark, database := f"{name}_{uuid.uuid4().hex[:8]}", scratch_path(spark, database))
+            orders.where(F.col("o_orderpriority").eqNullSafe(F.lit(row[0]))).write.saveAsTable(name)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    places, _ = find_tables(spark, name)
+    kept = reduce(DataFrame.unionByName, [spark.table(place) for place in places]) if places else orders
+    return kept.groupBy(F.col("o_orderpriority").alias("priority")).agg(
+        F.count("*").alias("n"), F.min("o_orderkey").alias("first_key")
+    )
+
+
 @query("q_target_counts", f'{_C} SELECT lapsed, count(*) AS "count" FROM c GROUP BY 1')
 def target_counts(spark: SparkSession, sf: str) -> DataFrame:
     return explore.counts_by(customers(spark, sf), "lapsed")

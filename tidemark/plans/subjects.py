@@ -14,6 +14,8 @@ CUTOFF = "2001-01-01"
 EARLIER_CUTOFF = "2000-01-01"
 BASELINE_END = "2024-01-16"
 SHIFT_START = "2024-01-24"
+#: Rows of a fitting task, so that the tasks of a fit grow with its table.
+FIT_ROWS = 5_000
 
 CUSTOMERS = Config(
     key="c_custkey",
@@ -25,7 +27,7 @@ CUSTOMERS = Config(
     rate_bounds=(0.10, 0.60),
     null_rate_columns=("n_orders", "acctbal"),
     model_name="lapse_classifier",
-    fit_partitions=2,
+    fit_rows=FIT_ROWS,
 )
 
 DOCUMENTS = Config(
@@ -36,7 +38,7 @@ DOCUMENTS = Config(
     numeric=("n_chars",),
     categorical=("lang", "source"),
     model_name="quality_classifier",
-    fit_partitions=2,
+    fit_rows=FIT_ROWS,
 )
 
 EVENTS = Config(
@@ -46,7 +48,7 @@ EVENTS = Config(
     numeric=("amount",),
     categorical=("event_type",),
     model_name="event_classifier",
-    fit_partitions=2,
+    fit_rows=FIT_ROWS,
 )
 
 

@@ -61,14 +61,32 @@ def user_database(spark: SparkSession) -> str:
     return spark.range(1).select(identifier(F.current_user())).first()[0]
 
 
+def catalog_names(spark: SparkSession) -> list[str]:
+    """Catalogs that the session has loaded, and those that its settings name."""
+    prefix = "spark.sql.catalog."
+    named = {k.removeprefix(prefix) for k in spark.conf.getAll if k.startswith(prefix)}
+    return sorted({c.name for c in spark.catalog.listCatalogs()} | {n for n in named if "." not in n})
+
+
 def find_tables(spark: SparkSession, name: str) -> tuple[list[str], list[tuple[str, str]]]:
-    """Qualified names of tables called `name` in any database, and databases that could not be listed."""
+    """Qualified names of tables called `name` in any database of any catalog, and places that could not be listed.
+
+    Names are led by their catalog unless it is the current one. One unreadable place hides no other.
+    """
     found, failed = [], []
-    for database in spark.catalog.listDatabases():
+    current = spark.catalog.currentCatalog()
+    for catalog in catalog_names(spark):
+        lead = "" if catalog == current else f"`{catalog}`."
         try:
-            for table in spark.catalog.listTables(database.name, name):
-                if not table.isTemporary and table.name == name:
-                    found.append(f"`{database.name}`.`{name}`")
-        except Exception as error:  # one unreadable database must not hide the others
-            failed.append((database.name, str(error)))
+            databases = [r[0] for r in spark.sql(f"SHOW DATABASES IN `{catalog}`").collect()]
+        except Exception as error:
+            failed.append((catalog, str(error)))
+            continue
+        for database in databases:
+            try:
+                listed = spark.sql(f"SHOW TABLES IN `{catalog}`.`{database}` LIKE '{name}'").collect()
+            except Exception as error:
+                failed.append((f"{lead}{database}" if lead else database, str(error)))
+                continue
+            found += [f"{lead}`{database}`.`{name}`" for r in listed if r.tableName == name and not getattr(r, "isTemporary", False)]
     return sorted(found), failed
