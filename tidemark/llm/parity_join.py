@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrow_text import NOT_SPACE, flat_texts, list_array, lower_ascii, mix, run_hashes, short_batches, slices, span_hashes, word_spans
-from tidemark.llm.bitmaps import bitmap_of, hits
+from tidemark.llm.bitmaps import hits_sized, sized_bitmap
 from tidemark.llm.common import fresh_name, release, stored, with_row_key
 from tidemark.llm.components import components
 
@@ -232,35 +232,65 @@ def shared_buckets(signs: DataFrame) -> DataFrame:
     return signs.repartition("sign").sortWithinPartitions("sign", "c").mapInArrow(work, "sign long, c long, first long")
 
 
+def only_marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of `rid` whose `rid` is in `wanted`, and by chance some others: a bitmap sorts them out before any shuffle."""
+    marks = wanted.select(F.xxhash64("rid").alias("mark"))
+    shared = rows.sparkSession.sparkContext.broadcast(sized_bitmap(marks, "mark", marks.count()))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            last = batch.num_columns - 1
+            kept = batch.filter(pa.array(hits_sized(shared.value, batch.column(last).to_numpy().view(np.uint64))))
+            if kept.num_rows:
+                yield kept.select(range(last))
+
+    return rows.withColumn("mark", F.xxhash64("rid")).mapInArrow(work, rows.schema)
+
+
 def sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """`rid`, `shingles` and `sketch` of the rows of `rid`, `text` whose `rid` is in `wanted`."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap_of(wanted, "rid"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            for part in short_batches([batch.filter(pa.array(hits(bits, batch.column(0).to_numpy())))], 1):
-                data, marks = flat_texts(part.column(1))
-                for first, last in slices(marks):
-                    owner, value = shingle_sets(data[marks[first] : marks[last]], marks[first : last + 1] - marks[first], words)
-                    n = last - first
-                    lists = list_array(_signed(value), np.bincount(owner, minlength=n), pa.int64())
-                    sketches = list_array(bit_sketches(owner, value, n).ravel(), np.full(n, SKETCH), pa.int64())
-                    yield pa.RecordBatch.from_arrays([part.column(0).slice(first, n), lists, sketches], names=["rid", "shingles", "sketch"])
+        for part in short_batches(batches, 1):
+            data, marks = flat_texts(part.column(1))
+            for first, last in slices(marks):
+                owner, value = shingle_sets(data[marks[first] : marks[last]], marks[first : last + 1] - marks[first], words)
+                n = last - first
+                lists = list_array(_signed(value), np.bincount(owner, minlength=n), pa.int64())
+                sketches = list_array(bit_sketches(owner, value, n).ravel(), np.full(n, SKETCH), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).slice(first, n), lists, sketches], names=["rid", "shingles", "sketch"])
 
-    return rows.mapInArrow(work, "rid long, shingles array<long>, sketch array<long>").join(wanted.select("rid"), "rid", "left_semi")
+    found = only_marked(rows, wanted).mapInArrow(work, "rid long, shingles array<long>, sketch array<long>")
+    return found.join(wanted.select("rid"), "rid", "left_semi")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
-    """The pairs `u`, `v` whose sets have a similarity of at least `per_cent` %, exactly."""
-    left = sets.select(F.col("rid").alias("u"), F.col("shingles").alias("su"))
-    right = sets.select(F.col("rid").alias("v"), F.col("shingles").alias("sv"))
+    """The pairs `u`, `v` of a stored table whose sets have a similarity of at least `per_cent` %, exactly."""
+    met = pairs.select(F.explode(F.array("u", "v")).alias("rid")).distinct()
+    held = only_marked(sets.select("rid", "shingles"), stored(met, "parity-met"))
+    left = held.select(F.col("rid").alias("u"), F.col("shingles").alias("su"))
+    right = held.select(F.col("rid").alias("v"), F.col("shingles").alias("sv"))
     both = F.size(F.array_intersect("su", "sv"))
     # pairs grow with the sets, so the joins are the same at every size
     found = pairs.select("u", "v").hint("merge").join(left, "u").hint("merge").join(right, "v").select("u", "v", both.alias("k"), (F.size("su") + F.size("sv")).alias("s"))
     return found.filter(100 * F.col("k") >= per_cent * (F.col("s") - F.col("k"))).select("u", "v")
 
 
+def lead_links(tried: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Links among the stored pairs `u`, `v`, `shared`: enough of them to give the components of all.
+
+    Each class is held against the lead that it shares most buckets with; of the other pairs, only those whose classes
+    are not in one component by then. Sets are sent once per pair, so copies of copies are not sent once per lead.
+    """
+    best = tried.groupBy("u").agg(F.max(F.struct("shared", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
+    near = stored(linked(stored(best, "parity-best"), sets, per_cent), "parity-links")
+    part = components(near)
+    of = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"p{x}"))
+    apart = tried.select("u", "v").join(best, ["u", "v"], "left_anti").join(of("u"), "u", "left").join(of("v"), "v", "left")
+    rest = stored(apart.filter(F.coalesce("pu", "u") != F.coalesce("pv", "v")).select("u", "v"), "parity-rest")
+    return stored(near.union(linked(rest, sets, per_cent)), "parity-links")
+
+
 def sizes_fit(small: str, large: str, per_cent: int) -> Column:
     return F.least(small, large) * 100 >= F.greatest(small, large) * per_cent
 
@@ -286,15 +316,19 @@ def component_rows(rows: DataFrame, words: int = WORDS, per_cent: int = PER_CENT
 
     # every class against the classes that lead its buckets, as far as their sketches allow
     known = wanted.join(sets.select("rid", "sketch"), "rid")
-    leads = buckets.filter("c != first").select("c", "first").distinct()
-    tried = (
+    leads = buckets.filter("c != first").groupBy("c", "first").agg(F.count(F.lit(1)).alias("shared"))
+    tried = stored(
         leads.join(known.select("c", F.col("rid").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("ku")), "c")
         .join(known.select(F.col("c").alias("first"), F.col("rid").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("kv")), "first")
         .filter(sizes_fit("nu", "nv", per_cent) & sketches_allow(per_cent))
+        .select("u", "v", "shared"),
+        "parity-tried",
     )
-    links = stored(linked(tried, sets, per_cent), "parity-links")
-    more = stored(linked(open_pairs(buckets, wanted, sets, components(links), per_cent), sets, per_cent), "parity-links")
-    release(buckets, sets)
+    links = lead_links(tried, sets, per_cent)
+    still = stored(open_pairs(buckets, wanted, sets, components(links), per_cent), "parity-pairs")
+    release(buckets)
+    more = stored(linked(still, sets, per_cent), "parity-links")
+    release(sets, tried, still)
     final = components(links.union(more))
 
     placed = classes.join(final, classes["rid"] == final["node"], "left").select("c", "h", "n", "rid", "least", "component")
