@@ -242,6 +242,42 @@ def test_benchmark_items_are_found_with_edits_and_clean_texts_are_not(spark, tmp
     assert without_items(docs, benchmark.limit(0)).count() == len(rows)
 
 
+def test_fragments_short_items_and_capitals_of_any_script_are_found(spark, tmp_path):
+    chance = random.Random(8)
+    word = lambda letters="aeioumnprst": "".join(chance.choice(letters) for _ in range(chance.randint(2, 8)))
+    text = lambda n, *a: " ".join(word(*a) for _ in range(n))
+    wide = text(30, "абвгдежзиклмнопрст")
+    items = [(1, text(60)), (2, text(26)[:140].strip()), (3, "when was zurich founded"), (4, wide), (5, "short one")]
+    rows, wanted = [], set()
+    for item in (0, 1):
+        whole = items[item][1]
+        for at in range(len(whole) - 96 + 1):
+            # a fragment from any place on, with other words around
+            rows.append((len(rows), f"{text(6, 'bcdfg')} {whole[at : at + 96]} {text(6, 'bcdfg')}"))
+            wanted.add((rows[-1][0], item + 1))
+    planted = [
+        ("He asked: When was ZURICH founded?", 3),
+        ("when was zurich foundede", None),
+        ("forwhen was zurich founded", None),
+        ("when was zurich found", None),
+        ("İİ K " + wide.upper() + " İ", 4),
+        ("a short one", None),
+        ("ÄÖÜ when\n\nwas, zurich founded", 3),
+    ]
+    for body, item in planted:
+        rows.append((len(rows), body))
+        if item:
+            wanted.add((rows[-1][0], item))
+    docs = store(spark, tmp_path, rows, "doc_id long, text string")
+    found = contaminated_pairs(docs, store(spark, tmp_path, items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == wanted
+    plain = dict(rows)
+    span = {(r.doc_id, r.item_id): plain[r.doc_id].encode()[r.start_byte : r.end_byte].decode() for r in found if r.item_id in (3, 4)}
+    assert {(k[1], re.sub(r"\W+", " ", v).lower()) for k, v in span.items()} == {(3, items[2][1]), (4, wide)}
+    broken = docs.filter("doc_id = 0").selectExpr("doc_id", "cast(concat(cast(text as binary), X'FF20') as string) text")
+    assert [(r.doc_id, r.item_id) for r in contaminated_pairs(broken, spark.createDataFrame(items, "item_id long, text string")).collect()] == [(0, 1)]
+
+
 def test_whole_table_holds_the_verbatim_items(spark):
     from helpers import SF
 

@@ -1,7 +1,9 @@
 """Benchmark passages in documents, found by the q-gram lemma and verified by banded alignment.
 
-Texts are brought to lower-case letters and digits with single spaces between. Benchmark items are cut into
-overlapping segments. A segment of m characters that occurs with at most e edits shares at least m - q + 1 - q e of its
+Texts are brought to lower-case letters (of any script) and digits with single spaces between. Benchmark items are cut
+into segments of 96 characters, one beginning every 18: a verbatim fragment of that length lacks at most 9 characters of
+some segment, which is its edit budget, so all such fragments are found, wherever they begin. Items of 16 to 31 characters
+are found as they are, between word borders, since a part of the edits would make other phrases of them. A segment of m characters that occurs with at most e edits shares at least m - q + 1 - q e of its
 q-grams with the document, and all of them lie on diagonals (place in the document less place in the segment) that
 differ by at most e. Diagonals are therefore dealt to bands of 2 (e + 1), one beginning every e + 1, so that any such
 range lies whole in one band. Bands with enough shared q-grams are kept, and an alignment restricted to the band and e
@@ -18,16 +20,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow_text import ALPHANUMERIC, flat_texts, lower_ascii, short_batches, slices
+from tidemark.llm.arrow_text import ALPHANUMERIC, flat_texts, short_batches, slices
 
 Q = 8
-#: Items shorter than this, brought to letters and digits, say too little to be recognised.
-LEAST_CHARS = 32
+#: Items shorter than this, brought to letters and digits, are ordinary phrases that clean documents hold as well.
+LEAST_CHARS = 16
+#: Items shorter than this must occur without an edit, from one word border to another.
+EXACT_BELOW = 32
 SEGMENT = 96
-STEP = 48
+#: At most twice the edits of a segment, so that no fragment of `SEGMENT` characters falls between two segments.
+STEP = 18
 #: Edits per character that a segment may take.
 BUDGET = 0.1
 #: Characters of segments in one broadcast block.
@@ -38,12 +44,8 @@ _COST = 1 << 12
 
 
 def plain_text(data: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-case letters and digits with one space for each run of anything else; new marks, and old places."""
-    out = lower_ascii(data)
-    if len(out) > 1:
-        # capitals from U+00C0 to U+00DE lie 32 below their small letters
-        wide = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-        out[1:][wide] += 32
+    """Letters and digits of lower-case texts with one space for each run of anything else; new marks, and old places."""
+    out = data.copy()
     keep = ALPHANUMERIC[out]
     out[~keep] = 0x20
     keep[1:] |= keep[:-1]
@@ -53,6 +55,26 @@ def plain_text(data: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out[places], np.searchsorted(places, marks), places
 
 
+def lower_texts(column: pa.Array) -> pa.Array:
+    """The texts in lower case, letter by letter in any script, or A-Z only beside bytes that are not UTF-8; null stays null."""
+    try:
+        return pc.utf8_lower(column)
+    except pa.ArrowInvalid:
+        return pc.ascii_lower(column)
+
+
+def former_places(low: np.ndarray, raw: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Places in `raw` of places in `low`, its lower case: some letters take fewer or more bytes there."""
+    heads, former = (np.flatnonzero((x & 0xC0) != 0x80) for x in (low, raw))
+    if np.array_equal(heads, former):
+        return places
+    letter = np.searchsorted(heads, places, side="right") - 1
+    ends = np.append(former[1:], len(raw))
+    # the last byte of a letter stays the last
+    last = places + 1 == np.append(heads[1:], len(low))[letter]
+    return np.where(last, ends[letter] - 1, np.minimum(former[letter] + places - heads[letter], ends[letter] - 1))
+
+
 def grams(data: np.ndarray) -> np.ndarray:
     """The q-gram at each place as one number."""
     if len(data) < Q:
@@ -80,12 +102,12 @@ def cut_items(rows: list[tuple[object, str | None]]) -> list[tuple[object, bytes
     """Item and text of each segment; items that are too short, empty or null give none."""
     out = []
     for item, text in rows:
-        raw = np.frombuffer((text or "").encode("utf-8"), dtype=np.uint8)
-        data, _, _ = plain_text(raw, np.array([0, len(raw)]))
+        raw, marks = flat_texts(lower_texts(pa.array([text or ""], pa.string())))
+        data, _, _ = plain_text(raw, marks)
         text = data.tobytes().strip()
         if len(text) < LEAST_CHARS:
             continue
-        if len(text) < SEGMENT + STEP:
+        if len(text) <= SEGMENT:
             out.append((item, text))
             continue
         starts = [*range(0, len(text) - SEGMENT, STEP), len(text) - SEGMENT]
@@ -93,10 +115,15 @@ def cut_items(rows: list[tuple[object, str | None]]) -> list[tuple[object, bytes
     return out
 
 
+def edit_budget(lengths: np.ndarray) -> np.ndarray:
+    """Most edits of segments of these lengths."""
+    return np.where(lengths < EXACT_BELOW, 0, (lengths * BUDGET).astype(np.int64))
+
+
 def index_segments(cut: list[tuple[object, bytes]]) -> Segments:
     texts = [t for _, t in cut]
     lengths = np.array([len(t) for t in texts])
-    edits = (lengths * BUDGET).astype(np.int64)
+    edits = edit_budget(lengths)
     codes = [grams(np.frombuffer(t, dtype=np.uint8)) for t in texts]
     owner = np.repeat(np.arange(len(texts)), [len(c) for c in codes])
     offset = np.concatenate([np.arange(len(c)) for c in codes])
@@ -184,21 +211,27 @@ def align(data: np.ndarray, begin: np.ndarray, end: np.ndarray, low: np.ndarray,
 
 def find_items(column: pa.Array, index: Segments) -> list[tuple[int, int, int, int, int]]:
     """Row, segment, edits and byte span in the original text of every verified occurrence."""
+    column = column.cast(pa.large_string())
     data, marks = flat_texts(column)
+    low_data, low_marks = flat_texts(lower_texts(column))
     found = []
     for first, last in slices(marks):
-        raw = data[marks[first] : marks[last]]
-        part, cut, places = plain_text(raw, marks[first : last + 1] - marks[first])
-        text, segment, low = candidate_bands(part, cut, index)
+        low = low_data[low_marks[first] : low_marks[last]]
+        part, cut, places = plain_text(low, low_marks[first : last + 1] - low_marks[first])
+        text, segment, least = candidate_bands(part, cut, index)
         if not len(text):
             continue
+        places = former_places(low, data[marks[first] : marks[last]], places)
         sizes = np.array([len(index.texts[s]) for s in segment])
         for m in np.unique(sizes):
             chosen = np.flatnonzero(sizes == m)
             patterns = np.stack([np.frombuffer(index.texts[s], dtype=np.uint8) for s in segment[chosen]])
-            own, most = text[chosen], int(m * BUDGET)
-            cost, start, stop = align(part, cut[own], cut[own + 1], low[chosen], patterns, most)
-            for n in np.flatnonzero((cost <= most) & (stop > start)):
+            own, most = text[chosen], int(edit_budget(m))
+            cost, start, stop = align(part, cut[own], cut[own + 1], least[chosen], patterns, most)
+            good = (cost <= most) & (stop > start)
+            if m < EXACT_BELOW:
+                good &= at_borders(part, cut[own] + start, cut[own] + stop, cut[own], cut[own + 1])
+            for n in np.flatnonzero(good):
                 t = int(own[n])
                 base = int(marks[first + t] - marks[first])
                 s, e = int(places[cut[t] + start[n]]) - base, int(places[cut[t] + stop[n] - 1]) + 1 - base
@@ -206,6 +239,13 @@ def find_items(column: pa.Array, index: Segments) -> list[tuple[int, int, int, i
     return found
 
 
+def at_borders(data: np.ndarray, start: np.ndarray, stop: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the spans begin and end where words of their texts do."""
+    before = (start == begin) | (data[np.maximum(start - 1, 0)] == 0x20)
+    after = (stop == end) | (data[np.minimum(stop, len(data) - 1)] == 0x20)
+    return before & after
+
+
 def blocks_of(benchmark: DataFrame) -> Iterator[Segments]:
     """Indexes of the benchmark's segments in blocks of bounded size, read one after the other."""
     block: list[tuple[object, bytes]] = []
@@ -226,7 +266,10 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
 
     Columns: the key as `doc_id`, `item_id`, `segments` (verified segments of the item), `edits` (of the best one),
     `start_byte` and `end_byte` (least start and largest end in the UTF-8 text). Whole texts of any length are searched;
-    null and empty texts hold nothing. Items of fewer than `LEAST_CHARS` letters, digits and spaces are not searched.
+    null and empty texts hold nothing. Capitals of any script equal their small letters. Of an item of `SEGMENT` characters
+    (UTF-8 bytes of letters, digits and single spaces) or more, every verbatim fragment of that length is found; shorter
+    items are found whole, with edits up to `BUDGET`, those below `EXACT_BELOW` without any and between word borders only,
+    and those below `LEAST_CHARS` are not searched.
     Repeated items each count. Null or repeated keys give their own rows. An empty table on either side gives no rows.
     Other columns are not read.
     """
