@@ -36,7 +36,7 @@ SEGMENT = 96
 STEP = 18
 #: Edits per character that a segment may take.
 BUDGET = 0.1
-#: Characters of segments in one broadcast block.
+#: Characters of items in one broadcast block.
 BLOCK_CHARS = 1 << 21
 _TABLE_BITS = 22
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -85,33 +85,33 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Segments:
-    """Segments of benchmark items and an index of their q-grams."""
+    """Segments of benchmark items, as places in the items' texts, and an index of the items' q-grams."""
 
     items: list
-    texts: list[bytes]
+    texts: np.ndarray
+    owner: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
     edits: np.ndarray
     needed: np.ndarray
+    least: np.ndarray
+    order: np.ndarray
     codes: np.ndarray
     first: np.ndarray
-    owner: np.ndarray
+    holder: np.ndarray
     offset: np.ndarray
     table: np.ndarray
 
 
-def cut_items(rows: list[tuple[object, str | None]]) -> list[tuple[object, bytes]]:
-    """Item and text of each segment; items that are too short, empty or null give none."""
+def plain_items(rows: list[tuple[object, str | None]]) -> list[tuple[object, np.ndarray]]:
+    """Items with their plain texts; those that are too short, empty or null are left out."""
     out = []
     for item, text in rows:
         raw, marks = flat_texts(lower_texts(pa.array([text or ""], pa.string())))
         data, _, _ = plain_text(raw, marks)
         text = data.tobytes().strip()
-        if len(text) < LEAST_CHARS:
-            continue
-        if len(text) <= SEGMENT:
-            out.append((item, text))
-            continue
-        starts = [*range(0, len(text) - SEGMENT, STEP), len(text) - SEGMENT]
-        out += [(item, text[s : s + SEGMENT]) for s in starts]
+        if len(text) >= LEAST_CHARS:
+            out.append((item, np.frombuffer(text, dtype=np.uint8)))
     return out
 
 
@@ -120,20 +120,39 @@ def edit_budget(lengths: np.ndarray) -> np.ndarray:
     return np.where(lengths < EXACT_BELOW, 0, (lengths * BUDGET).astype(np.int64))
 
 
-def index_segments(cut: list[tuple[object, bytes]]) -> Segments:
-    texts = [t for _, t in cut]
-    lengths = np.array([len(t) for t in texts])
-    edits = edit_budget(lengths)
-    codes = [grams(np.frombuffer(t, dtype=np.uint8)) for t in texts]
-    owner = np.repeat(np.arange(len(texts)), [len(c) for c in codes])
-    offset = np.concatenate([np.arange(len(c)) for c in codes])
+def index_items(held: list[tuple[object, np.ndarray]]) -> Segments:
+    """Each q-gram of an item is indexed once, however many of its segments overlap there."""
+    lengths = np.array([len(t) for _, t in held])
+    starts = [np.array([0]) if n <= SEGMENT else np.append(np.arange(0, n - SEGMENT, STEP), n - SEGMENT) for n in lengths]
+    owner = np.repeat(np.arange(len(held)), [len(s) for s in starts])
+    start = np.concatenate(starts)
+    size = np.minimum(lengths, SEGMENT)[owner]
+    edits = edit_budget(size)
+    needed = np.maximum(size - Q + 1 - Q * edits, 1)
+    codes = [grams(t) for _, t in held]
     flat = np.concatenate(codes)
     order = np.argsort(flat, kind="stable")
     distinct, first = np.unique(flat[order], return_index=True)
     table = np.zeros(1 << _TABLE_BITS, dtype=bool)
     table[(distinct * _FACTOR) >> np.uint64(64 - _TABLE_BITS)] = True
-    needed = np.maximum(lengths - Q + 1 - Q * edits, 1)
-    return Segments([i for i, _ in cut], texts, edits, needed, distinct, np.append(first, len(flat)), owner[order], offset[order], table)
+    begin = np.append(0, np.cumsum(lengths))
+    holder = np.repeat(np.arange(len(held)), [len(c) for c in codes])[order]
+    offset = np.concatenate([np.arange(len(c)) for c in codes])[order]
+    # segments as places in all texts one after the other, which are in order
+    place = begin[owner] + start
+    least = needed[np.searchsorted(owner, np.arange(len(held)))]
+    texts = np.concatenate([t for _, t in held])
+    return Segments(
+        [i for i, _ in held], texts, owner, start, size, edits, needed, least, place, distinct, np.append(first, len(flat)), holder, offset, table
+    )
+
+
+def often_enough(pair: np.ndarray, cells: int, least: np.ndarray) -> np.ndarray:
+    """Which rows have a value that occurs at least `least` times; values are below `cells`."""
+    if cells <= 8 * len(pair):
+        return np.bincount(pair, minlength=cells)[pair] >= least
+    _, back, sums = np.unique(pair, return_inverse=True, return_counts=True)
+    return sums[back] >= least
 
 
 def candidate_bands(data: np.ndarray, marks: np.ndarray, index: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,37 +167,43 @@ def candidate_bands(data: np.ndarray, marks: np.ndarray, index: Segments) -> tup
     hits, at, text = hits[inside], at[inside], text[inside]
     counts = index.first[at + 1] - index.first[at]
     entry = np.repeat(index.first[at] - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
-    segment = index.owner[entry]
-    diagonal = np.repeat(hits - marks[text], counts) - index.offset[entry]
-    text = np.repeat(text, counts)
-    # enough hits of a text and segment in all are necessary, and cheap to ask for first
-    pair = text * len(index.texts) + segment
-    if not len(pair):
+    item, offset = index.holder[entry], index.offset[entry]
+    place, text = np.repeat(hits - marks[text], counts), np.repeat(text, counts)
+    # enough hits of a text and item in all are necessary, and cheap to ask for first; then those of a text and segment
+    kept = often_enough(text * len(index.items) + item, (len(marks) - 1) * len(index.items), index.least[item])
+    item, offset, place, text = item[kept], offset[kept], place[kept], text[kept]
+    if not len(item):
         return (np.zeros(0, dtype=np.int64),) * 3
-    cells = (len(marks) - 1) * len(index.texts)
-    if cells <= 8 * len(pair):
-        sums = np.bincount(pair, minlength=cells)[pair]
-    else:
-        _, back, sums = np.unique(pair, return_inverse=True, return_counts=True)
-        sums = sums[back]
-    enough = sums >= index.needed[segment]
-    pair, diagonal, segment = pair[enough], diagonal[enough], segment[enough]
-    step = index.edits[segment] + 1
-    band = np.floor_divide(diagonal, step)
-    # a hit lies in the band that begins in its step and in the one before
-    key = np.concatenate([pair, pair])
-    band = np.concatenate([band, band - 1])
-    order = np.lexsort((band, key))
-    key, band = key[order], band[order]
-    new = np.ones(len(key), dtype=bool)
-    new[1:] = (key[1:] != key[:-1]) | (band[1:] != band[:-1])
-    begin = np.flatnonzero(new)
-    sums = np.diff(np.append(begin, len(key)))
-    key, band = key[begin], band[begin]
-    segment = key % len(index.texts)
-    kept = sums >= index.needed[segment]
-    text, segment, band = key[kept] // len(index.texts), segment[kept], band[kept]
-    return text, segment, band * (index.edits[segment] + 1)
+    # segments of an item have one size, so its bands serve them all. A hit lies in the band that begins in its step and in
+    # the one before; hits of an occurrence are in the band of the first of them, so bands that begin with none are let be
+    head = np.searchsorted(index.owner, item)
+    step = index.edits[head] + 1
+    cell = np.floor_divide(place - offset, step)
+    lowest, width = cell.min() - 1, cell.max() - cell.min() + 3
+    key = (text * len(index.items) + item) * width + cell - lowest
+    key, hit = np.concatenate([key, key - 1]), np.tile(np.arange(len(item)), 2)
+    opens = np.arange(len(key)) < len(item)
+    # sums of many bands in one bucket never fall below those of a band
+    bucket = (key.astype(np.uint64) * _FACTOR) >> np.uint64(64 - _TABLE_BITS)
+    kept = np.bincount(bucket.astype(np.int64), minlength=1 << _TABLE_BITS)[bucket] >= index.least[item[hit]]
+    key, hit, opens = key[kept], hit[kept], opens[kept]
+    keys, group, sums = np.unique(key, return_inverse=True, return_counts=True)
+    if not len(keys):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    kept = (np.bincount(group, opens) > 0) & (sums >= index.least[keys // width % len(index.items)])
+    chosen = kept[group]
+    group, hit, opens = group[chosen], hit[chosen], opens[chosen]
+    # the segments that hold the q-gram of a hit
+    at_most = index.order[head[hit]] + offset[hit]
+    low = np.maximum(np.searchsorted(index.order, at_most - (index.size[head[hit]] - Q)), head[hit])
+    counts = np.searchsorted(index.order, at_most, side="right") - low
+    segment = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    pairs, back, sums = np.unique(np.repeat(group, counts) * len(index.owner) + segment, return_inverse=True, return_counts=True)
+    segment, key = pairs % len(index.owner), keys[pairs // len(index.owner)]
+    kept = (np.bincount(back, np.repeat(opens, counts), len(pairs)) > 0) & (sums >= index.needed[segment])
+    segment, key = segment[kept], key[kept]
+    low = (key % width + lowest) * (index.edits[segment] + 1) + index.start[segment]
+    return key // width // len(index.items), segment, low
 
 
 def align(data: np.ndarray, begin: np.ndarray, end: np.ndarray, low: np.ndarray, patterns: np.ndarray, edits: int):
@@ -222,10 +247,10 @@ def find_items(column: pa.Array, index: Segments) -> list[tuple[int, int, int, i
         if not len(text):
             continue
         places = former_places(low, data[marks[first] : marks[last]], places)
-        sizes = np.array([len(index.texts[s]) for s in segment])
+        sizes = index.size[segment]
         for m in np.unique(sizes):
             chosen = np.flatnonzero(sizes == m)
-            patterns = np.stack([np.frombuffer(index.texts[s], dtype=np.uint8) for s in segment[chosen]])
+            patterns = index.texts[index.order[segment[chosen]][:, None] + np.arange(m)]
             own, most = text[chosen], int(edit_budget(m))
             cost, start, stop = align(part, cut[own], cut[own + 1], least[chosen], patterns, most)
             good = (cost <= most) & (stop > start)
@@ -247,18 +272,18 @@ def at_borders(data: np.ndarray, start: np.ndarray, stop: np.ndarray, begin: np.
 
 
 def blocks_of(benchmark: DataFrame) -> Iterator[Segments]:
-    """Indexes of the benchmark's segments in blocks of bounded size, read one after the other."""
-    block: list[tuple[object, bytes]] = []
+    """Indexes of the benchmark's items in blocks of bounded size, read one after the other."""
+    block: list[tuple[object, np.ndarray]] = []
     size = 0
     for row in benchmark.select("item_id", F.col("text").cast("string")).toLocalIterator():
-        for item, text in cut_items([(row[0], row[1])]):
-            block.append((item, text))
-            size += len(text)
+        held = plain_items([(row[0], row[1])])
+        block += held
+        size += sum(len(text) for _, text in held)
         if size >= BLOCK_CHARS:
-            yield index_segments(block)
+            yield index_items(block)
             block, size = [], 0
     if block:
-        yield index_segments(block)
+        yield index_items(block)
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -287,7 +312,8 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
                 items = shared.value.items
                 place: dict = {}
                 for row, segment, cost, start, end in find_items(batch.column(1), shared.value):
-                    n = place.setdefault(items[segment], segment)
+                    item = int(shared.value.owner[segment])
+                    n = place.setdefault(items[item], item)
                     groups.setdefault((row, n), []).append((segment, cost, start, end))
                 rows = [
                     (r, items[n], len({g[0] for g in v}), min(g[1] for g in v), min(g[2] for g in v), max(g[3] for g in v))
