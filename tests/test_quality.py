@@ -121,3 +121,9 @@ def test_scored_table_checks(spark):
 def test_summary(spark):
     row = quality.summarise_checks(quality.check_input(five(spark).drop("gender"), CONFIG)).first()
     assert (row.n_passed, row.n_checks) == (7, 8)
+
+
+def test_failed_range_from_negative_zero_reads_as_sql_writes_it(spark):
+    low = F.when(F.col("tenure") == five(spark).agg(F.min("tenure")).first()[0], F.lit(-0.0)).otherwise(F.lit(9e6))
+    found = quality.failed_checks(quality.check_input(five(spark).withColumn("MonthlyCharges", low), CONFIG)).collect()
+    assert [(r.check_name, r.actual_value) for r in found] == [("MonthlyCharges_in_range", "[0.00, 9000000.00]")]

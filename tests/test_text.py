@@ -20,6 +20,13 @@ def test_texts(spark):
     assert tuple(row) == ("m_v3", "26.5%", "[1.00, 2.30]")
 
 
+def test_ranges_have_no_negative_zero(spark):
+    pairs = [(-0.0, 0.0), (0.0, -0.0), (-0.004, -0.0), (-0.006, 1.005), (-12.5, 1e12 + 0.25)]
+    df = spark.createDataFrame(pairs, "low double, high double")
+    found = [r[0] for r in df.select(text.range_text(F.col("low"), F.col("high"))).collect()]
+    assert found == ["[0.00, 0.00]"] * 3 + ["[-0.01, 1.01]", "[-12.50, 1000000000000.25]"]
+
+
 def test_prompt(spark):
     df = spark.createDataFrame([("C1", 3, None, "{{prediction}}")], "id string, tenure int, plan string, note string")
     lines = text.profile_lines(df, "id")

@@ -38,7 +38,9 @@ def percent_text(value: Column, digits: int = 1) -> Column:
 
 def range_text(low: Column, high: Column) -> Column:
     """`[low, high]` with two decimals; `nan` on both sides when there is no value."""
-    text = F.format_string("[%.2f, %.2f]", low.cast("double"), high.cast("double"))
+    # -0.0, and what rounds to it, would be written with its sign
+    sides = [F.round(side.cast("double"), 2) + F.lit(0.0) for side in (low, high)]
+    text = F.format_string("[%.2f, %.2f]", *sides)
     return F.when(low.isNull(), F.lit("[nan, nan]")).otherwise(text)
 
 
