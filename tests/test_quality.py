@@ -127,3 +127,8 @@ def test_failed_range_from_negative_zero_reads_as_sql_writes_it(spark):
     low = F.when(F.col("tenure") == five(spark).agg(F.min("tenure")).first()[0], F.lit(-0.0)).otherwise(F.lit(9e6))
     found = quality.failed_checks(quality.check_input(five(spark).withColumn("MonthlyCharges", low), CONFIG)).collect()
     assert [(r.check_name, r.actual_value) for r in found] == [("MonthlyCharges_in_range", "[0.00, 9000000.00]")]
+
+
+def test_report_writes_a_range_of_zeros_without_sign(spark):
+    found = report(five(spark).withColumn("MonthlyCharges", F.lit(-0.0)))
+    assert found["MonthlyCharges_in_range"].actual_value == "[0.00, 0.00]"
