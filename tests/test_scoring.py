@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -5,7 +6,9 @@ from pyspark.sql import functions as F
 
 from samples import CONFIG, customers
 from tidemark.operators import quality, scoring
+from tidemark.operators.features import prepare
 from tidemark.operators.models import TrainingSet, train_model
+from tidemark.plans import queries_models
 from tidemark.sources.feature_table import lookup
 
 TS = datetime(2026, 5, 7, 9)
@@ -105,3 +108,23 @@ def test_scoring_never_collects(rows, fitted, monkeypatch):
     report = quality.check_scored(out, CONFIG)
     monkeypatch.undo()
     assert report.count() == 7
+
+
+def test_a_saved_model_is_compared_on_the_same_rows(spark, monkeypatch):
+    """Rows whose numbers change when computed again, as sums in order of arrival do, and keys that repeat."""
+    given = queries_models.customers
+    shaken = F.udf(lambda x: x and x * (1 + random.random() * 1e-6), "double").asNondeterministic()
+
+    def unsteady(spark, sf):
+        rows = given(spark, sf)
+        return rows.unionByName(rows.limit(20)).withColumn("spend", shaken("spend"))
+
+    monkeypatch.setattr(queries_models, "customers", unsteady)
+    found = queries_models.saved_model(spark, "/root/testdata/sf0.001").first()
+    assert tuple(found) == (unsteady(spark, "/root/testdata/sf0.001").count(), 0)
+
+
+def test_different_models_score_rows_differently(rows, fitted):
+    prepared = prepare(rows, CONFIG, keep_key=True)
+    assert tuple(scoring.score_differences(prepared, fitted[1], fitted[1]).first()) == (150, 0)
+    assert scoring.score_differences(prepared, fitted[1], fitted[2]).first().n_different > 100

@@ -41,6 +41,17 @@ def predict(df: DataFrame, model: PipelineModel, config: Config) -> DataFrame:
     return scored.select(*out, "predicted", "prob")
 
 
+def score_differences(rows: DataFrame, first: PipelineModel, second: PipelineModel) -> DataFrame:
+    """Prepared rows, and how many of them two pipelines score differently: `n_rows`, `n_different`.
+
+    Each row is computed once and meets both models. Computed again it may differ in its last bits, as sums of doubles
+    follow the order in which shuffled parts arrive, and a key that repeats would meet itself in a join.
+    """
+    one = score(rows, first).drop("predicted").withColumnRenamed("prob", "_first")
+    same = F.col("_first").eqNullSafe(F.col("prob"))
+    return score(one, second).agg(F.count("*").alias("n_rows"), F.count_if(~same).alias("n_different"))
+
+
 def decode(
     scored: DataFrame, config: Config, model_id: Column | str, inference_ts: datetime | Column | None = None
 ) -> DataFrame:

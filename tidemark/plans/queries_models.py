@@ -459,7 +459,4 @@ def saved_model(spark: SparkSession, sf: str) -> DataFrame:
     fitted = _pipeline(spark, sf)
     loaded = registry.load_model(registry.save_model(fitted, scratch_path(spark, "models")))
     rows = prepare(customers(spark, sf), CUSTOMERS, keep_key=True)
-    both = score(rows, fitted).select(CUSTOMERS.key, F.col("prob").alias("a")).join(
-        score(rows, loaded).select(CUSTOMERS.key, F.col("prob").alias("b")), CUSTOMERS.key
-    )
-    return both.agg(F.count("*").alias("n_rows"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_different"))
+    return scoring.score_differences(rows, fitted, loaded)
