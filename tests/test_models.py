@@ -87,6 +87,13 @@ def test_fitting_tasks_follow_the_rows(spark):
     assert models.fitting_tasks(spark.range(0), CONFIG.with_(fit_partitions=None, fit_rows=5)) == 1
 
 
+def test_fitting_tasks_grow_slower_than_the_rows(spark):
+    """Tasks of a fit answer the driver hundreds of times each, so their number is what the driver gets."""
+    rule = CONFIG.with_(fit_partitions=None, fit_rows=5)
+    found = [models.fitting_tasks(spark.range(5 * n), rule) for n in (1, 15, 16, 17, 64, 144, 864, 6400)]
+    assert found == [1, 15, 16, 17, 32, 48, 118, 320]
+
+
 def test_grid_points():
     grid = {"a": [1, 2], "b": ["x"], "c": [None, 5]}
     assert models.first_values(grid) == {"a": 1, "b": "x", "c": None}

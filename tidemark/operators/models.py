@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -24,6 +25,8 @@ from tidemark.sources import registry, run_log
 MODEL_TYPES = ("logistic_regression", "random_forest", "gradient_boosted_trees")
 SEARCH_THREADS = 4
 MAX_TREE_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
+#: Fitting tasks of `fit_rows` rows each; a table with rows for more of them gets more tasks and fuller ones.
+FULL_TASKS = 16
 _WEIGHT = "_weight"
 
 
@@ -129,11 +132,14 @@ def _keep(df: DataFrame) -> DataFrame:
 def fitting_tasks(df: DataFrame, config: Config) -> int | None:
     """Tasks that a fit on these rows gets at most: the number named, or as many as hold `fit_rows` rows each.
 
-    So the number follows the table and not the cluster, and a fit can be repeated elsewhere. None leaves it to Spark.
+    Every task of every level of every tree answers the driver, so from `FULL_TASKS` on their number grows with the
+    square root of the rows, and so do the rows of a task. So the number follows the table and not the cluster, and a
+    fit can be repeated elsewhere. None leaves it to Spark.
     """
     if config.fit_partitions or not config.fit_rows:
         return config.fit_partitions
-    return max(1, -(-df.count() // config.fit_rows))
+    tasks = max(1, -(-df.count() // config.fit_rows))
+    return tasks if tasks <= FULL_TASKS else math.isqrt(FULL_TASKS * tasks - 1) + 1
 
 
 def _for_fitting(df: DataFrame, tasks: int | None) -> DataFrame:
