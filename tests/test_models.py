@@ -94,6 +94,15 @@ def test_fitting_tasks_grow_slower_than_the_rows(spark):
     assert found == [1, 15, 16, 17, 32, 48, 118, 320]
 
 
+def test_a_boosted_fit_answers_the_driver_from_few_tasks(spark):
+    rule = CONFIG.with_(fit_partitions=None, fit_rows=2)
+    training = TrainingSet(customers(spark, 300).repartition(200), rule)
+    try:
+        assert training.train.rdd.getNumPartitions() <= 44
+    finally:
+        training.close()
+
+
 def test_grid_points():
     grid = {"a": [1, 2], "b": ["x"], "c": [None, 5]}
     assert models.first_values(grid) == {"a": 1, "b": "x", "c": None}
