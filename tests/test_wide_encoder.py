@@ -7,7 +7,8 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from samples import CONFIG, customers
-from tidemark.operators.features import FEATURES, TableEncoder, dummy_columns, feature_names
+from tidemark.operators import wide_encoder
+from tidemark.operators.features import FEATURES, TableEncoder, dummy_columns, feature_names, number_expression
 from tidemark.operators.wide_encoder import WideEncoder, WideEncoderModel, build_dictionary, wide_names
 
 
@@ -60,3 +61,16 @@ def test_dictionaries_of_the_driver_are_bounded(spark):
     settings = CONFIG.with_(numeric=(), categorical=("c",), most_categories=20)
     with pytest.raises(ValueError, match="WideEncoder"):
         TableEncoder(settings).fit(df)
+
+
+def test_number_columns_are_not_made_text(spark, tmp_path):
+    """Numbers equal those of the way over text, in every type, and without it where the column holds numbers."""
+    given = [0.1, -0.0, None, float("nan"), float("inf"), 5e-324, 1e300, 12345678.9]
+    df = spark.createDataFrame([(str(i), x) for i, x in enumerate(given)], "k string, d double")
+    df = df.withColumns({"i": F.col("k").cast("int"), "l": F.col("k").cast("long") - (1 << 60), "s": F.concat(F.lit(" "), "k"), "f": F.lit(0.1).cast("float")})
+    figures = {"d": (0.3, 0.7, 3.0), "i": (1.0, 2.5, 0.1), "l": (0.0, 1.0, 7.0), "s": (1.0, 2.0, 0.3), "f": (1.0, 2.0, 0.3)}
+    new = [wide_encoder._number(df, c, *x).alias(c) for c, x in figures.items()]
+    old = [F.expr(number_expression(c, *x)).alias(c) for c, x in figures.items()]
+    assert repr(df.select(new).collect()) == repr(df.select(old).collect())
+    plan = df.select(new[:3])._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string" not in plan.lower() and "rlike" not in plan.lower()

@@ -13,11 +13,12 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import Config
+from tidemark.functions.numeric import to_number
 from tidemark.operators.features import FEATURES, UNKNOWN, fit_numbers, number_expression
 from tidemark.operators.quantiles import in_ranges
 from tidemark.sources.tables import read_table
@@ -47,6 +48,17 @@ class _Named(Params):
     length = Param(Params._dummy(), "length", "length of the vector", TypeConverters.toInt)
 
 
+#: Types whose way over text and back, which `number_expression` goes, changes no value.
+_EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType)
+
+
+def _number(df: DataFrame, column: str, median: float, mean: float, std: float) -> Column:
+    """Imputed and standardised as by `number_expression`; columns that hold numbers are not made text for it."""
+    if not isinstance(df.schema[column].dataType, _EXACT):
+        return F.expr(number_expression(column, median, mean, std))
+    return (F.coalesce(to_number(df, column), F.lit(median)) - F.lit(mean)) / F.lit(std)
+
+
 class WideEncoderModel(Model, _Named, DefaultParamsReadable, DefaultParamsWritable):
     """Imputed, standardised numbers and one-hot categories as one sparse vector; an unseen category is all zeros.
 
@@ -67,7 +79,7 @@ class WideEncoderModel(Model, _Named, DefaultParamsReadable, DefaultParamsWritab
             own = known.where(F.col("ordinal") == i).select(F.col("category").alias("_category"), F.col("position").alias(f"_position{i}"))
             value = F.coalesce(F.col(column).cast("string"), F.lit(UNKNOWN))
             rows = rows.join(own, value == F.col("_category"), "left").drop("_category")
-        numbers = [F.expr(number_expression(c, *figures[3 * i : 3 * i + 3])) for i, c in enumerate(numeric)]
+        numbers = [_number(dataset, c, *figures[3 * i : 3 * i + 3]) for i, c in enumerate(numeric)]
         positions = [F.col(f"_position{i}") for i in range(len(categorical))]
         # columns have rising positions, so those found are in order
         found = F.filter(F.array(*positions), lambda p: p.isNotNull()) if positions else F.array().cast("array<int>")

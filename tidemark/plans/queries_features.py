@@ -476,13 +476,12 @@ def encode_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Lines encoded with a dictionary of all orders, fitted on the first three lines of each order."""
     lines = table(spark, sf, "lineitem").withColumn("price", F.when(F.col("l_linenumber") < 6, F.col("l_extendedprice")))
     encoder = WideEncoder(_WIDE, f"{scratch_database(spark)}.dictionary").fit(lines.where("l_linenumber < 4"))
-    encoded = encoder.transform(lines).withColumn("_v", F.to_json(F.struct(FEATURES)))
-    part = lambda path: F.get_json_object("_v", f"$.{FEATURES}.{path}")
+    encoded = encoder.transform(lines).withColumn("_v", F.unwrap_udt(FEATURES))
     return encoded.select(
         "l_orderkey",
         "l_linenumber",
-        part("size").cast("bigint").alias("size"),
-        part("indices").alias("places"),
-        F.round(part("values[0]").cast("double"), 6).alias("quantity"),
-        F.round(part("values[1]").cast("double"), 6).alias("price"),
+        F.col("_v.size").cast("bigint").alias("size"),
+        F.concat(F.lit("["), F.array_join("_v.indices", ","), F.lit("]")).alias("places"),
+        F.round(F.col("_v.values")[0], 6).alias("quantity"),
+        F.round(F.col("_v.values")[1], 6).alias("price"),
     )
