@@ -27,6 +27,14 @@ def test_ranges_have_no_negative_zero(spark):
     assert found == ["[0.00, 0.00]"] * 3 + ["[-0.01, 1.01]", "[-12.50, 1000000000000.25]"]
 
 
+def test_shares_round_halves_up_where_the_product_falls_below(spark):
+    pairs = [(4050, 900000, "0.5%"), (16650, 900000, "1.9%"), (3, 20000, "0.0%"), (41, 100, "41.0%"), (0, 7, "0.0%"), (7, 7, "100.0%")]
+    df = spark.createDataFrame(pairs, "k long, n long, wanted string")
+    found = [tuple(r) for r in df.select(text.percent_text(F.col("k") / F.col("n")), "wanted").collect()]
+    assert [a for a, _ in found] == [b for _, b in found]
+    assert spark.range(1).select(text.percent_text(F.lit(-0.0001), 1), text.percent_text(F.lit(0.28505), 2)).first()[:] == ("0.0%", "28.51%")
+
+
 def test_prompt(spark):
     df = spark.createDataFrame([("C1", 3, None, "{{prediction}}")], "id string, tenure int, plan string, note string")
     lines = text.profile_lines(df, "id")

@@ -33,7 +33,11 @@ def version_tag(name: Column, version: Column) -> Column:
 
 
 def percent_text(value: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", (value * 100).cast("double"))
+    """The share as a percentage, halves rounded up."""
+    # the format alone writes 0.45, which as a product is 0.44999999999999996, as 0.4
+    scale = float(10**digits)
+    rounded = F.round((value * 100).cast("double") * scale) / scale
+    return F.format_string(f"%.{digits}f%%", rounded + F.lit(0.0))
 
 
 def range_text(low: Column, high: Column) -> Column:
