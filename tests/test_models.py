@@ -103,6 +103,17 @@ def test_a_boosted_fit_answers_the_driver_from_few_tasks(spark):
         training.close()
 
 
+def test_fitting_tasks_have_no_plan_behind_them(spark):
+    """Each task answers with the metrics of all steps behind its rows; they are stored, dealt as they were."""
+    training = TrainingSet(customers(spark, 300).repartition(8), CONFIG.with_(fit_partitions=3))
+    try:
+        assert "InMemoryTableScan" not in training.train._jdf.queryExecution().executedPlan().toString()
+        dealt = training.encoded.where(~F.col("is_test")).coalesce(3).rdd.glom().collect()
+        assert training.train.rdd.glom().collect() == dealt and sum(map(len, dealt)) == 240
+    finally:
+        training.close()
+
+
 def test_grid_points():
     grid = {"a": [1, 2], "b": ["x"], "c": [None, 5]}
     assert models.first_values(grid) == {"a": 1, "b": "x", "c": None}

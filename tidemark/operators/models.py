@@ -20,6 +20,7 @@ from tidemark.config import Config
 from tidemark.operators import metrics as quality
 from tidemark.operators.features import FEATURES, LABEL, TableEncoder, prepare
 from tidemark.operators.split import fold_column, mark_share
+from tidemark.session import cut_lineage
 from tidemark.sources import registry, run_log
 
 MODEL_TYPES = ("logistic_regression", "random_forest", "gradient_boosted_trees")
@@ -143,11 +144,12 @@ def fitting_tasks(df: DataFrame, config: Config) -> int | None:
 
 
 def _for_fitting(df: DataFrame, tasks: int | None) -> DataFrame:
-    """The rows in at most so many partitions, merged without a shuffle.
+    """The rows in at most so many partitions, merged without a shuffle, and stored.
 
-    Forest and boosting draw their samples per partition, so the number belongs to the fit and is logged with it.
+    Forest and boosting draw their samples per partition, so the number belongs to the fit and is logged with it. Stored
+    rows have no plan behind them: every task of every level would send the driver the metrics of all steps of the plan.
     """
-    return df.coalesce(tasks) if tasks else df
+    return cut_lineage(df.coalesce(tasks) if tasks else df)
 
 
 def _training_columns(df: DataFrame, config: Config) -> DataFrame:
